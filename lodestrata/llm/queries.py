@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import bpe, langid, packing, pii, quality_model, quality_rules, simhash, token_counts, token_files
+from lodestrata.llm import bpe, langid, neighbours, packing, pii, quality_model, quality_rules, simhash, token_counts, token_files
 
 
 def _over(table: str, op: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -30,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": _over("documents", token_counts.token_counts),
     "op6_byte_pairs": _over("documents", bpe.byte_pairs),
     "op7_packing": _over("documents", packing.packed),
+    "op8_nearest_neighbours": _over("embeddings", neighbours.neighbours),
     "op9_near_duplicates": _over("documents", simhash.near_duplicates),
     "op10_quality_rules": _over("documents", quality_rules.quality_rules),
     "pipeline": _pipeline,
