@@ -20,7 +20,7 @@ from lodestrata.llm.kernel import ragged, row_slices, utf8_view
 from lodestrata.llm.token_counts import SPLIT, VOCABULARY, ranks
 
 #: Bytes of text whose distinct words are encoded together; a longer word is merged exactly at once.
-SLICE, LONG = 1 << 22, 128
+SLICE, LONG = 1 << 20, 128
 NEVER = np.int64(1 << 40)
 #: Exact results kept by each worker for the words that failed, and how many at most.
 _EXACT: dict[tuple[int, bytes] | None, list[int]] = {}
@@ -200,9 +200,9 @@ def encode(texts: pa.Array, t: Tables) -> tuple[np.ndarray, np.ndarray]:
         token, each, _ = encode_words([w.encode() for w in index], t)
         word = np.array(number, np.int64)
         first = np.cumsum(each) - each
-        ids.append(token[ragged(first[word], each[word])])
+        ids.append(token[ragged(first[word], each[word])].astype(np.int32))
         counts[i:j] = np.bincount(np.repeat(np.arange(j - i), sizes), weights=each[word], minlength=j - i)
-    return np.concatenate(ids) if ids else np.zeros(0, np.int64), counts
+    return np.concatenate(ids) if ids else np.zeros(0, np.int32), counts
 
 
 def decode(ids: np.ndarray, counts: np.ndarray, t: Tables) -> tuple[np.ndarray, np.ndarray]:
@@ -228,13 +228,18 @@ def with_token_ids(docs: DataFrame, vocabulary: str = VOCABULARY, name: str = "_
     def run(texts: pa.Array) -> pa.Array:
         ids, counts = encode(texts, t)
         data, offsets = utf8_view(texts)
-        back, ends = decode(ids, counts, t)
         valid = texts.is_valid().to_pylist()
-        if len(back) == len(data) and (ends == offsets).all():
-            wrong = np.add.reduceat(np.append(back != data, False), np.minimum(offsets[:-1], len(data)), dtype=np.int64) if len(texts) else np.zeros(0)
-            same = (wrong == 0) | (np.diff(offsets) == 0)
-        else:
-            same = np.array([back[ends[k] : ends[k + 1]].tobytes() == data[offsets[k] : offsets[k + 1]].tobytes() for k in range(len(texts))], bool)
+        first = np.concatenate([[0], np.cumsum(counts)])
+        same = np.zeros(len(texts), bool)
+        # decoded a slice at a time, as the places of its bytes take eight times their room
+        for i, j in row_slices(offsets, SLICE):
+            back, ends = decode(ids[first[i] : first[j]], counts[i:j], t)
+            raw, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+            if (ends == at).all():
+                wrong = np.concatenate([[0], np.cumsum(back != raw)])
+                same[i:j] = wrong[at[1:]] == wrong[at[:-1]]
+            else:
+                same[i:j] = [back[ends[k] : ends[k + 1]].tobytes() == raw[at[k] : at[k + 1]].tobytes() for k in range(j - i)]
         mask = np.array([not v for v in valid], bool)
         return pa.StructArray.from_arrays([_lists(ids, counts, valid), pa.array(counts, pa.int32(), mask=mask), pa.array(same, mask=mask)], ["token_ids", "n_tokens", "round_trip"])
 
