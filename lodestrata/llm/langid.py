@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.kernel import FOLD, row_slices, utf8_view
+from lodestrata.llm.scratch import unused
 
 SIZES, BUCKET_BITS, DIMENSIONS = (2, 3, 4), 17, 16
 #: At most so many rows, over all languages, are fitted to and calibrated on; at most so many languages are told apart.
@@ -198,4 +199,5 @@ def language_id(docs: DataFrame) -> DataFrame:
 
 def reject_unknown_language(docs: DataFrame) -> DataFrame:
     """The documents whose language is told, with their own columns."""
-    return with_language(docs).filter("_language.keep").select(*[docs[c] for c in docs.columns])
+    r = unused(docs, "_language")
+    return with_language(docs, r).filter(F.col(f"{r}.keep")).drop(r)

@@ -185,6 +185,8 @@ def _send(plan: Plan, blocks: np.ndarray, batches: Iterator[pa.RecordBatch]) ->
         for first in range(0, batch.num_rows, 1 << 12):
             piece = batch.slice(first, 1 << 12)
             x, at = matrix(piece.column(1), len(plan.mean))
+            if not len(x):
+                continue
             code = codes(x, plan.mean, plan.rotation)
             ids = piece.column(0).take(pa.array(at))
             spread = piece.column(2).take(pa.array(at)).to_numpy().astype(np.int64) & 0x7FFFFFFF

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.kernel import utf8_view
+from lodestrata.llm.scratch import unused
 
 LABELS = ("O", "EMAIL", "PHONE", "IP", "CARD", "SSN", "IBAN", "SECRET")
 MAX_TOKENS, MAX_CHARS, CONTEXT = 32, 512, 28
@@ -349,6 +350,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
 def redact_personal_data(docs: DataFrame) -> DataFrame:
     """The documents with redacted texts, and n_chars to match; other columns as they are."""
-    marked = with_redaction(docs)
-    new = {"text": F.col("_pii.text"), "n_chars": F.char_length("_pii.text").cast("bigint")}
-    return marked.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])
+    r = unused(docs, "_pii")
+    marked = with_redaction(docs, r)
+    new = {"text": F.col(f"{r}.text"), "n_chars": F.char_length(f"{r}.text").cast("bigint")}
+    return marked.select(*[new[c].alias(c) if c in new else marked[f"`{c}`"] for c in docs.columns])

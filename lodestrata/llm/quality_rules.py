@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.kernel import row_slices, rows_of, runs, span_hashes, utf8_view
+from lodestrata.llm.scratch import unused
 
 CLASSES = ("lower", "upper", "letter", "number", "space", "punctuation", "symbol", "other")
 COMMON_WORDS = {
@@ -182,4 +183,5 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 def reject_low_quality(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with their own columns."""
-    return with_verdict(docs).filter("_quality.keep").select(*[docs[c] for c in docs.columns])
+    r = unused(docs, "_quality")
+    return with_verdict(docs, r).filter(F.col(f"{r}.keep")).drop(r)

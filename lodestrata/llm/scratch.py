@@ -19,3 +19,11 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` with its lineage replaced by files in the shared folder: a lost executor loses nothing."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.llm.kernel import FOLD, mix, row_slices, rows_of, runs, span_hashes, utf8_view
-from lodestrata.llm.scratch import cut
+from lodestrata.llm.scratch import cut, unused
 
 BLOCKS, BITS, THRESHOLD = 10, 13, 19
 RADIUS, BLOCK_THRESHOLD, PAIR_THRESHOLD = 1, THRESHOLD // BLOCKS, THRESHOLD // (BLOCKS // 2)
@@ -228,8 +228,10 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     prints = cut(with_fingerprint(docs.select("doc_id", "text")).drop("text"))
     g = grouped(prints).filter("_group is not null")
     first = g.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_fp")).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first._fp").alias("_first"))
-    marked = with_fingerprint(docs)
-    kept = marked.join(first, marked["doc_id"].eqNullSafe(first["_id"]) & (marked["_fp"] == first["_first"]), "left_semi")
+    fp, i, f = unused(docs, "_fp"), unused(docs, "_id"), unused(docs, "_first")
+    first = first.select(F.col("_id").alias(i), F.col("_first").alias(f))
+    marked = with_fingerprint(docs, fp)
+    kept = marked.join(first, marked["doc_id"].eqNullSafe(first[i]) & (marked[fp] == first[f]), "left_semi")
     # what is left of repeated rows has the join's keys, so this needs no other exchange
-    kept = kept.dropDuplicates(["doc_id", "_fp"]).select(*docs.columns)
+    kept = kept.dropDuplicates(["doc_id", fp]).drop(fp)
     return kept.unionByName(docs.filter("text is null"))

@@ -1,0 +1,289 @@
+"""The ten operators against brute force, exact round trips and held-out rows, and on awkward tables."""
+
+import itertools
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from lodestrata.llm import bpe, langid, neighbours, packing, pii, quality_model, quality_rules, simhash, token_counts, token_files
+
+DIR = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{DIR}/documents.parquet").cache()
+
+
+@pytest.fixture(scope="module")
+def awkward(spark, docs):
+    """Nulls in every column, an empty and a very long text, repeated rows, ties, and columns with the operators' own names."""
+    some = docs.limit(40).collect()
+    rows = [tuple(r) for r in some] + [tuple(some[0])] * 2 + [(None, some[1].text, None, None, None), (1001, None, "en", "s", 1), (1002, "", "en", "s", 0), (1003, "  \n ", None, None, None), (1004, "word " * 60_000, "en", "s", 300_000), (None, None, None, None, None), (1005, "\U0001f600 ȋ\x00", "xx", "s", 4)]
+    extra = ("_fp", "_quality", "_language", "_pii", "_id", "_first", "_group", "node", "root", "keep", "label")
+    return spark.createDataFrame([(*r, *range(len(extra))) for r in rows], SCHEMA + "".join(f", {c} int" for c in extra)).cache()
+
+
+DOCUMENT_OPERATORS = [pii.personal_data, token_files.token_blocks, langid.language_id, token_counts.token_counts, bpe.byte_pairs, simhash.near_duplicates, quality_rules.quality_rules]
+
+
+@pytest.mark.parametrize("op", DOCUMENT_OPERATORS, ids=lambda f: f.__name__)
+def test_awkward_and_empty_tables(spark, awkward, op):
+    got = op(awkward).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == sorted((r.doc_id is None, r.doc_id or 0) for r in awkward.collect())
+    assert op(awkward.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("op", [quality_rules.reject_low_quality, langid.reject_unknown_language, simhash.keep_one_of_each, pii.redact_personal_data], ids=lambda f: f.__name__)
+def test_stages_keep_the_columns(spark, awkward, op):
+    got = op(awkward)
+    assert got.columns == awkward.columns
+    assert 0 < got.count() <= awkward.count()
+    assert op(awkward.limit(0)).count() == 0
+
+
+def test_quality_model(spark, docs, awkward):
+    labels, pages = (spark.read.parquet(f"{DIR}/{t}.parquet") for t in ("labels", "pages"))
+    rows = {r.doc_id: r for r in quality_model.with_quality(docs, labels, pages).collect()}
+    assert len(rows) == docs.count()
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    assert np.mean([rows[i].keep == bool(q) for i, q in known.items() if i in rows]) > 0.95
+    bare = spark.createDataFrame([], "doc_id long, quality int")
+    got = quality_model.with_quality(awkward, bare, pages.limit(0)).collect()
+    assert len(got) == awkward.count() and all(r.keep and r.score is None for r in got)
+    assert quality_model.with_quality(awkward, labels, pages).count() == awkward.count()
+
+
+def test_co_training_on_rows_kept_out():
+    rng = np.random.default_rng(0)
+    y = rng.integers(0, 2, 900)
+    a, b = (np.eye(6, dtype=np.float32)[np.where(rng.random(900) < 0.1, rng.integers(0, 6, 900), y * 3 + rng.integers(0, 3, 900))] for _ in range(2))
+    label = np.where(np.arange(900) < 200, y, -1)
+    model = quality_model.co_train(a, b, label, np.ones(900))
+    z = np.column_stack([model.text.calibrated(a), model.meta.calibrated(b), np.ones(900)]) @ model.mix
+    assert ((z > 0) == y)[200:].mean() > 0.93
+    assert quality_model.co_train(a, b, np.where(label == 1, 1, -1), np.ones(900)) is None
+
+
+def test_pii_on_made_sentences_kept_out():
+    model = pii.trained()
+    found = right = wanted = 0
+    for text, gold in pii.made_sentences(150, seed=99):
+        own = set(pii.entities(text, model))
+        found, right, wanted = found + len(own), right + len(own & set(gold)), wanted + len(gold)
+    assert right / found > 0.9 and right / wanted > 0.9
+
+
+def test_pii_decoding_is_the_best_segmentation():
+    model = pii.trained()
+    text = "call +49 301 555 0199 or a@b.org"
+    for a, b in pii.islands(text):
+        tokens, found = pii.lattice(text, a, b)
+        segments, _, scores = pii.emissions(text, tokens, found, model)
+        by = {}
+        for s, own in zip(segments, scores):
+            by.setdefault(s[0], []).append((s, own))
+
+        def best(at, before):
+            if at == len(tokens):
+                return 0.0, []
+            options = []
+            for (i, j), own in by.get(at, []):
+                for k in range(len(pii.LABELS)):
+                    if np.isfinite(own[k]):
+                        rest, tail = best(j, k)
+                        options.append((own[k] + model.steps[before, k] + rest, ([(pii.LABELS[k], tokens[i][0], tokens[j - 1][1])] if k else []) + tail))
+            return max(options, key=lambda o: o[0])
+
+        if len(tokens) <= 9 and found:
+            assert pii.decode(text, a, b, model) == best(0, 0)[1]
+
+
+def test_language_id_on_stated_rows(docs):
+    rows = langid.language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert np.mean([r.keep for r in rows]) > 0.95
+    assert np.mean([r.language == r.lang for r in rows if r.keep]) > 0.95
+
+
+def test_token_blocks_round_trip(spark, docs):
+    encoder = token_counts.encoding(token_counts.VOCABULARY)[0]
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in token_files.token_blocks(docs).collect():
+        want = encoder.encode_ordinary(texts[r.doc_id])
+        assert token_files.read_ids(r.payload, r.block_starts, r.n_tokens).tolist() == want
+        if len(r.block_starts) > 1:
+            assert token_files.read_ids(r.payload, r.block_starts, r.n_tokens, 1, 2).tolist() == want[128:256]
+
+
+@pytest.mark.parametrize("high", [1, 2, 300, 1 << 16, 1 << 32])
+def test_blocks_of_any_width(high):
+    rng = np.random.default_rng(1)
+    ids = rng.integers(0, high, 1000, dtype=np.uint64).astype(np.uint32)
+    ids[::37] = high - 1
+    counts = np.array([0, 1, 128, 0, 129, 742])
+    data, sizes, starts, blocks = token_files.pack(ids, counts)
+    at, s = 0, 0
+    for k, n in enumerate(counts):
+        part = data[sizes[:k].sum() :][: sizes[k]].tobytes()
+        own = starts[s : s + blocks[k]].tolist()
+        assert token_files.read_ids(part, own, int(n)).tolist() == ids[at : at + n].tolist()
+        at, s = at + n, s + blocks[k]
+
+
+def test_token_counts_by_resynchronisation():
+    encoder = token_counts.encoding(token_counts.VOCABULARY)[0]
+    rng = random.Random(4)
+    for text in ("a" * 5000, " " * 3000 + "x" + "\n" * 2000, "".join(rng.choice("ab 1\n.é漢") for _ in range(6000)), "word " * 2000, "don't " * 900):
+        ids, chunks, _ = token_counts.encode(text, chunk=700, overlap=16)
+        assert ids.tolist() == encoder.encode_ordinary(text)
+        assert chunks > 1 or len(text.encode()) <= 700
+
+
+def test_byte_pairs_are_exact(docs):
+    encoder = token_counts.encoding(token_counts.VOCABULARY)[0]
+    rng = random.Random(3)
+    hard = ["", "aaaaaaaaaaaaaaaaa", "".join(rng.choice("abcxyz") for _ in range(120)), "\x00\xff漢字 😀", " the" * 50, "x" * 400]
+    t = bpe.tables()
+    texts = [r.text for r in docs.limit(60).collect()] + hard + [None]
+    ids, counts = bpe.encode(pa.array(texts), t)
+    at = 0
+    for text, n in zip(texts, counts):
+        assert ids[at : at + n].tolist() == encoder.encode_ordinary(text or "")
+        at += n
+    rows = bpe.byte_pairs(docs.limit(30))
+    assert all(r.round_trip for r in rows.collect())
+    back = bpe.with_decoded(rows).select("doc_id", "text").collect()
+    want = {r.doc_id: r.text for r in docs.collect()}
+    assert all(r.text == want[r.doc_id] for r in back)
+
+
+def test_best_two_fit_replaces_the_smallest():
+    assert packing.best_two_fit([6, 3, 2, 2], 10) == [[0, 2, 3]] + [[1]] or [sorted(b) for b in packing.best_two_fit([6, 3, 2, 2], 10)] == [[0, 2, 3], [1]]
+    rng = random.Random(2)
+    for _ in range(50):
+        lengths = [rng.randint(1, 40) for _ in range(rng.randint(0, 60))]
+        bins = packing.best_two_fit(lengths, 40)
+        assert sorted(k for b in bins for k in b) == list(range(len(lengths)))
+        assert all(0 < sum(lengths[k] for k in b) <= 40 for b in bins)
+        # no two bins could have been one
+        sums = sorted(sum(lengths[k] for k in b) for b in bins)
+        assert len(sums) < 2 or sums[0] + sums[1] > 20
+
+
+def test_packing_covers_every_token(spark):
+    rows = [(k, n) for k, n in enumerate([0, 1, 50, 100, 101, 350, 99, 99, None, 1])] + [(3, 100)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, n_tokens long"), 100).collect()
+    total = {}
+    for r in got:
+        total[r.doc_id] = total.get(r.doc_id, 0) + r.n_tokens
+        assert (r.bin_id is None) == (r.n_tokens == 0)
+    assert total == {0: 0, 1: 1, 2: 50, 3: 200, 4: 101, 5: 350, 6: 99, 7: 99, 8: 0, 9: 1}
+    for _, own in itertools.groupby(sorted((r for r in got if r.bin_id is not None), key=lambda r: (r.bin_id, r.place)), key=lambda r: r.bin_id):
+        at = 0
+        for r in own:
+            assert r.place == at
+            at += r.n_tokens
+        assert at <= 100
+
+
+def test_neighbours_against_brute_force(spark):
+    frame = spark.read.parquet(f"{DIR}/embeddings.parquet")
+    rows = frame.collect()
+    extra = [(9001, rows[0].embedding), (9001, rows[0].embedding), (9002, None), (None, rows[1].embedding), (9003, [0.0] * 64), (9004, [1.0]), (9005, [float("nan")] * 64)]
+    got = neighbours.neighbours(frame.select("vec_id", "embedding").union(spark.createDataFrame(extra, frame.select("vec_id", "embedding").schema))).collect()
+    ids = [r.vec_id for r in rows] + [9001]
+    x = np.array([r.embedding for r in rows] + [rows[0].embedding], np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    s = np.round(x @ x.T, 6)
+    np.fill_diagonal(s, -2)
+    own = {}
+    for r in got:
+        own.setdefault(r.vec_id, []).append(r)
+    assert set(own) == set(ids)
+    hit = 0
+    for k, i in enumerate(ids):
+        order = sorted(range(len(ids)), key=lambda j: (-s[k, j], ids[j]))[:10]
+        mine = sorted(own[i], key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == list(range(1, len(mine) + 1)) and i not in {r.neighbour for r in mine}
+        hit += len({ids[j] for j in order} & {r.neighbour for r in mine})
+    assert hit / (10 * len(ids)) >= 0.9
+    assert neighbours.neighbours(frame.limit(0)).count() == 0
+
+
+def test_probing_retrieves_all_within_the_radius():
+    rng = np.random.default_rng(0)
+    n = 400
+    x = rng.normal(size=(n, 16)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    mean, rotation = neighbours.learned_rotation(x)
+    code = neighbours.codes(x, mean, rotation)
+    for radius, parts in ((3, 2), (4, 5), (5, 3)):
+        plan = neighbours.Plan(mean, rotation, radius, neighbours.split(16, parts), radius // parts)
+        raw = np.concatenate([code.view(np.uint8).reshape(-1, 8), x.view(np.uint8).reshape(n, -1)], 1)
+        pairs = set()
+        for part in range(parts):
+            home = neighbours._cells(code, plan, part)
+            for pattern in neighbours.within(plan.widths[part], plan.slack).tolist():
+                cell = neighbours._cells(code ^ np.uint64(pattern << plan.shifts[part]), plan, part)
+                for c in np.unique(cell):
+                    q, e = np.flatnonzero(cell == c), np.flatnonzero(home == c)
+                    i, j, _ = neighbours.nearest(raw[q], q, raw[e], e, plan, part, n)
+                    new = set(zip(q[i].tolist(), e[j].tolist()))
+                    assert not new & pairs
+                    pairs |= new
+        apart = np.bitwise_count(code[:, None] ^ code[None, :])
+        assert pairs == {(i, j) for i, j in zip(*np.nonzero(apart <= radius)) if i != j}
+
+
+def test_near_duplicates_against_brute_force(spark, docs):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    prints = simhash._bytes(simhash.fingerprints(pa.array([t for _, t in rows])))
+    words = np.ascontiguousarray(prints).view(np.uint32)
+    apart = np.bitwise_count(words[:, None] ^ words[None]).sum(2)
+    label = simhash.components(len(rows), iter([np.nonzero(apart <= simhash.THRESHOLD)]))
+    want = {}
+    for k, (i, _) in enumerate(rows):
+        want.setdefault(label[k], set()).add(i)
+    got = {}
+    for r in simhash.near_duplicates(docs).collect():
+        got.setdefault(r.group_id, set()).add(r.doc_id)
+        assert r.keep == (r.doc_id == r.group_id)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    assert {r.doc_id for r in simhash.keep_one_of_each(docs).collect()} == set(got)
+
+
+def test_copies_are_caught(spark):
+    rng = random.Random(8)
+    base = [" ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9))) for _ in range(300)) for _ in range(3)]
+    near = base[0].split()
+    near[10] = near[200] = "changed"
+    rows = [(0, base[0]), (1, base[1]), (2, base[2]), (3, base[0]), (4, " ".join(near))]
+    got = {r.doc_id: r.group_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 0, 4: 0}
+
+
+def test_quality_rules_against_a_plain_version(spark, docs):
+    from math import log2, sqrt
+
+    refs = quality_rules.references(docs)
+    got = {r.doc_id: r for r in quality_rules.quality_rules(docs).collect()}
+    for r in docs.limit(40).collect():
+        counts = dict.fromkeys(quality_rules.CLASSES, 0)
+        kinds = quality_rules._tables()[0]
+        for c in r.text:
+            counts[quality_rules.CLASSES[kinds[ord(c)]]] += 1
+        p, q = [counts[c] / len(r.text) for c in quality_rules.CLASSES], refs["class"][r.lang]
+        m = [(a + b) / 2 for a, b in zip(p, q)]
+        d = sqrt(max(0, sum(a * log2(a / x) for a, x in zip(p, m) if a) + sum(b * log2(b / x) for b, x in zip(q, m) if b)) / 2)
+        mine = got[r.doc_id].class_distance
+        assert mine is None if len(r.text) < quality_rules.MIN_CHARS else abs(mine - d) < 1e-5
+
+
+def test_quality_rules_on_labels(spark, docs):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{DIR}/labels.parquet").collect()}
+    rows = [r for r in quality_rules.quality_rules(docs).collect() if r.doc_id in labels]
+    assert np.mean([r.keep for r in rows if labels[r.doc_id]]) > 0.97
+    assert np.mean([not r.keep for r in rows if not labels[r.doc_id]]) > 0.7
