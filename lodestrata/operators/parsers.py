@@ -5,7 +5,7 @@ or too many. ``Parsed`` holds the outputs without the rows of failed files, and
 """
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from lodestrata.sources import lines as text
 class Parsed:
     outputs: dict[str, DataFrame]
     failed: DataFrame  # content_hash, message
+    empty: set[str] = field(default_factory=set)  # outputs known to have no row
 
 
 @dataclass
@@ -152,8 +153,11 @@ def parse_mcdata(files: DataFrame) -> Parsed:
     bad = F.max(F.coalesce(~F.col("skip") & ~F.col("wide"), F.lit(False))).over(Window.partitionBy("content_hash"))
     own = own.withColumn("bad", bad)
     good = own.filter("not bad and not skip")
-    outputs = {f"mcdata.{name}": record_output(good.filter(F.col("kind") == k), f"mcdata.{name}") for k, (name, _) in RECORDS.items()}
-    return Parsed(outputs, own.filter("bad").select("content_hash", F.lit("a record has too few or too many fields").alias("message")).distinct())
+    # of at most nine kinds; an output whose kind doesn't occur needs no job
+    there = {r.kind for r in good.select("kind").distinct().collect()}
+    nothing = {f"mcdata.{name}": files.sparkSession.createDataFrame([], LEAVES[f"mcdata.{name}"][1]) for k, (name, _) in RECORDS.items() if k not in there}
+    outputs = {f"mcdata.{name}": record_output(good.filter(F.col("kind") == k), f"mcdata.{name}") for k, (name, _) in RECORDS.items() if k in there} | nothing
+    return Parsed(outputs, own.filter("bad").select("content_hash", F.lit("a record has too few or too many fields").alias("message")).distinct(), set(nothing))
 
 
 def parse_segments(files: DataFrame) -> Parsed:

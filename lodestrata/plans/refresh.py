@@ -66,7 +66,7 @@ def _process(store: Store, todo: DataFrame, session: str, at: datetime, stop_at_
     for parser in sorted(parsers):
         own = kept.join(items.filter(F.col("parser_id") == parser).select("content_hash").distinct(), "content_hash", "left_semi").select("content_hash", "content")
         parsed = PARSERS[parser](own)
-        outputs |= parsed.outputs
+        outputs |= {k: v for k, v in parsed.outputs.items() if k not in parsed.empty}
         failures = failures.unionByName(written(parsed.failed).select("content_hash", F.lit(parser).alias("parser_id"), "message"))
     each = items.join(failures, ["content_hash", "parser_id"], "left").withColumn("why", F.coalesce("unread", "message")).drop("unread", "message")
     order = Window.partitionBy("archive_id").orderBy("relative_path", "parser_id", "artifact_key")
