@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one vectorised step handles; a longer row is handled alone.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 MULT = 0x9E3779B97F4A7C15
 _INVERSE = pow(MULT, -1, 1 << 64)
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
