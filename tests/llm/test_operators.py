@@ -161,7 +161,8 @@ def test_byte_pairs_are_exact(docs):
 
 
 def test_best_two_fit_replaces_the_smallest():
-    assert packing.best_two_fit([6, 3, 2, 2], 10) == [[0, 2, 3]] + [[1]] or [sorted(b) for b in packing.best_two_fit([6, 3, 2, 2], 10)] == [[0, 2, 3], [1]]
+    # 6 + 3 leaves a gap of 1; 2 + 2 in the place of 3 leaves none
+    assert [sorted(b) for b in packing.best_two_fit([6, 3, 2, 2], 10)] == [[0, 2, 3], [1]]
     rng = random.Random(2)
     for _ in range(50):
         lengths = [rng.randint(1, 40) for _ in range(rng.randint(0, 60))]
