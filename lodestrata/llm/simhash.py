@@ -30,8 +30,6 @@ BLOCKS, BITS, THRESHOLD = 10, 13, 19
 RADIUS, BLOCK_THRESHOLD, PAIR_THRESHOLD = 1, THRESHOLD // BLOCKS, THRESHOLD // (BLOCKS // 2)
 LENGTH, CHECKS, _GENERATOR = 15, 4, 0b10011
 BYTES, WORDS = 2 * BLOCKS, BLOCKS // 2
-#: Features are words of so many bytes, or all words where there are fewer than FEW of these.
-LONG_WORD, FEW = 6, 5
 #: Pairs compared in one vectorised step.
 STEP = 1 << 21
 
@@ -70,8 +68,8 @@ def anchors(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def fingerprints(texts: pa.Array) -> pa.Array:
     """20 bytes for each text, a 16-bit word to a block; null for a null text.
 
-    The features are the set of long words (of all words, if there are few long ones; the whole text,
-    if there is no word), folded to lower case where ASCII. A bit is the majority of the features' bits.
+    The features are the set of all words (the whole text, if there is no word), folded to lower case
+    where ASCII. A bit is the majority of the features' bits.
     """
     data, offsets = utf8_view(texts)
     n = len(offsets) - 1
@@ -83,9 +81,6 @@ def fingerprints(texts: pa.Array) -> pa.Array:
         folded = FOLD[raw]
         starts, ends = runs(folded != 0, at)
         row = rows_of(at, starts)
-        long = ends - starts >= LONG_WORD
-        use = long | (np.bincount(row[long], minlength=j - i) < FEW)[row]
-        starts, ends, row = starts[use], ends[use], row[use]
         none = np.flatnonzero(np.bincount(row, minlength=j - i) == 0)
         hashes = np.concatenate([span_hashes(folded, starts, ends), span_hashes(raw, at[none], at[none + 1])])
         key = np.unique(np.concatenate([row, none]).astype(np.uint64) << np.uint64(42) | hashes >> np.uint64(22))

@@ -266,6 +266,22 @@ def test_copies_are_caught(spark):
     assert got == {0: 0, 1: 1, 2: 2, 3: 0, 4: 0}
 
 
+def test_near_copies_of_short_texts_by_all_words(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.choice([2, 3, 3, 4, 5, 7, 9])))
+    texts, edited = [], []
+    for _ in range(300):
+        words = [word() for _ in range(25)]
+        texts.append(" ".join(words))
+        words[rng.randrange(25)] = word()
+        edited.append(" ".join(words))
+    a, b = (simhash._bytes(simhash.fingerprints(pa.array(x))) for x in (texts, edited))
+    assert (np.bitwise_count(a ^ b).sum(1, dtype=int) <= simhash.THRESHOLD).mean() > 0.9
+    # forms with the same long words, and nothing else in common
+    forms = [(k, "customer number " + " ".join(str(rng.randrange(10_000)) for _ in range(20)) + " delivery address quantity payment") for k in range(5)]
+    assert all(r.keep for r in simhash.near_duplicates(spark.createDataFrame(forms, "doc_id long, text string")).collect())
+
+
 def test_quality_rules_against_a_plain_version(spark, docs):
     from math import log2, sqrt
 
