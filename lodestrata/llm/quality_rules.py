@@ -3,9 +3,12 @@
 A document's character-class histogram and common-word histogram are compared to those of its
 language by the Jensen-Shannon distance. The reference of a language is the mean of the
 normalised histograms of all its documents that are long enough, so a huge document weighs no more
-than another. A histogram of few items strays from its source by chance: the squared distance of
-``n`` draws over ``k`` bins is (k - 1) / (8 n ln 2) on average, which is allowed on top of the
-limit, and a histogram of fewer items than its guard isn't judged at all.
+than another. A histogram of few items strays from its source by chance, which is allowed on top of
+the limit; one of fewer items than its guard isn't judged at all. For classes the allowance is the mean
+of the squared distance of ``n`` draws over ``k`` bins, (k - 1) / (8 n ln 2). For words, most of which
+are rare, it is the ``QUANTILE`` of the squared distance of ``n`` words drawn from the reference itself,
+and the histogram is judged a second time with the words expected less than once in ``n`` as one bin:
+apart they tell nothing in a short text, but together that it has none.
 
 Both passes only map over the documents; what is gathered between them is one number for each
 language of ``COMMON_WORDS`` and bin, whatever the corpus holds.
@@ -32,6 +35,8 @@ COMMON_WORDS = {
 }
 #: Limits of the two distances, and the least letters and words by which a histogram is judged.
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE, MIN_CHARS, MIN_WORDS = 0.21, 0.2, 200, 20
+#: Of the distances of words drawn from a reference, and the draws by which it is found, at lengths that grow by STEP.
+QUANTILE, DRAWS, STEP, LONGEST = 0.95, 1000, 1.2, 20_000
 #: Histograms are summed as integers of this unit, so that the sums don't depend on their order.
 UNIT = 1e9
 
@@ -123,6 +128,39 @@ def references(docs: DataFrame) -> dict[str, dict[str, np.ndarray]]:
     return {kind: {k: np.array([v[b] for b in range(len(v) - 1)]) / UNIT / v[-1] for k, v in sorted(by.items()) if v[-1]} for kind, by in found.items()}
 
 
+@lru_cache(1)
+def _lengths() -> np.ndarray:
+    """The numbers of words for which the allowance is drawn."""
+    return np.unique((MIN_WORDS * STEP ** np.arange(np.log(LONGEST / MIN_WORDS) / np.log(STEP) + 1)).astype(int))
+
+
+def merged(counts: np.ndarray, reference: np.ndarray, n: int) -> np.ndarray:
+    """The histograms with the words expected less than once in ``n`` as one bin."""
+    rare = reference * n < 1
+    rare[-1] = False
+    return np.concatenate([counts[:, ~rare], counts[:, rare].sum(1, keepdims=True)], 1)
+
+
+def chance(reference: np.ndarray) -> np.ndarray:
+    """For each of the lengths the QUANTILE of the squared distance of words drawn from the reference, of all bins and merged."""
+    rng, out = np.random.default_rng(1), []
+    for n in _lengths().tolist():
+        counts = rng.multinomial(n, reference / reference.sum(), DRAWS)
+        both = distances(counts, reference), distances(merged(counts, reference, n), merged(reference[None], reference, n)[0])
+        out.append([np.quantile(d**2, QUANTILE) for d in both])
+    return np.array(out)
+
+
+def strays(counts: np.ndarray, distance: np.ndarray, reference: np.ndarray, allowed: np.ndarray) -> np.ndarray:
+    """Whether each row's words are beyond the limit and the allowance, by all bins or merged."""
+    at = np.maximum(np.searchsorted(_lengths(), counts.sum(1), "right") - 1, 0)
+    out = distance**2 > MAX_WORD_DISTANCE**2 + allowed[at, 0]
+    for k in np.unique(at).tolist():
+        own, n = at == k, int(_lengths()[k])
+        out[own] |= distances(merged(counts[own], reference, n), merged(reference[None], reference, n)[0]) ** 2 > MAX_WORD_DISTANCE**2 + allowed[k, 1]
+    return out
+
+
 def distances(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     """Jensen-Shannon distances (base 2, from 0 to 1) of each row's histogram to the reference."""
     p = _share(counts)
@@ -133,7 +171,7 @@ def distances(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, (a + b) / 2))
 
 
-def judged(texts: pa.Array, langs: pa.Array, refs: dict[str, dict[str, np.ndarray]]) -> pa.StructArray:
+def judged(texts: pa.Array, langs: pa.Array, refs: dict[str, dict[str, np.ndarray]], allowed: dict[str, np.ndarray]) -> pa.StructArray:
     classes, words, common = histograms(texts)
     columns = _vocabulary()[2]
     lang = np.array(langs.to_pylist(), object)
@@ -142,16 +180,18 @@ def judged(texts: pa.Array, langs: pa.Array, refs: dict[str, dict[str, np.ndarra
         own = refs.get(kind, {})
         each = {k: classes if kind == "class" else _own(words, common, columns[k]) for k in own}
         total = classes.sum(1) if kind == "class" else words
-        best, bins = np.full(len(lang), np.inf), np.ones(len(lang))
+        best, beyond = np.full(len(lang), np.inf), np.zeros(len(lang), bool)
         for k, reference in own.items():
             mine = (lang == k) | ~np.isin(lang, list(own))
             d = np.full(len(lang), np.inf)
             d[mine] = distances(each[k][mine], reference)
-            bins = np.where(d < best, len(reference), bins)
+            far = np.zeros(len(lang), bool)
+            far[mine] = strays(each[k][mine], d[mine], reference, allowed[k]) if kind == "word" else d[mine] ** 2 > limit**2 + (len(reference) - 1) / (8 * np.maximum(total[mine], 1) * np.log(2))
+            beyond = np.where(d < best, far, beyond)
             best = np.minimum(best, d)
         ok = (total >= least) & np.isfinite(best)
         out[kind] = np.where(ok, best, np.nan)
-        over[kind] = ok & (best**2 > limit**2 + (bins - 1) / (8 * np.maximum(total, 1) * np.log(2)))
+        over[kind] = ok & beyond
     blank = classes.sum(1) == classes[:, 4]
     reason = np.select([blank, over["class"], over["word"]], ["blank", "classes", "words"], "")
     mask = {k: np.isnan(v) for k, v in out.items()}
@@ -166,9 +206,10 @@ def with_verdict(docs: DataFrame, name: str = "_quality") -> DataFrame:
     every reference, the nearest counting. Repeated rows are judged alike.
     """
     refs = references(docs)
+    allowed = {k: chance(v) for k, v in refs.get("word", {}).items()}
 
     def judge(texts: pa.Array, langs: pa.Array) -> pa.Array:
-        return judged(texts, langs, refs)
+        return judged(texts, langs, refs, allowed)
 
     judge.__annotations__ = {"texts": pa.Array, "langs": pa.Array, "return": pa.Array}
     udf = F.arrow_udf(judge, "struct<chars:bigint,words:bigint,class_distance:double,word_distance:double,keep:boolean,reason:string>").asNondeterministic()

@@ -304,3 +304,22 @@ def test_quality_rules_on_labels(spark, docs):
     rows = [r for r in quality_rules.quality_rules(docs).collect() if r.doc_id in labels]
     assert np.mean([r.keep for r in rows if labels[r.doc_id]]) > 0.97
     assert np.mean([not r.keep for r in rows if not labels[r.doc_id]]) > 0.7
+
+
+def test_short_junk_is_told_by_its_words(spark, docs):
+    rng = random.Random(6)
+    known = {r.doc_id for r in spark.read.parquet(f"{DIR}/labels.parquet").collect() if r.quality}
+    clean = [(r.doc_id, r.lang, r.text.split()) for r in docs.collect() if r.doc_id in known]
+    rows, n = [], 0
+    for i, lang, words in clean:
+        for k in (25, 40, 70):
+            rows.append((10_000 + n, " ".join("".join(rng.choice("abcdefghijklmnoprst") for _ in range(rng.randint(3, 9))) for _ in range(k)), lang, "junk", k))
+            rows.append((20_000 + n, " ".join(words[:k]), lang, "good", k))
+            n += 1
+    rng.shuffle(rows)
+    rows = [r for r in rows if r[3] == "good" or r[0] % 7 == 0]
+    table = docs.union(spark.createDataFrame(rows, SCHEMA))
+    got = {r.doc_id: r.keep for r in quality_rules.quality_rules(table).collect()}
+    for k, least in ((25, 0.8), (40, 0.9), (70, 0.95)):
+        assert np.mean([not got[r[0]] for r in rows if r[3:] == ("junk", k)]) > least
+        assert np.mean([got[r[0]] for r in rows if r[3:] == ("good", k)]) > 0.95
