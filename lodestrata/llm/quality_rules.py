@@ -10,8 +10,12 @@ are rare, it is the ``QUANTILE`` of the squared distance of ``n`` words drawn fr
 and the histogram is judged a second time with the words expected less than once in ``n`` as one bin:
 apart they tell nothing in a short text, but together that it has none.
 
-Both passes only map over the documents; what is gathered between them is one number for each
-language of ``COMMON_WORDS`` and bin, whatever the corpus holds.
+The common words of the languages of ``COMMON_WORDS`` are listed; those of any other stated language
+are the ``TOP`` words that most of its documents hold. A language with fewer than ``LEAST`` documents to
+compare to has no such list and no reference, and nothing of it is rejected but what is blank.
+
+The passes only map over the documents; what is gathered between them is one number for each
+stated language and bin (and, before, the documents of each word of the languages that aren't listed).
 """
 
 import unicodedata
@@ -20,7 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.llm.kernel import row_slices, rows_of, runs, span_hashes, utf8_view
@@ -37,6 +41,8 @@ COMMON_WORDS = {
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE, MIN_CHARS, MIN_WORDS = 0.21, 0.2, 200, 20
 #: Of the distances of words drawn from a reference, and the draws by which it is found, at lengths that grow by STEP.
 QUANTILE, DRAWS, STEP, LONGEST = 0.95, 1000, 1.2, 20_000
+#: Common words of a language that isn't listed, and the documents from which they can be told.
+TOP, LEAST = 60, 30
 #: Histograms are summed as integers of this unit, so that the sums don't depend on their order.
 UNIT = 1e9
 
@@ -67,11 +73,12 @@ def _vocabulary() -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
     return hashes[order], order, {k: np.array([words.index(w) for w in own]) for k, own in COMMON_WORDS.items()}
 
 
-def histograms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each row the counts of character classes, the number of words, and the counts of common words."""
+def histograms(texts: pa.Array, own_words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row the counts of character classes, the number of words, and the counts of common words:
+    those of ``COMMON_WORDS``, or of the sorted hashes ``own_words``."""
     data, offsets = utf8_view(texts)
     kinds, lower = _tables()
-    hashes, column, _ = _vocabulary()
+    hashes, column = _vocabulary()[:2] if own_words is None else (own_words, np.arange(len(own_words)))
     n = len(offsets) - 1
     classes, words, common = np.zeros((n, len(CLASSES)), np.int64), np.zeros(n, np.int64), np.zeros((n, len(hashes)), np.int64)
     for i, j in row_slices(offsets):
@@ -98,20 +105,62 @@ def _own(words: np.ndarray, common: np.ndarray, columns: np.ndarray) -> np.ndarr
     return np.concatenate([counts, (words - counts.sum(1))[:, None]], 1)
 
 
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each batch and language the hashes of words, and how many documents hold them."""
+    kinds, lower = _tables()
+    for batch in batches:
+        names, number = np.unique(np.array(batch.column(1).to_pylist(), str), return_inverse=True)
+        data, offsets = utf8_view(batch.column(0))
+        for i, j in row_slices(offsets):
+            raw = data[offsets[i] : offsets[j]]
+            first = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+            at = first[offsets[i : j + 1] - offsets[i]]
+            codes = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+            starts, ends = runs(kinds[codes] <= 2, at)
+            row, many = rows_of(at, starts), np.bincount(rows_of(at, starts), minlength=j - i)
+            ok = many[row] >= MIN_WORDS
+            pair = np.unique(np.stack([row[ok].astype(np.uint64), span_hashes(lower[codes], starts[ok], ends[ok])], 1), axis=0)
+            held, n = np.unique(np.stack([number[i + pair[:, 0].astype(np.int64)].astype(np.uint64), pair[:, 1]], 1), axis=0, return_counts=True)
+            yield pa.record_batch([pa.array(names[held[:, 0].astype(np.int64)].tolist(), pa.string()), pa.array(held[:, 1].copy().view(np.int64)), pa.array(n)], ["lang", "word", "n"])
+
+
+def found_words(texts: DataFrame) -> dict[str, np.ndarray]:
+    """By stated language that isn't listed, the sorted hashes of its TOP commonest words, counted over all documents."""
+    others = texts.filter(F.col("lang").isNotNull() & ~F.col("lang").isin(*COMMON_WORDS))
+    if others.select("lang").isEmpty():
+        return {}
+    counts = others.mapInArrow(_distinct_words, "lang string, word bigint, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    out: dict[str, list[int]] = {}
+    for r in counts.withColumn("rank", rank).filter(F.col("rank") <= TOP).collect():
+        out.setdefault(r.lang, []).append(r.word)
+    return {k: np.sort(np.array(v, np.int64).view(np.uint64)) for k, v in sorted(out.items())}
+
+
 def _share(counts: np.ndarray) -> np.ndarray:
     return counts / np.maximum(counts.sum(1, keepdims=True), 1)
 
 
-def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    columns = _vocabulary()[2]
+def _counts(texts: pa.Array, rows: np.ndarray, name: str, found: dict[str, np.ndarray], listed: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The rows' common-word histograms of one language; ``listed`` has all rows' words and listed common words."""
+    if name in COMMON_WORDS:
+        return _own(listed[0][rows], listed[1][rows], _vocabulary()[2][name])
+    own = found.get(name, np.zeros(0, np.uint64))
+    if not len(own):
+        return listed[0][rows][:, None]
+    _, words, common = histograms(texts.take(pa.array(np.flatnonzero(rows))), own)
+    return _own(words, common, np.arange(len(own)))
+
+
+def _partial(found: dict[str, np.ndarray], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[tuple[str, str, int], int] = {}
     for batch in batches:
         classes, words, common = histograms(batch.column(0))
         lang = np.array(batch.column(1).to_pylist(), object)
-        for name, own in columns.items():
+        for name in sorted({x for x in lang.tolist() if x is not None}):
             mine = lang == name
-            for kind, counts, least in (("class", classes, MIN_CHARS), ("word", _own(words, common, own), MIN_WORDS)):
-                ok = mine & (counts.sum(1) >= least)
+            for kind, counts, least in (("class", classes[mine], MIN_CHARS), ("word", _counts(batch.column(0), mine, name, found, (words, common)), MIN_WORDS)):
+                ok = counts.sum(1) >= least
                 for k, v in enumerate(np.rint(_share(counts[ok]) * UNIT).astype(np.int64).sum(0).tolist()):
                     sums[name, kind, k] = sums.get((name, kind, k), 0) + v
                 sums[name, kind, -1] = sums.get((name, kind, -1), 0) + int(ok.sum())
@@ -119,13 +168,19 @@ def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array([x[0] for x in keys], pa.string()), pa.array([x[1] for x in keys], pa.string()), pa.array([x[2] for x in keys], pa.int32()), pa.array([sums[x] for x in keys], pa.int64())], ["lang", "kind", "bin", "total"])
 
 
-def references(docs: DataFrame) -> dict[str, dict[str, np.ndarray]]:
-    """By language and kind (class, word) the mean histogram; a language without long enough documents has none."""
+def references(docs: DataFrame, words: dict[str, np.ndarray] | None = None) -> dict[str, dict[str, np.ndarray]]:
+    """By language and kind (class, word) the mean histogram; a language without long enough documents has none.
+    ``words`` are the common words of the languages that aren't listed."""
     texts = docs.select(F.col("text").cast("string"), F.col("lang").cast("string"))
+    words = found_words(texts) if words is None else words
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _partial(words, batches)
+
     found: dict[str, dict[str, dict[int, int]]] = {}
-    for r in texts.mapInArrow(_partial, "lang string, kind string, bin int, total bigint").groupBy("lang", "kind", "bin").agg(F.sum("total").cast("decimal(38,0)").alias("total")).collect():
+    for r in texts.mapInArrow(partial, "lang string, kind string, bin int, total bigint").groupBy("lang", "kind", "bin").agg(F.sum("total").cast("decimal(38,0)").alias("total")).collect():
         found.setdefault(r.kind, {}).setdefault(r.lang, {})[r.bin] = int(r.total)
-    return {kind: {k: np.array([v[b] for b in range(len(v) - 1)]) / UNIT / v[-1] for k, v in sorted(by.items()) if v[-1]} for kind, by in found.items()}
+    return {kind: {k: np.array([v[b] for b in range(len(v) - 1)]) / UNIT / v[-1] for k, v in sorted(by.items()) if v[-1] >= (1 if k in COMMON_WORDS else LEAST)} for kind, by in found.items()}
 
 
 @lru_cache(1)
@@ -171,22 +226,24 @@ def distances(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, (a + b) / 2))
 
 
-def judged(texts: pa.Array, langs: pa.Array, refs: dict[str, dict[str, np.ndarray]], allowed: dict[str, np.ndarray]) -> pa.StructArray:
+def judged(texts: pa.Array, langs: pa.Array, refs: dict[str, dict[str, np.ndarray]], allowed: dict[str, np.ndarray], found: dict[str, np.ndarray]) -> pa.StructArray:
     classes, words, common = histograms(texts)
-    columns = _vocabulary()[2]
     lang = np.array(langs.to_pylist(), object)
+    unstated = np.array([x is None for x in lang.tolist()], bool)
     out, over = {}, {}
     for kind, least, limit in (("class", MIN_CHARS, MAX_CLASS_DISTANCE), ("word", MIN_WORDS, MAX_WORD_DISTANCE)):
         own = refs.get(kind, {})
-        each = {k: classes if kind == "class" else _own(words, common, columns[k]) for k in own}
         total = classes.sum(1) if kind == "class" else words
         best, beyond = np.full(len(lang), np.inf), np.zeros(len(lang), bool)
         for k, reference in own.items():
-            mine = (lang == k) | ~np.isin(lang, list(own))
+            mine = (lang == k) | unstated
+            if not mine.any():
+                continue
+            counts = classes[mine] if kind == "class" else _counts(texts, mine, k, found, (words, common))
             d = np.full(len(lang), np.inf)
-            d[mine] = distances(each[k][mine], reference)
+            d[mine] = distances(counts, reference)
             far = np.zeros(len(lang), bool)
-            far[mine] = strays(each[k][mine], d[mine], reference, allowed[k]) if kind == "word" else d[mine] ** 2 > limit**2 + (len(reference) - 1) / (8 * np.maximum(total[mine], 1) * np.log(2))
+            far[mine] = strays(counts, d[mine], reference, allowed[k]) if kind == "word" else d[mine] ** 2 > limit**2 + (len(reference) - 1) / (8 * np.maximum(total[mine], 1) * np.log(2))
             beyond = np.where(d < best, far, beyond)
             best = np.minimum(best, d)
         ok = (total >= least) & np.isfinite(best)
@@ -202,14 +259,15 @@ def with_verdict(docs: DataFrame, name: str = "_quality") -> DataFrame:
     """``docs`` with a struct of chars, words, class_distance, word_distance, keep and reason.
 
     A null, empty or blank text is rejected (``blank``). A distance is null where its guard isn't met
-    and then rejects nothing. A document whose language is null or has no reference is compared to
-    every reference, the nearest counting. Repeated rows are judged alike.
+    and then rejects nothing. A document whose language is null is compared to every reference, the
+    nearest counting; one of a language without a reference to none. Repeated rows are judged alike.
     """
-    refs = references(docs)
+    found = found_words(docs.select(F.col("text").cast("string"), F.col("lang").cast("string")))
+    refs = references(docs, found)
     allowed = {k: chance(v) for k, v in refs.get("word", {}).items()}
 
     def judge(texts: pa.Array, langs: pa.Array) -> pa.Array:
-        return judged(texts, langs, refs, allowed)
+        return judged(texts, langs, refs, allowed, found)
 
     judge.__annotations__ = {"texts": pa.Array, "langs": pa.Array, "return": pa.Array}
     udf = F.arrow_udf(judge, "struct<chars:bigint,words:bigint,class_distance:double,word_distance:double,keep:boolean,reason:string>").asNondeterministic()

@@ -323,3 +323,24 @@ def test_short_junk_is_told_by_its_words(spark, docs):
     for k, least in ((25, 0.8), (40, 0.9), (70, 0.95)):
         assert np.mean([not got[r[0]] for r in rows if r[3:] == ("junk", k)]) > least
         assert np.mean([got[r[0]] for r in rows if r[3:] == ("good", k)]) > 0.95
+
+
+def test_other_languages_have_their_own_references(spark):
+    from pyspark.sql import functions as F
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    labels = {r.doc_id: r.quality for r in labels.collect()}
+    by = {r.doc_id: r for r in quality_rules.quality_rules(docs).collect()}
+    turn = str.maketrans("abcdefghijklmnopqrstuvwxyzäöüßéèêáíóúñàçùîô", "абвгдежзийклмнопрстуфхцчшщъыьэюяѐёђѓєѕіїјљњ"[:43])
+    swap = F.udf(lambda t: t.lower().translate(turn), "string")
+    for k in ("de", "es"):
+        other = docs.withColumn("text", F.when(F.col("lang") == k, swap("text")).otherwise(F.col("text"))).withColumn("lang", F.when(F.col("lang") == k, "xx").otherwise(F.col("lang")))
+        rows = other.filter("lang = 'xx'").select("doc_id").collect()
+        got = {r.doc_id: r for r in quality_rules.quality_rules(other).collect()}
+        good = [r.doc_id for r in rows if labels.get(r.doc_id) == 1]
+        assert good and np.mean([got[i].keep for i in good]) > 0.9
+        assert sum(not got[r.doc_id].keep for r in rows) <= sum(not by[r.doc_id].keep for r in rows) + 0.1 * len(rows)
+        assert any(got[r.doc_id].word_distance is not None for r in rows)
+    # no reference: nothing rejected by words
+    few = docs.filter("lang = 'en'").limit(3).withColumn("lang", F.lit("yy"))
+    assert all(r.keep for r in quality_rules.quality_rules(few).collect() if r.chars)
