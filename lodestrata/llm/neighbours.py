@@ -10,6 +10,9 @@ The radius is calibrated to the data: the true neighbours of ``PROBES`` sampled
 one exact pass over all vectors, and the radius is the least within which ``RECALL`` of them lie. The number
 of substrings is the one of the least work for that radius and row count.
 
+A row with fewer than ``k`` others within the radius (an outlying one, where most rows lie in tight clusters)
+is compared to all rows instead, so every row has ``k`` neighbours if there are so many.
+
 Every vector goes to one cell for each substring as an entry and to each probed cell as a query. A cell
 is cut into blocks of about ``BLOCK`` entries (its size is counted first), and queries go to all of them, so no
 task holds more than a block of entries and one of queries; nothing is broadcast but the rotation and
@@ -25,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.llm.scratch import cut
+
 K, RECALL, PROBES = 10, 0.95, 192
 #: Rows that the rotation is fitted to, and its rounds.
 SAMPLE, ROUNDS, SEED = 4096, 40, 3
@@ -95,7 +100,9 @@ def split(bits: int, parts: int) -> list[int]:
 def cheapest(radius: int, bits: int, rows: int) -> tuple[list[int], int]:
     """Widths of the substrings and the slack of a probe, of the least work; all keep the pigeonhole promise."""
     best = None
-    for parts in range(1, min(bits, radius + 1) + 1):
+    for parts in range(1, bits + 1):
+        if best is not None and parts > radius + 1:
+            break  # only where a small radius would need too many cells
         slack, widths = radius // parts, split(bits, parts)
         if sum(1 << min(w, 40) for w in widths) > MAX_CELLS:
             continue
@@ -257,6 +264,31 @@ def _meet(plan: Plan, k: int, group: pa.Table) -> pa.Table:
     return pa.table({"id": ids.take(pa.array(q[i], pa.int64())), "neighbour": ids.take(pa.array(e[j], pa.int64())), "cosine": pa.array(cosine, pa.float32())})
 
 
+def _all_pairs(rows: DataFrame, asking: DataFrame, plan: Plan, k: int, result: str) -> DataFrame:
+    """Pairs of each row of ``asking`` (id) and its nearest of all rows: blocks of queries meet blocks of entries."""
+    n, m = rows.count(), asking.count()
+    entries, groups = max(1, -(-n // BLOCK)), max(1, -(-m // BLOCK))
+    every = Plan(plan.mean, plan.rotation, MAX_BITS, [0], 0)
+    spread = lambda count: F.pmod(F.xxhash64("id", F.lit(1)), F.lit(count)).cast("int")
+    each = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    asks = rows.join(asking, "id", "left_semi").select("id", "v", spread(groups).alias("group"), each(entries).alias("block"), F.lit(ASK).alias("role"))
+    answers = rows.select("id", "v", each(groups).alias("group"), spread(entries).alias("block"), F.lit(ANSWER).alias("role"))
+
+    def meet(group: pa.Table) -> pa.Table:
+        x, at = matrix(group.column("v"), len(plan.mean))
+        raw = np.concatenate([codes(x, plan.mean, plan.rotation).view(np.uint8).reshape(-1, 8), x.view(np.uint8).reshape(len(x), -1)], 1)
+        table = group.select(["id", "role"]).take(pa.array(at)).append_column("raw", pa.array([r.tobytes() for r in raw], pa.binary())).append_column("part", pa.array(np.zeros(len(at), np.int32)))
+        return _meet(every, k, table) if len(at) else table.select(["id"]).append_column("neighbour", table.column("id")).append_column("cosine", pa.array([], pa.float32()))
+
+    meet.__annotations__ = {"group": pa.Table, "return": pa.Table}
+    return asks.unionByName(answers).groupBy("block", "group").applyInArrow(meet, result)
+
+
+def _top(pairs: DataFrame, k: int) -> DataFrame:
+    """id and top, the k nearest as (minus the cosine, neighbour)."""
+    return pairs.repartition("id").groupBy("id", "neighbour").agg(F.max("cosine").alias("cosine")).groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("cosine")).alias("c"), F.col("neighbour").alias("n")))), 1, k).alias("top"))
+
+
 def neighbours(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", k: int = K, recall: float = RECALL) -> DataFrame:
     """For every row its ``k`` nearest others by cosine: key, neighbour, rank (from 1), cosine (6 digits).
 
@@ -264,7 +296,8 @@ def neighbours(vectors: DataFrame, key: str = "vec_id", column: str = "embedding
     with several vectors is answered by the nearest of them, and is never its own neighbour. A row whose
     key or vector is null, or whose vector has another length than most, a number that isn't finite or only
     zeros, neither asks nor answers. Fewer than two usable rows give no row. The search is approximate:
-    neighbours beyond the radius, 1 - ``recall`` of them on the calibration sample, are missed.
+    neighbours beyond the radius, 1 - ``recall`` of them on the calibration sample, are missed, but a row that
+    has fewer than ``k`` within it gets its exact neighbours.
     """
     rows = vectors.select(F.col(key).alias("id"), F.col(column).cast("array<float>").alias("v")).filter("id is not null and v is not null")
     kind = rows.schema["id"].dataType.simpleString()
@@ -292,5 +325,11 @@ def neighbours(vectors: DataFrame, key: str = "vec_id", column: str = "embedding
         sent = rows.withColumn("spread", F.xxhash64("id")).mapInArrow(send, f"cell int, block int, group int, part int, role int, id {kind}, raw binary")
         pairs = sent.groupBy("cell", "block", "group").applyInArrow(meet, result)
     # a pair is found in one cell only, so all that is left is to gather by id
-    best = pairs.repartition("id").groupBy("id", "neighbour").agg(F.max("cosine").alias("cosine")).groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("cosine")).alias("c"), F.col("neighbour").alias("n")))), 1, k).alias("top"))
+    best = _top(pairs, k)
+    if plan is not None:
+        best = cut(best)
+        full = best.filter(F.size("top") == k)
+        short = cut(rows.select("id").distinct().join(full.select("id"), "id", "left_anti"))
+        if not short.isEmpty():
+            best = full.union(_top(_all_pairs(rows, short, plan, k, result), k))
     return best.select(F.col("id").alias(key), F.posexplode("top").alias("p", "t")).select(key, F.col("t.n").alias("neighbour"), (F.col("p") + 1).alias("rank"), F.round((-F.col("t.c")).cast("double"), 6).alias("cosine"))

@@ -214,6 +214,22 @@ def test_neighbours_against_brute_force(spark):
     assert neighbours.neighbours(frame.limit(0)).count() == 0
 
 
+def test_outlying_vectors_have_neighbours(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(40, 16))
+    x = np.concatenate([np.repeat(centres, 48, 0) + rng.normal(size=(1920, 16)) * 1e-3, rng.normal(size=(80, 16))]).astype(np.float32)
+    got = {}
+    for r in neighbours.neighbours(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")).collect():
+        got.setdefault(r.vec_id, []).append(r.neighbour)
+    assert {len(v) for v in got.values()} == {10} and len(got) == len(x)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    # clusters of copies are ties; an outlying row is held to the cosines it gets
+    for k in range(1920, 2000):
+        assert np.sort(s[k])[-10:].sum() - s[k, got[k]].sum() < 0.1 * 10
+
+
 def test_probing_retrieves_all_within_the_radius():
     rng = np.random.default_rng(0)
     n = 400
