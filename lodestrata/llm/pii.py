@@ -8,7 +8,7 @@ boundaries and types together; the weights are fitted by gradient ascent on the
 with forward-backward over the same segments, on sentences made here (:func:`made_sentences`).
 
 A segment can be an entity only if one of ``SHAPES`` matches all of it, and every shape holds a
-digit, an @, or a value set by = or :. Elsewhere O is the only label and costs the same on every
+digit, an @, a ::, or a value set by = or :. Elsewhere O is the only label and costs the same on every
 path, so only the islands around such signs are segmented; between islands there is always an O.
 """
 
@@ -32,14 +32,15 @@ SENTENCES, EPOCHS, RATE, DECAY = 420, 7, 0.5, 1e-4
 
 TOKEN = re.compile(r"\w+|\s+|[^\w\s]")
 _KEYWORD = r"(?:pass(?:word|wd|phrase|wort)?|pwd|secret|token|credential|(?:api|access|private|auth)?[_\- ]?key)"
-ISLAND = re.compile(rf"\S*[0-9@=]\S*(?:(?<=[=:])\s{{1,3}}\S+)?|(?i:{_KEYWORD})[\"']?\s{{0,2}}:\s{{0,2}}\S+")
+ISLAND = re.compile(rf"\S*(?:[0-9@=]|::)\S*(?:(?<=[=:])\s{{1,3}}\S+)?|(?i:{_KEYWORD})[\"']?\s{{0,2}}:\s{{0,2}}\S+")
 GAP = 3
 SHAPES = {
     "email": re.compile(r"[\w.%+\-]+@\w[\w\-]*(?:\.\w[\w\-]*)+"),
     "phone+": re.compile(r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}"),
     "phone": re.compile(r"(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}"),
-    "ip": re.compile(r"(?:\d{1,3}\.){3}\d{1,3}|(?:[0-9A-Fa-f]{1,4}:){4,7}[0-9A-Fa-f]{1,4}"),
-    "card": re.compile(r"\d{13,19}|\d{4}([ \-])\d{4}\1\d{4}\1\d{1,7}"),
+    "phone0": re.compile(r"(?:\(0\d{1,5}\) ?|0\d{1,5}[ .\-/])\d{2,8}(?:[ .\-]\d{2,6}){0,4}|0\d{8,11}"),
+    "ip": re.compile(r"(?:\d{1,3}\.){3}\d{1,3}|(?:[0-9A-Fa-f]{1,4}:){4,7}[0-9A-Fa-f]{1,4}|(?=:*[0-9A-Fa-f])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?"),
+    "card": re.compile(r"\d{13,19}|\d{4}([ \-])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ \-])\d{6}\2\d{4,5}"),
     "ssn": re.compile(r"\d{3}-\d{2}-\d{4}"),
     "iban": re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?"),
     "key": re.compile(r"[A-Za-z0-9_\-]{16,}"),
@@ -211,15 +212,15 @@ def made_sentences(n: int, seed: int = 11) -> list[tuple[str, list[tuple[str, in
     key = lambda: rng.choice([some("0123456789abcdef", rng.choice([32, 40, 64])), some(b64, rng.randint(18, 44)), "AKIA" + some(b64.upper(), 16), "ghp_" + some(b64, 36), "sk-" + some(b64, 32)])
     makers = {
         "EMAIL": lambda: ("", rng.choice([f"{word()}.{d(2)}@mail{d(1)}.example.com", f"{word()}@{word()}.org", f"{word()}_{word()}+{word()}@{word()}.co.uk", f"{d(3)}{word()}@x{d(2)}.net"])),
-        "PHONE": lambda: (rng.choice(["", "", "call ", "tel: "]), rng.choice([f"+1 ({d(3)}) {d(3)}-{d(4)}", f"+{rng.choice(['33', '49', '34', '1', '44'])} {d(3)} {d(3)} {d(4)}", f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"+49{d(3)}{d(4)}{d(3)}"])),
-        "IP": lambda: (rng.choice(["", "", "host ", "ip: "]), rng.choice([".".join(octet() for _ in range(4))] * 4 + [":".join(some("0123456789abcdef", 4) for _ in range(8))])),
-        "CARD": lambda: (rng.choice(["", "", "card ", "visa: "]), rng.choice([d(16), d(16), valid(16), valid(15), " ".join(d(4) for _ in range(4)), "-".join(d(4) for _ in range(4))])),
+        "PHONE": lambda: (rng.choice(["", "", "call ", "tel: "]), rng.choice([f"+1 ({d(3)}) {d(3)}-{d(4)}", f"+{rng.choice(['33', '49', '34', '1', '44'])} {d(3)} {d(3)} {d(4)}", f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"+49{d(3)}{d(4)}{d(3)}"] + [f"01{d(2)} {d(7)}", f"0{rng.randint(1, 9)} {d(2)} {d(2)} {d(2)} {d(2)}", f"0{d(2)}/{d(7)}", f"(0{d(3)}) {d(6)}", f"0{d(3)}-{d(6)}", f"0{rng.randint(1, 9)}.{d(2)}.{d(2)}.{d(2)}.{d(2)}"])),
+        "IP": lambda: (rng.choice(["", "", "host ", "ip: "]), rng.choice([".".join(octet() for _ in range(4))] * 4 + [":".join(some("0123456789abcdef", 4) for _ in range(8)), f"fe80::{some('0123456789abcdef', rng.randint(1, 4))}", f"2001:db8::{d(1)}", f"2001:{some('0123456789abcdef', 3)}:{some('0123456789abcdef', 4)}::{some('0123456789abcdef', 2)}"])),
+        "CARD": lambda: (rng.choice(["", "", "card ", "visa: "]), rng.choice([d(16), d(16), valid(16), valid(15), " ".join(d(4) for _ in range(4)), "-".join(d(4) for _ in range(4)), f"3{d(3)} {d(6)} {d(5)}", f"3{d(3)}-{d(6)}-{d(5)}"])),
         "SSN": lambda: (rng.choice(["", "ssn ", "social security "]), f"{d(3)}-{d(2)}-{d(4)}"),
         "IBAN": lambda: (rng.choice(["", "iban ", "account: "]), iban()),
     }
 
     def lookalike() -> str:
-        return rng.choice([f"20{d(2)}-0{rng.randint(1, 9)}-1{d(1)}", f"{rng.randint(10, 23)}:{rng.randint(10, 59)}", f"version {rng.randint(1, 9)}.{d(1)}.{d(1)}.{d(1)}", f"v{d(1)}.{d(2)}.{d(1)}", f"${d(3)}.{d(2)}", f"order {d(9)}", f"id {d(12)}", f"n = {d(3)}", f"ratio: {d(1)}.{d(4)}", f"{d(24)}", f"isbn 978-{d(1)}-{d(4)}-{d(4)}-{d(1)}", f"{d(4)}", f"{d(2)}%", f"commit {some('0123456789abcdef', 40)}", f"{word()}@{word()}", f"@{word()}{d(2)}", f"x = {word()}", f"{word()}-{word()}-{word()}-{d(2)}", f"+{d(1)}", f"{d(3)}.{d(3)}.{d(3)}", f"key: {rng.choice(['the', 'a', 'to'])} {word()}", f"{rng.randint(300, 999)}.{rng.randint(300, 999)}.{d(3)}.{d(2)}"])
+        return rng.choice([f"0{rng.randint(1, 9)}.0{rng.randint(1, 9)}.20{d(2)}", f"0{rng.randint(1, 9)}/1{rng.randint(0, 2)}/20{d(2)}", f"0{rng.randint(1, 9)}-1{rng.randint(0, 2)}-20{d(2)}", f"{word()}::{word()}", f"20{d(2)}-0{rng.randint(1, 9)}-1{d(1)}", f"{rng.randint(10, 23)}:{rng.randint(10, 59)}", f"version {rng.randint(1, 9)}.{d(1)}.{d(1)}.{d(1)}", f"v{d(1)}.{d(2)}.{d(1)}", f"${d(3)}.{d(2)}", f"order {d(9)}", f"id {d(12)}", f"n = {d(3)}", f"ratio: {d(1)}.{d(4)}", f"{d(24)}", f"isbn 978-{d(1)}-{d(4)}-{d(4)}-{d(1)}", f"{d(4)}", f"{d(2)}%", f"commit {some('0123456789abcdef', 40)}", f"{word()}@{word()}", f"@{word()}{d(2)}", f"x = {word()}", f"{word()}-{word()}-{word()}-{d(2)}", f"+{d(1)}", f"{d(3)}.{d(3)}.{d(3)}", f"key: {rng.choice(['the', 'a', 'to'])} {word()}", f"{rng.randint(300, 999)}.{rng.randint(300, 999)}.{d(3)}.{d(2)}"])
 
     out = []
     for _ in range(n):

@@ -77,6 +77,13 @@ def test_pii_on_made_sentences_kept_out():
     assert right / found > 0.9 and right / wanted > 0.9
 
 
+@pytest.mark.parametrize("label, value", [("PHONE", "0171 2345678"), ("PHONE", "06 12 34 56 78"), ("PHONE", "030/1234567"), ("IP", "fe80::1"), ("IP", "2001:db8::1"), ("CARD", "3782 822463 10005")])
+def test_pii_forms_of_other_countries(label, value):
+    text = f"bitte melden {value} oder schreiben"
+    assert pii.entities(text, pii.trained()) == [(label, 13, 13 + len(value))]
+    assert pii.entities("am 05.03.2021 oder 07/12/2020", pii.trained()) == []
+
+
 def test_pii_decoding_is_the_best_segmentation():
     model = pii.trained()
     text = "call +49 301 555 0199 or a@b.org"
