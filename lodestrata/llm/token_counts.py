@@ -8,8 +8,10 @@ boundary on doesn't depend on what came before. By induction the left chunk's bo
 of the whole text from its own splice on, except the last two pre-tokens, which the end of the chunk
 may have changed (the pattern looks no further than a run of one kind and the sign after it). From
 the first boundary that the right chunk shares with those, its pre-tokens are therefore those of the
-whole text too. If the overlap holds no shared boundary, it is doubled, in the end up to all that
-follows the last splice, so the result is always that of encoding the text in one go.
+whole text too. If the overlap holds no shared boundary, it is widened: to the left chunk's last such
+boundary, or to all that follows the last splice where it has none (within a huge unbroken run). Then the
+next chunk is made as long as what had to be encoded again, so a run of any length costs a few times its
+own length in all, and the result is always that of encoding the text in one go.
 """
 
 import base64
@@ -85,19 +87,23 @@ def encode(text: str, path: str = VOCABULARY, chunk: int = CHUNK, overlap: int =
     left, splice = _Piece(raw, 0, _align(raw, chunk), path), 0
     while left.end < len(raw):
         chunks += 1
-        end, wide = _align(raw, min(len(raw), left.end + chunk - overlap)), overlap
+        end, start = _align(raw, min(len(raw), left.end + max(chunk - overlap, left.end - splice - chunk))), max(splice, _align(raw, left.end - overlap))
+        stable = left.boundaries(splice + 1, left.end)
+        if not stable:
+            # within an unbroken run: it begins at a stable boundary, so nothing of the left chunk is needed
+            widened += start > splice
+            left = _Piece(raw, splice, end, path)
+            continue
         while True:
-            start = max(splice, _align(raw, left.end - wide))
             right = _Piece(raw, start, end, path)
-            if start == splice:  # it begins at a stable boundary, so nothing of the left chunk is needed
-                left = right
-                break
-            shared = sorted(set(left.boundaries(start, left.end)) & set(right.boundaries(start, left.end)))
+            near = [x for x in stable if x >= start]
+            shared = sorted(set(near) & set(right.boundaries(start, left.end))) if near else []
             if shared:
                 out.append(left.between(splice, shared[0]))
                 left, splice = right, shared[0]
                 break
-            wide *= 2
+            # at the latest, the right chunk begins at a boundary of the left one
+            start = max(stable[0], min(stable[-1], _align(raw, 2 * start - left.end)))
             widened += 1
     out.append(left.between(splice, left.end))
     return np.concatenate(out), chunks, widened
@@ -134,5 +140,9 @@ def with_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, name: str = "_tok
 
 
 def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """One row for each document: doc_id, n_tokens, n_bytes, chunks, widened."""
+    """One row for each document: doc_id, n_tokens, n_bytes, chunks, widened (how often an overlap was).
+
+    A null text has null counts and no chunk, an empty one no token. Repeated rows are counted each; an empty
+    table gives no row; other columns, whatever their names, are left out.
+    """
     return with_tokens(docs.select("doc_id", "text"), vocabulary).select("doc_id", "_tokens.*")

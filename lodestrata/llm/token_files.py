@@ -125,7 +125,8 @@ def packed_ids(texts: pa.Array, path: str) -> pa.StructArray:
 def token_blocks(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """One row for each document: doc_id, n_tokens, payload, block_starts (``read_ids`` gives the ids).
 
-    All three are null for a null text; an empty one has no token, an empty payload and no block.
+    All three are null for a null text; an empty one has no token, an empty payload and no block. Repeated
+    rows are encoded each, alike; an empty table gives no row; other columns, whatever their names, are left out.
     """
 
     def run(texts: pa.Array) -> pa.Array:
