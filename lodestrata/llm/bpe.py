@@ -5,8 +5,12 @@ at once along a trie. A sequence of tokens is what merging gives if and only if
 adjacent pair as it is, so it suffices to check pairs: unmerge the two tokens in the reverse order
 of their merges, and see whether at any moment a merge across their border would have come first.
 These checks run over all pairs at once. Only words with a pair that fails are merged exactly.
+
+Words of any length go this way. Where many short words are cut along the trie side by side, the places of a
+long one are: the longest token from each of its places is found at once, and then only the jumps are followed.
 """
 
+import hashlib
 import heapq
 from dataclasses import dataclass
 from functools import lru_cache
@@ -19,17 +23,18 @@ from pyspark.sql import functions as F
 from lodestrata.llm.kernel import ragged, row_slices, utf8_view
 from lodestrata.llm.token_counts import SPLIT, VOCABULARY, ranks
 
-#: Bytes of text whose distinct words are encoded together; a longer word is merged exactly at once.
-SLICE, LONG = 1 << 20, 128
+#: Bytes of text whose distinct words are encoded together, of a word from which its places are matched side by
+#: side, and of the places that are at once.
+SLICE, LONG, WINDOW = 1 << 20, 128, 1 << 16
 NEVER = np.int64(1 << 40)
-#: Exact results kept by each worker for the words that failed, and how many at most.
-_EXACT: dict[tuple[int, bytes] | None, list[int]] = {}
-KEPT = 400_000
+#: Exact results kept by each worker for the words that failed, how many at most, and of how many bytes each.
+_EXACT: dict[tuple[bytes, bytes] | None, list[int]] = {}
+KEPT, KEPT_BYTES = 400_000, 128
 
 
 @dataclass
 class Tables:
-    mark: int  # tells tables apart
+    mark: bytes  # tells tables apart: a digest of all their tokens
     ranks: dict[bytes, int]
     flat: np.ndarray  # the bytes of all tokens, by rank
     starts: np.ndarray
@@ -95,7 +100,7 @@ def tables(path: str = VOCABULARY) -> Tables:
     starts = np.cumsum(lengths) - lengths
     for w, t in own.items():
         flat[starts[t] : starts[t] + len(w)] = np.frombuffer(w, np.uint8)
-    return Tables(hash((size, flat.tobytes()[:4096], flat.tobytes()[-4096:])), own, flat, starts, lengths, left, right, (left[joined] * size + right[joined])[order], joined[order], edges, np.array([children[k] for k in edges.tolist()], np.int64), np.array(ends, np.int64))
+    return Tables(hashlib.blake2b(lengths.tobytes() + flat.tobytes(), digest_size=16).digest(), own, flat, starts, lengths, left, right, (left[joined] * size + right[joined])[order], joined[order], edges, np.array([children[k] for k in edges.tolist()], np.int64), np.array(ends, np.int64))
 
 
 def _look(keys: np.ndarray, values: np.ndarray, at: np.ndarray, none: int) -> np.ndarray:
@@ -152,21 +157,45 @@ def longest(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, t: Tables) -
     return word[order], token[order]
 
 
+def longest_of_one(data: np.ndarray, t: Tables) -> np.ndarray:
+    """One word cut greedily into the longest tokens."""
+    out, at = [], 0
+    for first in range(0, len(data), WINDOW):
+        place = np.arange(first, min(len(data), first + WINDOW))
+        who, node = place - first, np.zeros(len(place), np.int64)
+        best = np.full(len(place), -1)
+        while len(who):
+            node = _look(t.edges, t.nodes, node << 8 | data[place], -1)
+            on = node >= 0
+            who, place, node = who[on], place[on] + 1, node[on]
+            hit = t.ends[node]
+            best[who[hit >= 0]] = hit[hit >= 0]
+            inside = place < len(data)
+            who, place, node = who[inside], place[inside], node[inside]
+        token, size = best.tolist(), t.lengths[best].tolist()
+        end = first + len(token)
+        while at < end:
+            out.append(token[at - first])
+            at += size[at - first]
+    return np.array(out, np.int64)
+
+
 def encode_words(words: list[bytes], t: Tables) -> tuple[np.ndarray, np.ndarray, int]:
     """The tokens of all words one after the other, the number of each word's, and how many words were merged exactly."""
     lengths = np.array([len(w) for w in words], np.int64)
     data = np.frombuffer(b"".join(words), np.uint8)
     ends = np.cumsum(lengths)
     starts = ends - lengths
-    short = np.flatnonzero(lengths <= LONG)
+    short, long = np.flatnonzero(lengths <= LONG), np.flatnonzero(lengths > LONG)
     word, token = longest(data, starts[short], ends[short], t)
-    word = short[word]
+    alone = [longest_of_one(data[starts[k] : ends[k]], t) for k in long.tolist()]
+    word = np.concatenate([short[word], np.repeat(long, [len(x) for x in alone])])
+    token = np.concatenate([token, *alone])
     pair = np.flatnonzero(word[1:] == word[:-1])
     distinct, back = np.unique(token[pair] * len(t.left) + token[pair + 1], return_inverse=True)
     ok = compatible(distinct // len(t.left), distinct % len(t.left), t)[back] if len(pair) else np.zeros(0, bool)
     failed = np.zeros(len(words), bool)
     failed[word[pair[~ok]]] = True
-    failed[lengths > LONG] = True
     # a token that merging can't make isn't what merging gives, even alone
     failed[word[(t.left[token] == token) & (t.lengths[token] > 1)]] = True
     keep = ~failed[word]
@@ -174,7 +203,7 @@ def encode_words(words: list[bytes], t: Tables) -> tuple[np.ndarray, np.ndarray,
         _EXACT.clear()
     exact = []
     for k in np.flatnonzero(failed).tolist():
-        key = (t.mark, words[k]) if lengths[k] <= LONG else None
+        key = (t.mark, words[k]) if lengths[k] <= KEPT_BYTES else None
         if (own := _EXACT.get(key)) is None:
             own = [t.ranks[p] for p in merge(words[k], t.ranks)]
             if key:
@@ -263,5 +292,9 @@ def with_decoded(rows: DataFrame, ids: str = "token_ids", vocabulary: str = VOCA
 
 
 def byte_pairs(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """One row for each document: doc_id, token_ids, n_tokens, round_trip."""
+    """One row for each document: doc_id, token_ids, n_tokens, round_trip (decoding the ids gives the text's bytes).
+
+    All are null for a null text; an empty one has no token. Repeated rows are encoded each, alike; an empty
+    table gives no row; other columns, whatever their names, are left out.
+    """
     return with_token_ids(docs.select("doc_id", "text"), vocabulary).select("doc_id", "_bpe.*")
