@@ -7,7 +7,8 @@ most unequal two).
 
 Only doc_id and length leave the tokenizer's stage. Bins are filled within shards of about
 ``SHARD_ROWS`` documents chosen by hash, so shards are packed at once and each wastes at most its
-last bins: the share lost doesn't grow with the input.
+last bins: the share lost doesn't grow with the input. Rows of the same id and length are counted before they
+are sent, and go to shards by ``COPIES`` at a time, so an id that holds a third of all rows fills no shard.
 """
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from lodestrata.llm.scratch import cut
 from lodestrata.llm.token_counts import VOCABULARY, with_tokens
 
-CAPACITY, SHARD_ROWS = 2048, 1 << 14
+CAPACITY, SHARD_ROWS, COPIES = 2048, 1 << 14, 256
 
 
 def best_two_fit(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
@@ -65,6 +66,7 @@ def best_two_fit(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]
 
 
 def _pack(capacity: int, group: pa.Table) -> pa.Table:
+    group = group.take(pa.array(np.repeat(np.arange(group.num_rows), group.column("copies").to_numpy())))
     group = group.sort_by([("n_tokens", "ascending"), ("doc_id", "ascending")])
     lengths, shard = group.column("n_tokens").to_numpy(), group.column("shard")[0].as_py() << 32
     whole, rest = lengths // capacity, lengths % capacity
@@ -91,7 +93,8 @@ def pack(lengths: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Bins of documents given as doc_id and n_tokens: bin_id, place (first token in the bin), doc_id,
     start (first token in the document) and n_tokens of each piece.
 
-    A document without tokens (null, empty) has one row with a null bin. Repeated rows are packed each.
+    A document without tokens (null, empty) has one row with a null bin. Repeated rows are packed each; of
+    equal lengths the lower id goes first. An empty table gives no row; other columns are left out.
     """
     shards = max(1, -(-lengths.count() // SHARD_ROWS))
     sized = lengths.select("doc_id", F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"))
@@ -102,9 +105,11 @@ def pack(lengths: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         return _pack(capacity, group)
 
     fill.__annotations__ = {"group": pa.Table, "return": pa.Table}
-    return sized.withColumn("shard", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(shards))).groupBy("shard").applyInArrow(fill, f"bin_id bigint, place int, doc_id {kind}, start bigint, n_tokens int")
+    many = sized.groupBy("doc_id", "n_tokens").agg(F.count("*").alias("n"))
+    some = many.select("doc_id", "n_tokens", "n", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("n") - 1).cast("bigint"), F.lit(COPIES).cast("bigint"))).alias("first"))
+    return some.select("doc_id", "n_tokens", F.least(F.lit(COPIES), F.col("n") - F.col("first")).alias("copies"), F.pmod(F.xxhash64("doc_id", "n_tokens", "first"), F.lit(shards)).alias("shard")).groupBy("shard").applyInArrow(fill, f"bin_id bigint, place int, doc_id {kind}, start bigint, n_tokens int")
 
 
 def packed(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``pack`` of the documents' token counts."""
+    """``pack`` of the documents' token counts; a null or empty text has no token."""
     return pack(cut(with_tokens(docs.select("doc_id", "text"), vocabulary).select("doc_id", "_tokens.n_tokens")), capacity)
