@@ -6,17 +6,20 @@ Two codes at most ``radius`` bits apart are at most ``radius // substrings`` bit
 least, so probing every index with all values within that many bits retrieves every code within the
 radius (pigeonhole). What is retrieved is compared in full, then reranked by the floats.
 
+The rows whose key is divisible by ``EVERY`` ask, and all rows answer. Equal vectors are one entry, with the
+``k`` + 1 lowest of their keys (no more can be among anyone's nearest), and one question; they are told
+apart again in the end. So a vector that a third of all rows share costs no more than any other.
+
 The radius is calibrated to the data: the true neighbours of ``PROBES`` sampled vectors are found in
 one exact pass over all vectors, and the radius is the least within which ``RECALL`` of them lie. The number
-of substrings is the one of the least work for that radius and row count.
-
-A row with fewer than ``k`` others within the radius (an outlying one, where most rows lie in tight clusters)
-is compared to all rows instead, so every row has ``k`` neighbours if there are so many.
-
-Every vector goes to one cell for each substring as an entry and to each probed cell as a query. A cell
-is cut into blocks of about ``BLOCK`` entries (its size is counted first), and queries go to all of them, so no
-task holds more than a block of entries and one of queries; nothing is broadcast but the rotation and
-the cells' sizes, whose number is bounded by ``MAX_CELLS``.
+of substrings is the one of the least work for that radius and row count. A question with fewer than ``k`` others
+within the radius (an outlying one, where most rows lie in tight clusters) is compared to all rows instead, in
+blocks, so it has ``k`` neighbours if there are so many.
+
+An entry goes to one cell (a substring and its value) for each substring, a question to every probed cell. Cells
+are hashed to buckets of about ``BLOCK`` entries, within which entries and questions meet by their cell. A cell
+of more than a block (their number is at most ``LARGE``) is cut into blocks of its own, and questions go to all
+of them, so no task holds more than a block of entries and one of questions.
 """
 
 from collections.abc import Iterator
@@ -25,20 +28,23 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestrata.llm.kernel import mix, ragged
 from lodestrata.llm.scratch import cut
 
-K, RECALL, PROBES = 10, 0.95, 192
+K, RECALL, PROBES, EVERY = 10, 0.95, 192, 100
 #: Rows that the rotation is fitted to, and its rounds.
 SAMPLE, ROUNDS, SEED = 4096, 40, 3
-MAX_BITS, BLOCK, MAX_CELLS = 64, 8192, 1 << 14
+#: Bits of a code, entries of a block (more where else there would be more than LARGE large cells).
+MAX_BITS, BLOCK, LARGE = 64, 8192, 1 << 18
 #: Work of making, sending and sorting a copy of a row, in pairs compared.
 COPY = 3000
 #: Pairs compared in one vectorised step.
 STEP = 1 << 20
-ASK, ANSWER = 1, 2
+#: Buckets of large cells are numbered from here; their blocks to a group of questions.
+_OWN, ASKED = 1 << 40, 32
 
 
 @dataclass
@@ -48,6 +54,7 @@ class Plan:
     radius: int
     widths: list[int]  # bits of each substring
     slack: int  # bits by which a probe may differ
+    block: int = BLOCK
 
     @property
     def shifts(self) -> list[int]:
@@ -97,18 +104,13 @@ def split(bits: int, parts: int) -> list[int]:
     return [bits // parts + (k < bits % parts) for k in range(parts)]
 
 
-def cheapest(radius: int, bits: int, rows: int) -> tuple[list[int], int]:
+def cheapest(radius: int, bits: int, entries: int, questions: int) -> tuple[list[int], int]:
     """Widths of the substrings and the slack of a probe, of the least work; all keep the pigeonhole promise."""
     best = None
-    for parts in range(1, bits + 1):
-        if best is not None and parts > radius + 1:
-            break  # only where a small radius would need too many cells
+    for parts in range(1, min(bits, radius + 1) + 1):
         slack, widths = radius // parts, split(bits, parts)
-        if sum(1 << min(w, 40) for w in widths) > MAX_CELLS:
-            continue
         probes = [sum(comb(w, k) for k in range(min(slack, w) + 1)) for w in widths]
-        copies = sum(probes) + (parts if slack else 0)
-        work = rows * copies * COPY + rows * rows * sum(p / (1 << w) for p, w in zip(probes, widths))
+        work = (entries * parts + questions * sum(probes)) * COPY + entries * questions * sum(p / (1 << w) for p, w in zip(probes, widths))
         if best is None or work < best[0]:
             best = work, widths, slack
     return best[1], best[2]
@@ -116,220 +118,258 @@ def cheapest(radius: int, bits: int, rows: int) -> tuple[list[int], int]:
 
 def within(width: int, slack: int) -> np.ndarray:
     """All patterns of at most ``slack`` bits."""
-    every = np.arange(1 << width, dtype=np.uint64)
-    return every[np.bitwise_count(every) <= slack]
+    out = [np.zeros(1, np.uint64)]
+    for _ in range(min(slack, width)):
+        # a further bit, above those that are set
+        out.append(np.concatenate([out[-1][out[-1] < np.uint64(1 << k)] | np.uint64(1 << k) for k in range(width)]))
+    return np.concatenate(out)
 
 
-def _exact(queries: np.ndarray, ids: list, dimension: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each batch, the K nearest rows to each query (not the row itself) with their codes' places."""
+def _exact(queries: np.ndarray, dimension: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each batch (v, n, least), the nearest vectors to each query, K rows of them without the query's own."""
     best = None
     for batch in batches:
-        x, at = matrix(batch.column(1), dimension)
-        own = batch.column(0).take(pa.array(at)).to_pylist()
-        s = queries @ x.T
-        index = {}
-        for k, i in enumerate(own):
-            index.setdefault(i, []).append(k)
-        for q, i in enumerate(ids):
-            s[q, index.get(i, [])] = -np.inf
-        top = np.argsort(-s, 1, kind="stable")[:, :K]
-        found = np.take_along_axis(s, top, 1)
-        vectors = x[top] if len(x) else np.zeros((len(queries), 0, dimension), np.float32)
+        x, at = matrix(batch.column(0), dimension)
+        many, least = np.minimum(batch.column(1).to_numpy()[at], K + 1), batch.column(2).to_numpy()[at]
+        s = np.round(queries @ x.T, 6)
+        top = np.lexsort((np.broadcast_to(least, s.shape), -s))[:, : K + 1]
+        new = [np.take_along_axis(s, top, 1), many[top], least[top], x[top] if len(x) else np.zeros((len(queries), 0, dimension), np.float32)]
         if best is not None:
-            found, vectors = np.concatenate([best[0], found], 1), np.concatenate([best[1], vectors], 1)
-            top = np.argsort(-found, 1, kind="stable")[:, :K]
-            found, vectors = np.take_along_axis(found, top, 1), np.take_along_axis(vectors, top[:, :, None], 1)
-        best = found, vectors
+            new = [np.concatenate(z, 1) for z in zip(best, new)]
+            top = np.lexsort((new[2], -new[0]))[:, : K + 1]
+            new = [np.take_along_axis(z, top[:, :, None] if z.ndim == 3 else top, 1) for z in new]
+        best = new
     if best is not None and best[0].size:
-        q, k = np.nonzero(np.isfinite(best[0]))
-        yield pa.record_batch([pa.array(q, pa.int32()), pa.array(best[0][q, k], pa.float32()), pa.array(list(best[1][q, k]), pa.list_(pa.float32()))], ["query", "cosine", "v"])
+        q = np.repeat(np.arange(len(queries)), best[0].shape[1])
+        yield pa.record_batch([pa.array(q, pa.int32()), pa.array(best[0].ravel(), pa.float32()), pa.array(-best[2].ravel(), pa.int64()), pa.array(best[1].ravel(), pa.int64()), pa.array(list(best[3].reshape(-1, dimension)), pa.list_(pa.float32()))], ["query", "cosine", "first", "n", "v"])
 
 
-def prepared(rows: DataFrame, k: int = K, recall: float = RECALL) -> Plan | None:
-    """The rotation, radius and substrings for ``rows`` (id, v); None unless two rows are usable."""
-    mark = F.pmod(F.xxhash64("v", "id"), F.lit(1 << 30))
-    total = rows.count()
-    sample = rows.filter(mark <= int(min(1.0, SAMPLE / max(1, total)) * (1 << 30))).orderBy(mark, "id").limit(2 * SAMPLE).toArrow()
+def prepared(vectors: DataFrame, questions: int, k: int = K, recall: float = RECALL) -> Plan | None:
+    """The rotation, radius and substrings for distinct ``vectors`` (v, n, least); None unless two rows are usable."""
+    mark = F.pmod(F.xxhash64("v"), F.lit(1 << 30))
+    total = vectors.count()
+    sample = vectors.filter(mark <= int(min(1.0, SAMPLE / max(1, total)) * (1 << 30))).orderBy(mark, "v").limit(2 * SAMPLE).select("v", "n").toArrow()
     x, at = matrix(sample.column("v"))
-    if len(x) < 2:
+    if not len(x) or (len(x) == 1 and sample.column("n")[int(at[0])].as_py() < 2):
         return None
     dimension = x.shape[1]
     mean, rotation = learned_rotation(x)
-    queries, ids = x[:PROBES], sample.column("id").take(pa.array(at[:PROBES])).to_pylist()
+    queries = x[:PROBES]
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _exact(queries, ids, dimension, batches)
+        return _exact(queries, dimension, batches)
+
+    found = vectors.select("v", "n", "least").mapInArrow(exact, "query int, cosine float, first bigint, n bigint, v array<float>")
+    top = found.groupBy("query").agg(F.slice(F.sort_array(F.collect_list(F.struct("cosine", "first", "n", "v")), False), 1, k + 1).alias("top")).collect()
+    apart = [np.zeros(1, np.int64)]
+    for t in top:
+        # the query itself is left out, and its copies count as neighbours
+        far = np.bitwise_count(codes(np.array([r.v for r in t.top], np.float32), mean, rotation) ^ codes(queries[t["query"]][None], mean, rotation))
+        many = np.array([r.n for r in t.top])
+        many[np.argmax(far == 0)] -= far.min() == 0
+        many = np.minimum(many, np.maximum(0, k - (np.cumsum(many) - many)))
+        apart.append(np.repeat(far.astype(np.int64), many))
+    radius = int(np.quantile(np.concatenate(apart), recall, method="higher"))
+    widths, slack = cheapest(radius, rotation.shape[1], total, questions)
+    return Plan(mean, rotation, radius, widths, slack, max(BLOCK, total * len(widths) // LARGE))
+
+
+def _value(code: np.ndarray, plan: Plan, part: int) -> np.ndarray:
+    """The cell of each code for a substring: a hash of both, in which two cells of a bucket differ surely enough
+    (where they don't, all of their pairs are compared, and those that aren't near are left out)."""
+    own = code >> np.uint64(plan.shifts[part]) & np.uint64((1 << plan.widths[part]) - 1)
+    return mix(own * np.uint64(64) + np.uint64(part) if plan.widths[part] < 58 else own ^ np.uint64(part)).view(np.int64)
 
-    found = rows.select("id", "v").mapInArrow(exact, "query int, cosine float, v array<float>")
-    top = found.groupBy("query").agg(F.slice(F.sort_array(F.collect_list(F.struct("cosine", "v")), False), 1, k).alias("top")).collect()
-    apart = [np.bitwise_count(codes(np.array([t.v for t in r.top], np.float32), mean, rotation) ^ codes(queries[r["query"]][None], mean, rotation)) for r in top]
-    radius = int(np.quantile(np.concatenate(apart), recall, method="higher")) if apart else 0
-    return Plan(mean, rotation, radius, *cheapest(radius, rotation.shape[1], total))
 
+def _raw(x: np.ndarray, code: np.ndarray) -> np.ndarray:
+    return np.concatenate([code.view(np.uint8).reshape(-1, 8), np.ascontiguousarray(x, np.float32).view(np.uint8).reshape(len(x), -1)], 1)
 
-def _cells(code: np.ndarray, plan: Plan, part: int) -> np.ndarray:
-    """The cell of each code for a substring; cells of all substrings are numbered on."""
-    before = sum(1 << w for w in plan.widths[:part])
-    return before + (code >> np.uint64(plan.shifts[part]) & np.uint64((1 << plan.widths[part]) - 1)).astype(np.int64)
+
+def _binary(raw: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(raw.shape[1]), len(raw), [None, pa.py_buffer(np.ascontiguousarray(raw).tobytes())]).cast(pa.binary())
 
 
 def _sizes(plan: Plan, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = sum(1 << w for w in plan.widths)
-    counts = np.zeros(total, np.int64)
+    """How many entries of each batch lie in each cell."""
     for batch in batches:
-        x, _ = matrix(batch.column(1), len(plan.mean))
+        x, _ = matrix(batch.column(0), len(plan.mean))
         code = codes(x, plan.mean, plan.rotation)
         for part in range(len(plan.widths)):
-            counts += np.bincount(_cells(code, plan, part), minlength=total)
-    some = np.flatnonzero(counts)
-    yield pa.record_batch([pa.array(some, pa.int32()), pa.array(counts[some])], ["cell", "n"])
+            cell, n = np.unique(_value(code, plan, part), return_counts=True)
+            yield pa.record_batch([pa.array(cell), pa.array(n.astype(np.int64))], ["cell", "n"])
 
 
-def _send(plan: Plan, blocks: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Copies of the rows: to one block of its cell as an entry, and to all blocks of each probed cell as a query."""
-    patterns = [within(w, min(plan.slack, w)) for w in plan.widths]
+def _send(plan: Plan, large: tuple[np.ndarray, np.ndarray], buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Copies of the vectors: to one bucket or block of its cell as an entry, and, if it asks, to all blocks of each probed cell."""
+    cells, counts = large
+    patterns = [within(w, plan.slack) for w in plan.widths]
     for batch in batches:
         for first in range(0, batch.num_rows, 1 << 12):
             piece = batch.slice(first, 1 << 12)
-            x, at = matrix(piece.column(1), len(plan.mean))
+            x, at = matrix(piece.column(0), len(plan.mean))
             if not len(x):
                 continue
             code = codes(x, plan.mean, plan.rotation)
-            ids = piece.column(0).take(pa.array(at))
-            spread = piece.column(2).take(pa.array(at)).to_numpy().astype(np.int64) & 0x7FFFFFFF
-            raw = np.concatenate([code.view(np.uint8).reshape(-1, 8), x.view(np.uint8).reshape(len(x), -1)], 1)
+            number, least = piece.column(1).to_numpy()[at], piece.column(3).to_numpy()[at]
+            asks = np.flatnonzero(piece.column(2).to_numpy(zero_copy_only=False)[at])
+            raw, spread = _raw(x, code), (mix(number.view(np.uint64)) >> np.uint64(24)).astype(np.int64)
             for part in range(len(plan.widths)):
-                home = _cells(code, plan, part)
-                own = spread % np.maximum(blocks[home], 1)
-                for pattern in patterns[part].tolist():
-                    cell = _cells(code ^ np.uint64(pattern << plan.shifts[part]), plan, part)
-                    many = blocks[cell]
-                    # to every block of the cell; the queries of a cell are spread over as many groups as it has blocks
-                    who = np.repeat(np.arange(len(code)), many)
-                    block = np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many)
-                    group = spread[who] // 8191 % np.maximum(many[who], 1)
-                    both = (many[who] == 1) & (pattern == 0)
-                    yield _copies(ids, raw, who, cell[who], block, group, np.where(both, ASK | ANSWER, ASK), part)
-                    if pattern == 0 and len(e := np.flatnonzero(many > 1)):
-                        who = np.repeat(e, many[e])
-                        group = np.arange(len(who)) - np.repeat(np.cumsum(many[e]) - many[e], many[e])
-                        yield _copies(ids, raw, who, cell[who], own[who], group, np.full(len(who), ANSWER), part)
-
-
-def _copies(ids: pa.Array, raw: np.ndarray, who: np.ndarray, cell: np.ndarray, block: np.ndarray, group: np.ndarray, role: np.ndarray, part: int) -> pa.RecordBatch:
-    data = pa.Array.from_buffers(pa.binary(raw.shape[1]), len(who), [None, pa.py_buffer(raw[who].tobytes())]).cast(pa.binary())
-    return pa.record_batch([pa.array(cell, pa.int32()), pa.array(block, pa.int32()), pa.array(group, pa.int32()), pa.array(np.full(len(who), part), pa.int32()), pa.array(role, pa.int32()), ids.take(pa.array(who)), data], ["cell", "block", "group", "part", "role", "id", "raw"])
-
-
-def nearest(query: np.ndarray, asks: np.ndarray, entry: np.ndarray, answers: np.ndarray, plan: Plan, part: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each query the ``k`` nearest entries within the radius that no substring before ``part`` retrieves: indices
-    of both, and the cosine (6 digits). Rows are a code and floats, as bytes; ``asks`` and ``answers`` number their
-    keys in order. Of equal cosines the lower key counts, and of one key's entries the nearest."""
-    qc, ec = (np.ascontiguousarray(r[:, :8]).view(np.uint64).ravel() for r in (query, entry))
-    qx, ex = (np.ascontiguousarray(r[:, 8:]).view(np.float32) for r in (query, entry))
+                for ask, who, change in [(False, np.arange(len(code)), np.zeros(1, np.uint64)), (True, asks, patterns[part])]:
+                    for p in range(0, len(change) if len(who) else 0, max(1, (1 << 14) // max(1, len(who)))):
+                        some = change[p : p + max(1, (1 << 14) // max(1, len(who)))]
+                        own = np.repeat(who, len(some))
+                        cell = _value(code[own] ^ np.tile(some << np.uint64(plan.shifts[part]), len(who)), plan, part)
+                        k = np.minimum(np.searchsorted(cells, cell), max(0, len(cells) - 1))
+                        blocks = np.where(cells[k] == cell, counts[k], 1) if len(cells) else np.ones(len(cell), np.int64)
+                        group = np.where(blocks > 1, k + _OWN, (cell.view(np.uint64) % np.uint64(buckets)).astype(np.int64))
+                        # a question goes to all blocks of its group, an entry to one block of all groups
+                        groups = -(-blocks // ASKED)
+                        many, one = (blocks, groups) if ask else (groups, blocks)
+                        each = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                        mine = np.repeat(spread[own] % one, many)
+                        block, asked = (each, mine) if ask else (mine, each)
+                        to = np.repeat(np.arange(len(own)), many)
+                        yield pa.record_batch([pa.array(group[to]), pa.array(block, pa.int32()), pa.array(asked, pa.int32()), pa.array(cell[to]), pa.array(np.full(len(to), part), pa.int32()), pa.array(np.full(len(to), ask)), pa.array(number[own[to]]), pa.array(least[own[to]]), _binary(raw[own[to]])], ["bucket", "block", "asked", "cell", "part", "asks", "number", "least", "raw"])
+
+
+def pairs_of(q: np.ndarray, e: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of questions and entries in the same cell (both sorted), about STEP at a time."""
+    low, high = np.searchsorted(e, q, "left"), np.searchsorted(e, q, "right")
+    total = np.concatenate([[0], np.cumsum(high - low)])
+    a = 0
+    while a < len(q):
+        b = max(a + 1, int(np.searchsorted(total, total[a] + STEP, "right")) - 1)
+        yield np.repeat(np.arange(a, b), (high - low)[a:b]), ragged(low[a:b], (high - low)[a:b])
+        a = b
+
+
+def nearest(query: np.ndarray, asks: np.ndarray, entry: np.ndarray, least: np.ndarray, plan: Plan, part: np.ndarray, cells: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each query the ``k`` + 1 nearest entries in its cell and within the radius, that no substring before its
+    ``part`` retrieves: indices of both, and the cosine (6 digits), of equal ones those of the lower ``least``.
+    Rows are a code and floats, as bytes; ``asks`` tells the queries apart."""
+    order = [np.argsort(c, kind="stable") for c in cells]
+    qc, ec = (np.ascontiguousarray(r[o][:, :8]).view(np.uint64).ravel() for r, o in zip((query, entry), order))
+    qx, ex = (np.ascontiguousarray(r[o][:, 8:]).view(np.float32) for r, o in zip((query, entry), order))
+    asks, least, part = asks[order[0]], least[order[1]], part[order[0]]
     masks = [(np.uint64(((1 << w) - 1) << s), min(plan.slack, w)) for w, s in zip(plan.widths, plan.shifts)]
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    step = max(1, STEP // max(1, len(ec)))
-    single = len(np.unique(answers)) == len(answers)
-    for a in range(0, len(qc), step):
-        x = qc[a : a + step, None] ^ ec[None, :]
-        flat = np.flatnonzero(np.bitwise_count(x) <= plan.radius)
-        x = x.ravel()[flat]
-        for mask, slack in masks[:part]:
-            late = (x & mask) != 0 if slack == 0 else np.bitwise_count(x & mask) > slack
-            flat, x = flat[late], x[late]
-        i, j = flat // len(ec), flat % len(ec)
-        cosine = np.round((qx[a : a + step] @ ex.T).ravel()[flat], 6)
-        other = asks[a + i] != answers[j]
-        i, j, cosine = i[other], j[other], cosine[other]
-        if not single:
-            order = np.lexsort([-cosine, answers[j], i])
-            i, j, cosine = i[order], j[order], cosine[order]
-            first = np.append(True, (i[1:] != i[:-1]) | (answers[j[1:]] != answers[j[:-1]]))[: len(i)]
-            i, j, cosine = i[first], j[first], cosine[first]
-        order = np.lexsort([answers[j], -cosine, i])
-        i = i[order]
-        keep = np.arange(len(i)) - np.searchsorted(i, i) < k
-        out.append((i[keep] + a, j[order][keep], cosine[order][keep]))
-    return tuple(np.concatenate(z) for z in zip(*out)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.float32))
+    for i, j in pairs_of(cells[0][order[0]], cells[1][order[1]]):
+        x = qc[i] ^ ec[j]
+        near = np.flatnonzero(np.bitwise_count(x) <= plan.radius)
+        i, j, x = i[near], j[near], x[near]
+        for p, (mask, slack) in enumerate(masks[:-1]):
+            late = (part[i] <= p) | (np.bitwise_count(x & mask) > slack)
+            i, j, x = i[late], j[late], x[late]
+        cosine = np.round(np.concatenate([np.zeros(0, np.float32), *[np.einsum("nd,nd->n", qx[i[z : z + 65536]], ex[j[z : z + 65536]]) for z in range(0, len(i), 65536)]]), 6)
+        best = np.lexsort([least[j], -cosine, i])
+        i = i[best]
+        keep = np.arange(len(i)) - np.searchsorted(i, i) <= k
+        out.append((i[keep], j[best][keep], cosine[best][keep]))
+    if not out:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.float32)
+    # a query may be in several cells of a bucket
+    i, j, cosine = (np.concatenate(z) for z in zip(*out))
+    best = np.lexsort([least[j], -cosine, asks[i]])
+    own = asks[i][best]
+    keep = best[np.arange(len(own)) - np.searchsorted(own, own) <= k]
+    return order[0][i[keep]], order[1][j[keep]], cosine[keep]
 
 
 def _meet(plan: Plan, k: int, group: pa.Table) -> pa.Table:
-    role = group.column("role").to_numpy()
-    ids, part = group.column("id").combine_chunks(), group.column("part")[0].as_py()
-    raw = np.frombuffer(b"".join(group.column("raw").to_pylist()), np.uint8).reshape(len(role), -1)
-    number = np.unique(ids.to_numpy(zero_copy_only=False), return_inverse=True)[1]
-    q, e = np.flatnonzero(role & ASK), np.flatnonzero(role & ANSWER)
-    i, j, cosine = nearest(raw[q], number[q], raw[e], number[e], plan, part, k)
-    return pa.table({"id": ids.take(pa.array(q[i], pa.int64())), "neighbour": ids.take(pa.array(e[j], pa.int64())), "cosine": pa.array(cosine, pa.float32())})
-
-
-def _all_pairs(rows: DataFrame, asking: DataFrame, plan: Plan, k: int, result: str) -> DataFrame:
-    """Pairs of each row of ``asking`` (id) and its nearest of all rows: blocks of queries meet blocks of entries."""
-    n, m = rows.count(), asking.count()
+    asks, number = group.column("asks").to_numpy(), group.column("number").to_numpy()
+    cell, part, least = (group.column(c).to_numpy() for c in ("cell", "part", "least"))
+    q, e = np.flatnonzero(asks), np.flatnonzero(~asks)
+    if len(q) and len(e):
+        raw = np.frombuffer(b"".join(group.column("raw").to_pylist()), np.uint8).reshape(len(asks), -1)
+        i, j, cosine = nearest(raw[q], number[q], raw[e], least[e], plan, part[q], (cell[q], cell[e]), k)
+    else:
+        i, j, cosine = np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.float32)
+    return pa.table({"asks": pa.array(number[q[i]], pa.int64()), "answers": pa.array(number[e[j]], pa.int64()), "least": pa.array(least[e[j]], pa.int64()), "cosine": pa.array(cosine, pa.float32())})
+
+
+RESULT = "asks bigint, answers bigint, least bigint, cosine float"
+
+
+def _all_pairs(vectors: DataFrame, asking: DataFrame, plan: Plan, k: int) -> DataFrame:
+    """Pairs of each question of ``asking`` (asks) and its nearest of all vectors: blocks of questions meet blocks of entries."""
+    n, m = vectors.count(), asking.count()
     entries, groups = max(1, -(-n // BLOCK)), max(1, -(-m // BLOCK))
-    every = Plan(plan.mean, plan.rotation, MAX_BITS, [0], 0)
-    spread = lambda count: F.pmod(F.xxhash64("id", F.lit(1)), F.lit(count)).cast("int")
+    every = Plan(plan.mean, plan.rotation, MAX_BITS, [MAX_BITS], MAX_BITS)
+    spread = lambda count: F.pmod(F.xxhash64("number"), F.lit(count)).cast("int")
     each = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    asks = rows.join(asking, "id", "left_semi").select("id", "v", spread(groups).alias("group"), each(entries).alias("block"), F.lit(ASK).alias("role"))
-    answers = rows.select("id", "v", each(groups).alias("group"), spread(entries).alias("block"), F.lit(ANSWER).alias("role"))
+    asks = vectors.join(asking.select(F.col("asks").alias("number")), "number", "left_semi").select("number", "least", "v", spread(groups).alias("asked"), each(entries).alias("block"), F.lit(True).alias("asks"))
+    answers = vectors.select("number", "least", "v", each(groups).alias("asked"), spread(entries).alias("block"), F.lit(False).alias("asks"))
 
     def meet(group: pa.Table) -> pa.Table:
         x, at = matrix(group.column("v"), len(plan.mean))
-        raw = np.concatenate([codes(x, plan.mean, plan.rotation).view(np.uint8).reshape(-1, 8), x.view(np.uint8).reshape(len(x), -1)], 1)
-        table = group.select(["id", "role"]).take(pa.array(at)).append_column("raw", pa.array([r.tobytes() for r in raw], pa.binary())).append_column("part", pa.array(np.zeros(len(at), np.int32)))
-        return _meet(every, k, table) if len(at) else table.select(["id"]).append_column("neighbour", table.column("id")).append_column("cosine", pa.array([], pa.float32()))
+        none = pa.array(np.zeros(len(at), np.int64))
+        raw = _binary(_raw(x, codes(x, plan.mean, plan.rotation))) if len(at) else pa.array([], pa.binary())
+        return _meet(every, k, group.select(["number", "least", "asks"]).take(pa.array(at)).append_column("raw", raw).append_column("cell", none).append_column("part", none))
 
     meet.__annotations__ = {"group": pa.Table, "return": pa.Table}
-    return asks.unionByName(answers).groupBy("block", "group").applyInArrow(meet, result)
+    return asks.unionByName(answers).groupBy("block", "asked").applyInArrow(meet, RESULT)
+
+
+def _top(pairs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """asks, its k + 1 nearest keys of all rows (neighbour) and their cosine."""
+    own = Window.partitionBy("asks").orderBy(F.desc("cosine"), "least", "answers")
+    few = pairs.withColumn("rank", F.row_number().over(own)).filter(F.col("rank") <= k + 1)
+    each = few.join(ids, F.col("answers") == F.col("number")).select("asks", F.explode("ids").alias("neighbour"), "cosine").groupBy("asks", "neighbour").agg(F.max("cosine").alias("cosine"))
+    return each.withColumn("rank", F.row_number().over(Window.partitionBy("asks").orderBy(F.desc("cosine"), "neighbour"))).filter(F.col("rank") <= k + 1).drop("rank")
 
 
-def _top(pairs: DataFrame, k: int) -> DataFrame:
-    """id and top, the k nearest as (minus the cosine, neighbour)."""
-    return pairs.repartition("id").groupBy("id", "neighbour").agg(F.max("cosine").alias("cosine")).groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("cosine")).alias("c"), F.col("neighbour").alias("n")))), 1, k).alias("top"))
+def entries_of(rows: DataFrame, k: int, asking: Column) -> DataFrame:
+    """The distinct vectors of ``rows`` (id, v): v, number, least (its lowest key), ids (its k + 1 lowest), n (of these), asks."""
+    # a key that is repeated counts once, and each task keeps but the lowest keys of a vector before it sends them
+    lowest = Window.partitionBy("v").orderBy("id")
+    few = rows.groupBy("v", "id").agg(F.lit(1).alias("one")).drop("one").withColumn("rank", F.row_number().over(lowest)).filter(F.col("rank") <= k + 1)
+    asked = rows.filter(asking).select("v").distinct().withColumn("asks", F.lit(True))
+    held = few.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")).join(asked, "v", "left")
+    return cut(held.select("v", F.monotonically_increasing_id().alias("number"), F.get("ids", F.lit(0)).cast("bigint").alias("least"), "ids", F.size("ids").cast("bigint").alias("n"), F.coalesce("asks", F.lit(False)).alias("asks")))
 
 
-def neighbours(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", k: int = K, recall: float = RECALL) -> DataFrame:
-    """For every row its ``k`` nearest others by cosine: key, neighbour, rank (from 1), cosine (6 digits).
+def neighbours(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", k: int = K, recall: float = RECALL, every: int = EVERY) -> DataFrame:
+    """For every row whose key is divisible by ``every``, its ``k`` nearest others of all rows by cosine: key, neighbour,
+    rank (from 1), cosine (6 digits).
 
     Of equal cosines the lower key comes first. A key that is repeated with the same vector counts once; one
     with several vectors is answered by the nearest of them, and is never its own neighbour. A row whose
     key or vector is null, or whose vector has another length than most, a number that isn't finite or only
-    zeros, neither asks nor answers. Fewer than two usable rows give no row. The search is approximate:
-    neighbours beyond the radius, 1 - ``recall`` of them on the calibration sample, are missed, but a row that
-    has fewer than ``k`` within it gets its exact neighbours.
+    zeros, neither asks nor answers. Fewer than two usable rows give no row. Other columns, whatever their names,
+    are left out. The search is approximate: neighbours beyond the radius, 1 - ``recall`` of them on the
+    calibration sample, are missed, but a row that has fewer than ``k`` within it gets its exact neighbours.
     """
+    spark = vectors.sparkSession
     rows = vectors.select(F.col(key).alias("id"), F.col(column).cast("array<float>").alias("v")).filter("id is not null and v is not null")
     kind = rows.schema["id"].dataType.simpleString()
-    plan = prepared(rows, k, recall)
-    result = f"id {kind}, neighbour {kind}, cosine float"
+    asking = F.col("id") % every == 0
+    entries = entries_of(rows, k, asking)
+    plan = prepared(entries, entries.filter("asks").count(), k, recall)
     if plan is None:
-        pairs = vectors.sparkSession.createDataFrame([], result)
-    else:
+        return spark.createDataFrame([], f"{key} {kind}, neighbour {kind}, rank int, cosine double")
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _sizes(plan, batches)
 
-        def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            return _sizes(plan, batches)
-
-        counts = np.zeros(sum(1 << w for w in plan.widths), np.int64)
-        for r in rows.mapInArrow(sizes, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-            counts[r.cell] = r.n
-        blocks = -(-counts // BLOCK)
-
-        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            return _send(plan, blocks, batches)
-
-        def meet(group: pa.Table) -> pa.Table:
-            return _meet(plan, k, group)
-
-        meet.__annotations__ = {"group": pa.Table, "return": pa.Table}
-        sent = rows.withColumn("spread", F.xxhash64("id")).mapInArrow(send, f"cell int, block int, group int, part int, role int, id {kind}, raw binary")
-        pairs = sent.groupBy("cell", "block", "group").applyInArrow(meet, result)
-    # a pair is found in one cell only, so all that is left is to gather by id
-    best = _top(pairs, k)
-    if plan is not None:
-        best = cut(best)
-        full = best.filter(F.size("top") == k)
-        short = cut(rows.select("id").distinct().join(full.select("id"), "id", "left_anti"))
-        if not short.isEmpty():
-            best = full.union(_top(_all_pairs(rows, short, plan, k, result), k))
-    return best.select(F.col("id").alias(key), F.posexplode("top").alias("p", "t")).select(key, F.col("t.n").alias("neighbour"), (F.col("p") + 1).alias("rank"), F.round((-F.col("t.c")).cast("double"), 6).alias("cosine"))
+    counted = entries.select("v").mapInArrow(sizes, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).filter(F.col("n") > plan.block).orderBy("cell").collect()
+    large = np.array([r.cell for r in counted], np.int64), np.array([-(-r.n // plan.block) for r in counted], np.int64)
+    buckets = max(1, entries.count() * len(plan.widths) // plan.block)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _send(plan, large, buckets, batches)
+
+    def meet(group: pa.Table) -> pa.Table:
+        return _meet(plan, k, group)
+
+    meet.__annotations__ = {"group": pa.Table, "return": pa.Table}
+    sent = entries.select("v", "number", "asks", "least").mapInArrow(send, "bucket bigint, block int, asked int, cell bigint, part int, asks boolean, number bigint, least bigint, raw binary")
+    ids = entries.select("number", "ids")
+    found = cut(_top(sent.groupBy("bucket", "block", "asked").applyInArrow(meet, RESULT), ids, k))
+    full = found.groupBy("asks").agg(F.count("*").alias("n")).filter(F.col("n") > k).select("asks")
+    short = cut(entries.filter("asks").select(F.col("number").alias("asks"), "v").join(full, "asks", "left_anti").select("asks"))
+    if not short.isEmpty():
+        found = found.join(full, "asks", "left_semi").unionByName(_top(_all_pairs(entries.select("number", "least", "v"), short, plan, k), ids, k))
+    who = rows.filter(asking).distinct().join(entries.filter("asks").select("v", F.col("number").alias("asks")), "v").select(F.col("id").alias("_id"), "asks")
+    each = who.join(found, "asks").filter("_id <> neighbour").groupBy("_id", "neighbour").agg(F.max("cosine").alias("cosine"))
+    ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy("_id").orderBy(F.desc("cosine"), "neighbour"))).filter(F.col("rank") <= k)
+    return ranked.select(F.col("_id").alias(key), "neighbour", "rank", F.round(F.col("cosine").cast("double"), 6).alias("cosine"))

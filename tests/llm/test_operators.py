@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lodestrata.llm import bpe, langid, neighbours, packing, pii, quality_model, quality_rules, simhash, token_counts, token_files
 
@@ -201,7 +202,9 @@ def test_neighbours_against_brute_force(spark):
     frame = spark.read.parquet(f"{DIR}/embeddings.parquet")
     rows = frame.collect()
     extra = [(9001, rows[0].embedding), (9001, rows[0].embedding), (9002, None), (None, rows[1].embedding), (9003, [0.0] * 64), (9004, [1.0]), (9005, [float("nan")] * 64)]
-    got = neighbours.neighbours(frame.select("vec_id", "embedding").union(spark.createDataFrame(extra, frame.select("vec_id", "embedding").schema))).collect()
+    table = frame.select("vec_id", "embedding").union(spark.createDataFrame(extra, frame.select("vec_id", "embedding").schema))
+    # columns with the operator's own names don't matter
+    got = neighbours.neighbours(table.withColumns({c: F.lit(1) for c in ("id", "v", "number", "asks", "rank", "neighbour", "cosine")}), every=1).collect()
     ids = [r.vec_id for r in rows] + [9001]
     x = np.array([r.embedding for r in rows] + [rows[0].embedding], np.float64)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -219,22 +222,51 @@ def test_neighbours_against_brute_force(spark):
         hit += len({ids[j] for j in order} & {r.neighbour for r in mine})
     assert hit / (10 * len(ids)) >= 0.9
     assert neighbours.neighbours(frame.limit(0)).count() == 0
+    asked = neighbours.neighbours(table).collect()
+    assert {r.vec_id for r in asked} == {i for i in ids if i % neighbours.EVERY == 0}
+    # the substrings differ with the number of questions, what lies within the radius doesn't
+    assert sorted(map(tuple, asked)) == sorted(tuple(r) for r in got if r.vec_id % neighbours.EVERY == 0)
 
 
-def test_outlying_vectors_have_neighbours(spark):
-    rng = np.random.default_rng(2)
-    centres = rng.normal(size=(40, 16))
-    x = np.concatenate([np.repeat(centres, 48, 0) + rng.normal(size=(1920, 16)) * 1e-3, rng.normal(size=(80, 16))]).astype(np.float32)
+def vectors(spark, x):
+    return spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(np.asarray(x, np.float32))], "vec_id long, embedding array<float>")
+
+
+def check_neighbours(spark, x, least=0.0):
+    """Ten neighbours for each row, whose cosines come near those of the true ones."""
     got = {}
-    for r in neighbours.neighbours(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")).collect():
+    for r in neighbours.neighbours(vectors(spark, x), every=1).collect():
         got.setdefault(r.vec_id, []).append(r.neighbour)
-    assert {len(v) for v in got.values()} == {10} and len(got) == len(x)
+    assert set(got) == set(range(len(x))) and {len(v) for v in got.values()} == {min(10, len(x) - 1)}
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     s = u @ u.T
     np.fill_diagonal(s, -2)
-    # clusters of copies are ties; an outlying row is held to the cosines it gets
-    for k in range(1920, 2000):
-        assert np.sort(s[k])[-10:].sum() - s[k, got[k]].sum() < 0.1 * 10
+    short = [np.sort(s[k])[-len(v):].sum() - s[k, v].sum() for k, v in got.items()]
+    assert np.max(short) < 1 and np.mean(short) < 0.05
+    return got
+
+
+def test_neighbours_in_clusters_and_of_copies(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(40, 16))
+    # most rows in tight clusters, some apart from them
+    check_neighbours(spark, np.concatenate([np.repeat(centres, 24, 0) + rng.normal(size=(960, 16)) * 1e-3, rng.normal(size=(40, 16))]))
+    # a vector that most rows share, whose cells are cut into blocks of few
+    monkeypatch.setattr(neighbours, "BLOCK", 32)
+    hot = np.concatenate([np.repeat(rng.normal(size=(1, 16)), 300, 0), rng.normal(size=(4, 16)).repeat(60, 0) + rng.normal(size=(240, 16)) * 1e-2])
+    got = check_neighbours(spark, hot)
+    assert got[0] == list(range(1, 11)) and got[299] == list(range(10))
+
+
+@pytest.mark.parametrize("n", [20, 2, 1])
+def test_neighbours_of_few_rows(spark, n):
+    """Equal vectors (the lower key first), two rows, and one that has no other."""
+    got = {}
+    for r in neighbours.neighbours(vectors(spark, np.ones((n, 64)) if n != 2 else np.random.default_rng(0).normal(size=(2, 64))), every=1).collect():
+        got.setdefault(r.vec_id, []).append((r["rank"], r.neighbour))
+    for k in range(n if n > 1 else 0):
+        assert sorted(got[k]) == [(i + 1, j) for i, j in enumerate([j for j in range(n) if j != k][:10])]
+    assert n > 1 or not got
 
 
 def test_probing_retrieves_all_within_the_radius():
@@ -244,22 +276,21 @@ def test_probing_retrieves_all_within_the_radius():
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     mean, rotation = neighbours.learned_rotation(x)
     code = neighbours.codes(x, mean, rotation)
-    for radius, parts in ((3, 2), (4, 5), (5, 3)):
+    raw, number = neighbours._raw(x, code), np.arange(n)
+    for radius, parts in ((3, 2), (4, 5), (5, 3), (0, 1)):
         plan = neighbours.Plan(mean, rotation, radius, neighbours.split(16, parts), radius // parts)
-        raw = np.concatenate([code.view(np.uint8).reshape(-1, 8), x.view(np.uint8).reshape(n, -1)], 1)
         pairs = set()
         for part in range(parts):
-            home = neighbours._cells(code, plan, part)
-            for pattern in neighbours.within(plan.widths[part], plan.slack).tolist():
-                cell = neighbours._cells(code ^ np.uint64(pattern << plan.shifts[part]), plan, part)
-                for c in np.unique(cell):
-                    q, e = np.flatnonzero(cell == c), np.flatnonzero(home == c)
-                    i, j, _ = neighbours.nearest(raw[q], q, raw[e], e, plan, part, n)
-                    new = set(zip(q[i].tolist(), e[j].tolist()))
-                    assert not new & pairs
-                    pairs |= new
+            patterns = neighbours.within(plan.widths[part], plan.slack)
+            assert len(set(patterns.tolist())) == len(patterns) == sum(bin(v).count("1") <= plan.slack for v in range(1 << plan.widths[part]))
+            own = np.repeat(number, len(patterns))
+            asked = neighbours._value(code[own] ^ np.tile(patterns << np.uint64(plan.shifts[part]), n), plan, part)
+            i, j, _ = neighbours.nearest(raw[own], own, raw, number, plan, np.full(len(own), part), (asked, neighbours._value(code, plan, part)), n)
+            new = set(zip(own[i].tolist(), j.tolist()))
+            assert not new & pairs
+            pairs |= new
         apart = np.bitwise_count(code[:, None] ^ code[None, :])
-        assert pairs == {(i, j) for i, j in zip(*np.nonzero(apart <= radius)) if i != j}
+        assert pairs == {(i, j) for i, j in zip(*np.nonzero(apart <= radius))}
 
 
 def test_near_duplicates_against_brute_force(spark, docs):
