@@ -3,7 +3,8 @@
 Subwords are the byte n-grams of a word with its boundaries, hashed into a table of embeddings;
 a document is the average of its subwords' embeddings, which a linear softmax classifies. Both are
 trained by stochastic gradient descent in numpy on a bounded sample of the rows whose language is
-stated. As all is linear up to the softmax, embeddings and classes fold into one score for each
+stated: of each language the texts of the least hashes, copies counting once, ``SAMPLE_ROWS`` in all but
+``LEAST_ROWS`` of each language at least. Their subwords are counted where they are read, so no text goes to the driver. As all is linear up to the softmax, embeddings and classes fold into one score for each
 subword and language before scoring (while there are no more languages than dimensions).
 
 Rejection is calibrated on rows kept out of training: a temperature is fitted to the softmax, and
@@ -16,15 +17,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.llm.kernel import FOLD, row_slices, utf8_view
 from lodestrata.llm.scratch import unused
 
 SIZES, BUCKET_BITS, DIMENSIONS = (2, 3, 4), 17, 16
-#: At most so many rows, over all languages, are fitted to and calibrated on; at most so many languages are told apart.
-SAMPLE_ROWS, HELD_OUT, MAX_LANGUAGES = 2400, 0.33, 200
+#: At most so many rows, over all languages, are fitted to and calibrated on, or so many of each language if that is more.
+SAMPLE_ROWS, LEAST_ROWS, HELD_OUT = 2400, 8, 0.33
 EPOCHS, RATE, SEED = 6, 4.0, 7
 REJECT_SHARE, SURE, KNOWN = 0.002, 0.5, 0.6
 
@@ -76,14 +77,18 @@ def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (np.concatenate(buckets), np.concatenate(rows)) if buckets else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
 
-def _counts(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Buckets and shares of each text."""
-    out = []
-    for t in texts:
-        raw = np.frombuffer(t.encode("utf-8", "ignore"), np.uint8)
-        b, c = np.unique(subwords(raw, np.array([0, len(raw)]))[0], return_counts=True)
-        out.append((b, (c / max(1, c.sum())).astype(np.float32)))
-    return out
+def features(texts: pa.Array) -> pa.StructArray:
+    """The buckets of each text and the share of its subwords in each."""
+    data, offsets = utf8_view(texts)
+    index, value, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)], [0]
+    for i in range(len(texts)):
+        own = data[offsets[i] : offsets[i + 1]]
+        b, c = np.unique(subwords(own, np.array([0, len(own)]))[0], return_counts=True)
+        index.append(b.astype(np.int64))
+        value.append((c / max(1, c.sum())).astype(np.float32))
+        sizes.append(len(b))
+    at = pa.array(np.cumsum(sizes), pa.int32())
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(at, pa.array(np.concatenate(index), pa.int32())), pa.ListArray.from_arrays(at, pa.array(np.concatenate(value), pa.float32()))], ["index", "value"])
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -91,19 +96,20 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def train(texts: list[str], langs: list[str]) -> Model | None:
-    """A model of the languages, calibrated on the rows kept out; None without a row."""
+def train(features: list[tuple[np.ndarray, np.ndarray]], langs: list[str]) -> Model | None:
+    """A model of the languages from rows' buckets and shares, calibrated on the rows kept out; None without a row."""
     names = sorted(set(langs))
     if not names:
         return None
     rng = np.random.default_rng(SEED)
-    order = rng.permutation(len(texts))
+    order = rng.permutation(len(features))
     held = set(order[: int(len(order) * HELD_OUT)].tolist())
-    features, y = _counts(texts), np.array([names.index(x) for x in langs])
+    number = {x: k for k, x in enumerate(names)}
+    y = np.array([number[x] for x in langs])
     embed = rng.normal(0, 0.05, (1 << BUCKET_BITS, DIMENSIONS)).astype(np.float32)
     out = rng.normal(0, 0.05, (DIMENSIONS, len(names))).astype(np.float32)
     seen = np.zeros(1 << BUCKET_BITS, bool)
-    fit = [i for i in range(len(texts)) if i not in held and len(features[i][0])]
+    fit = [i for i in range(len(features)) if i not in held and len(features[i][0])]
     for i in fit:
         seen[features[i][0]] = True
     steps = max(1, EPOCHS * len(fit))
@@ -156,22 +162,26 @@ def identified(texts: pa.Array, model: Model | None) -> pa.StructArray:
 
 
 def fit(docs: DataFrame) -> Model | None:
-    """A model of the languages stated in ``docs``, from at most ``SAMPLE_ROWS`` of its rows, chosen by hash."""
-    stated = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r.lang: r.n for r in stated.groupBy(F.col("lang").cast("string").alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    """A model of all languages stated in ``docs``, from a bounded sample of its distinct texts, chosen by hash."""
+    stated = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    stated = stated.withColumn("h", F.xxhash64("text"))
+    counts = {r.lang: r.n for r in stated.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).orderBy("lang").collect()}
     if not counts:
         return None
-    each = max(1, SAMPLE_ROWS // len(counts))
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1 << 30, int(1.5 * each / n * (1 << 30)) + 1))])
-    chosen = stated.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("h")).filter(F.col("h") <= F.try_element_at(share, F.col("lang")))
-    rows = sorted(chosen.limit(3 * SAMPLE_ROWS).collect(), key=lambda r: (r.h, r.text))
-    taken: dict[str, int] = {}
-    sample = []
-    for r in rows:
-        if taken.get(r.lang, 0) < each:
-            taken[r.lang] = taken.get(r.lang, 0) + 1
-            sample.append(r)
-    return train([r.text for r in sample], [r.lang for r in sample])
+    each = max(LEAST_ROWS, SAMPLE_ROWS // len(counts))
+    # about twice what is wanted passes by its hash (all of a small language); copies, which do so together, meet before they are sent
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1 << 30, int(2 * (each + 8) / max(1, n) * (1 << 30))))])
+    near = stated.filter(F.pmod(F.col("h"), F.lit(1 << 30)) <= F.try_element_at(share, F.col("lang"))).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(F.col("h"), F.lit(1 << 30)), "h"))
+
+    def count(texts: pa.Array) -> pa.Array:
+        return features(texts)
+
+    count.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    udf = F.arrow_udf(count, "struct<index:array<int>,value:array<float>>").asNondeterministic()
+    sample = near.withColumn("rank", rank).filter(F.col("rank") <= each).select("lang", "h", udf("text").alias("f")).select("lang", "h", "f.*").toArrow().sort_by([("h", "ascending"), ("lang", "ascending")])
+    own = [[np.asarray(x.values) for x in sample.column(c)] for c in ("index", "value")]
+    return train(list(zip(*own)), sample.column("lang").to_pylist())
 
 
 def with_language(docs: DataFrame, name: str = "_language") -> DataFrame:
@@ -192,12 +202,15 @@ def with_language(docs: DataFrame, name: str = "_language") -> DataFrame:
 
 
 def language_id(docs: DataFrame) -> DataFrame:
-    """One row for each document: doc_id, language, confidence, known, keep."""
+    """One row for each document: doc_id, language, confidence, known, keep (of nulls, empty texts and repeated rows
+    see ``with_language``). Of equally likely languages the first in order is told. An empty table gives no row;
+    other columns, whatever their names, are left out."""
     r = "_language"
     return with_language(docs.select("doc_id", "text", "lang"), r).select("doc_id", F.col(f"{r}.lang").alias("language"), f"{r}.confidence", f"{r}.known", f"{r}.keep")
 
 
 def reject_unknown_language(docs: DataFrame) -> DataFrame:
-    """The documents whose language is told, with their own columns."""
+    """The documents whose language is told, with their own columns, whatever their names; null, empty and
+    letterless texts go, repeated rows stay or go together, and an empty table stays empty."""
     r = unused(docs, "_language")
     return with_language(docs, r).filter(F.col(f"{r}.keep")).drop(r)

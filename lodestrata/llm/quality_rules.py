@@ -178,7 +178,7 @@ def references(docs: DataFrame, words: dict[str, np.ndarray] | None = None) -> d
         return _partial(words, batches)
 
     found: dict[str, dict[str, dict[int, int]]] = {}
-    for r in texts.mapInArrow(partial, "lang string, kind string, bin int, total bigint").groupBy("lang", "kind", "bin").agg(F.sum("total").cast("decimal(38,0)").alias("total")).collect():
+    for r in texts.mapInArrow(partial, "lang string, kind string, bin int, total bigint").groupBy("lang", "kind", "bin").agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total")).collect():
         found.setdefault(r.kind, {}).setdefault(r.lang, {})[r.bin] = int(r.total)
     return {kind: {k: np.array([v[b] for b in range(len(v) - 1)]) / UNIT / v[-1] for k, v in sorted(by.items()) if v[-1] >= (1 if k in COMMON_WORDS else LEAST)} for kind, by in found.items()}
 
@@ -275,12 +275,15 @@ def with_verdict(docs: DataFrame, name: str = "_quality") -> DataFrame:
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
-    """One row for each document: doc_id, chars, words, the two distances (6 digits), keep, reason."""
+    """One row for each document: doc_id, chars, words, the two distances (6 digits), keep, reason (of nulls, empty
+    texts and repeated rows see ``with_verdict``). An empty table gives no row; other columns, whatever their
+    names, are left out."""
     r = "_quality"
     return with_verdict(docs.select("doc_id", "text", "lang"), r).select("doc_id", f"{r}.chars", f"{r}.words", F.round(f"{r}.class_distance", 6).alias("class_distance"), F.round(f"{r}.word_distance", 6).alias("word_distance"), f"{r}.keep", f"{r}.reason")
 
 
 def reject_low_quality(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with their own columns."""
+    """The documents that the rules keep, with their own columns, whatever their names; null, empty and blank
+    texts go, repeated rows stay or go together, and an empty table stays empty."""
     r = unused(docs, "_quality")
     return with_verdict(docs, r).filter(F.col(f"{r}.keep")).drop(r)
