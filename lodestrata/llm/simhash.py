@@ -12,6 +12,10 @@ fingerprint need only go to anchors not below its own home, which halves the cop
 An anchor gives the stars of its connected components rather than all pairs, so thousands of copies
 cost thousands of edges, not millions; equal fingerprints are one node. Components are then joined
 by large-star and small-star rounds, each cut at the shared folder.
+
+How many fingerprints an anchor has is counted first (there are 20,480 anchors, whatever the input). Those of an
+anchor with more than ``ROWS`` are dealt to blocks, and each that is at home there goes to all blocks of its
+group, so no task holds more than a block and a group, however many there are or lie close to each other.
 """
 
 from collections.abc import Iterator
@@ -20,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.kernel import FOLD, mix, row_slices, rows_of, runs, span_hashes, utf8_view
@@ -30,8 +34,9 @@ BLOCKS, BITS, THRESHOLD = 10, 13, 19
 RADIUS, BLOCK_THRESHOLD, PAIR_THRESHOLD = 1, THRESHOLD // BLOCKS, THRESHOLD // (BLOCKS // 2)
 LENGTH, CHECKS, _GENERATOR = 15, 4, 0b10011
 BYTES, WORDS = 2 * BLOCKS, BLOCKS // 2
-#: Pairs compared in one vectorised step.
-STEP = 1 << 21
+#: Pairs compared in one vectorised step; fingerprints of an anchor's block, and blocks to a group of those at home.
+STEP, ROWS, ASKED = 1 << 21, 1 << 15, 16
+ANCHORS = BLOCKS << LENGTH
 
 
 def _remainder(w: np.ndarray) -> np.ndarray:
@@ -114,19 +119,49 @@ def blocks(fp: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(fp).view(np.uint16)
 
 
-def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many fingerprints go to each anchor."""
+    counts = np.zeros(ANCHORS, np.int64)
+    for batch in batches:
+        for k in range(0, batch.num_rows, 1 << 14):
+            values = blocks(_bytes(batch.column(0).slice(k, 1 << 14)))
+            for b in range(BLOCKS):
+                counts += np.bincount(anchors(values[:, b])[1] | np.uint32(b << LENGTH), minlength=ANCHORS)
+    some = np.flatnonzero(counts)
+    yield pa.record_batch([pa.array(some, pa.int32()), pa.array(counts[some])], ["anchor", "n"])
+
+
+def _replicate(many: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Copies of the fingerprints to their anchors, each of which has so ``many`` blocks."""
     for batch in batches:
         for k in range(0, batch.num_rows, 1 << 14):
             fp = _bytes(batch.column(0).slice(k, 1 << 14))
             values = blocks(fp)
+            spread = (mix(fp[:, :8].copy().view(np.uint64).ravel() ^ fp[:, 8:16].copy().view(np.uint64).ravel()) >> np.uint64(20)).astype(np.int64)
             for b in range(BLOCKS):
                 who, where, home = anchors(values[:, b])
-                raw = pa.Array.from_buffers(pa.binary(BYTES), len(who), [None, pa.py_buffer(fp[who].tobytes())]).cast(pa.binary())
-                yield pa.record_batch([pa.array((where | np.uint32(b << LENGTH)).astype(np.int32)), raw, pa.array(home)], ["anchor", "fp", "home"])
+                where = (where | np.uint32(b << LENGTH)).astype(np.int64)
+                of, none = many[where], np.zeros(len(who), np.int64)
+                yield _sent(fp, who, where, home, none == 0, none, none, np.flatnonzero(of == 1))
+                if not (large := of > 1).any():
+                    continue
+                groups = -(-of // ASKED)
+                # those at home ask in all blocks of one group; all answer from one block in all groups
+                for asks, some, each, one in ((True, home & large, of, groups), (False, large, groups, of)):
+                    at = np.repeat(np.flatnonzero(some), each[some])
+                    nth = np.arange(len(at)) - np.repeat(np.cumsum(each[some]) - each[some], each[some])
+                    mine = spread[who[at]] % one[at]
+                    block, asked = (nth, mine) if asks else (mine, nth)
+                    yield _sent(fp, who[at], where[at], none[at] == (not asks), none[at] == asks, block, asked, np.arange(len(at)))
+
 
+def _sent(fp: np.ndarray, who: np.ndarray, where: np.ndarray, asks: np.ndarray, answers: np.ndarray, block: np.ndarray, asked: np.ndarray, go: np.ndarray) -> pa.RecordBatch:
+    raw = pa.Array.from_buffers(pa.binary(BYTES), len(go), [None, pa.py_buffer(fp[who[go]].tobytes())]).cast(pa.binary())
+    return pa.record_batch([pa.array(where[go], pa.int32()), pa.array(block[go], pa.int32()), pa.array(asked[go], pa.int32()), raw, pa.array(asks[go]), pa.array(answers[go])], ["anchor", "block", "asked", "fp", "asks", "answers"])
 
-def near_pairs(fp: np.ndarray, home: np.ndarray, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of the rows at home and all rows at one anchor that are within THRESHOLD.
+
+def near_pairs(fp: np.ndarray, asks: np.ndarray, answers: np.ndarray, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of the rows that ask and those that answer at one anchor that are within THRESHOLD.
 
     Blocks are paired: of fingerprints within 19 bits, one pair of blocks is within 3, and one of its
     two blocks then within 1. So what isn't within 3 in this block's pair is found at another anchor,
@@ -134,12 +169,12 @@ def near_pairs(fp: np.ndarray, home: np.ndarray, block: int) -> Iterator[tuple[n
     """
     words = np.ascontiguousarray(fp).view(np.uint32)
     pair = np.ascontiguousarray(words[:, block // 2])
-    own = np.flatnonzero(home)
-    step = max(1, STEP // max(1, len(fp)))
+    own, to = np.flatnonzero(asks), np.flatnonzero(answers)
+    step = max(1, STEP // max(1, len(to)))
     for k in range(0, len(own), step):
         a = own[k : k + step]
-        flat = np.flatnonzero(np.bitwise_count(pair[a, None] ^ pair[None, :]) <= PAIR_THRESHOLD)
-        i, j = a[flat // len(fp)], flat % len(fp)
+        flat = np.flatnonzero(np.bitwise_count(pair[a, None] ^ pair[None, to]) <= PAIR_THRESHOLD)
+        i, j = a[flat // len(to)], to[flat % len(to)]
         near = (np.bitwise_count(words[i] ^ words[j]).sum(1, dtype=np.int64) <= THRESHOLD) & (i != j)
         yield i[near], j[near]
 
@@ -160,29 +195,39 @@ def components(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.nda
 
 
 def _compare(group: pa.Table) -> pa.Table:
-    fp, home = _bytes(group.column("fp")), group.column("home").to_numpy()
-    fp, at = np.unique(fp.view(f"V{BYTES}").ravel(), return_index=True)
+    fp, back = np.unique(_bytes(group.column("fp")).view(f"V{BYTES}").ravel(), return_inverse=True)
     fp = fp.view(np.uint8).reshape(-1, BYTES)
-    label = components(len(fp), near_pairs(fp, home[at], int(group.column("anchor")[0].as_py()) >> LENGTH))
+    asks, answers = (np.bincount(back, weights=group.column(c).to_numpy(), minlength=len(fp)) > 0 for c in ("asks", "answers"))
+    label = components(len(fp), near_pairs(fp, asks, answers, int(group.column("anchor")[0].as_py()) >> LENGTH))
     who = np.flatnonzero(label != np.arange(len(fp)))
     return pa.table({"u": pa.array([bytes(x) for x in fp[who]], pa.binary()), "v": pa.array([bytes(x) for x in fp[label[who]]], pa.binary())})
 
 
-def near_edges(fps: DataFrame) -> DataFrame:
+def near_edges(fps: DataFrame, rows: int = ROWS) -> DataFrame:
     """Edges (u, v), v < u, that connect all fingerprints of ``fps`` (one column, distinct) within THRESHOLD."""
-    sent = fps.mapInArrow(_replicate, "anchor int, fp binary, home boolean")
-    return sent.groupBy("anchor").applyInArrow(_compare, "u binary, v binary").distinct()
+    many = np.ones(ANCHORS, np.int64)
+    for r in fps.mapInArrow(_counts, "anchor int, n bigint").groupBy("anchor").agg(F.sum("n").alias("n")).filter(F.col("n") > rows).collect():
+        many[r.anchor] = -(-r.n // rows)
+
+    def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _replicate(many, batches)
+
+    sent = fps.mapInArrow(replicate, "anchor int, block int, asked int, fp binary, asks boolean, answers boolean")
+    return sent.groupBy("anchor", "block", "asked").applyInArrow(_compare, "u binary, v binary").distinct()
 
 
 def connect(edges: DataFrame) -> DataFrame:
-    """node and root, the least node of its component, for every node of edges (u, v)."""
+    """node and root, the least node of its component, for every node of edges (u, v).
+
+    A node's least neighbour is found by partial sums and joined, so a node of any number of edges fills no task.
+    """
     last = None
     edges = cut(edges.filter("u <> v"))
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        own = Window.partitionBy("u")
-        large = both.withColumn("m", F.least("u", F.min("v").over(own))).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = large.withColumn("m", F.min("v").over(own))
+        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         joined = small.select("u", F.col("m").alias("v")).union(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
         edges = cut(joined)
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
@@ -191,11 +236,15 @@ def connect(edges: DataFrame) -> DataFrame:
         last = now
 
 
-def grouped(prints: DataFrame) -> DataFrame:
-    """``prints`` (doc_id, _fp) with _group, the least fingerprint of its group; null without a text."""
-    fps = prints.filter("_fp is not null").select("_fp").distinct()
-    roots = connect(near_edges(fps))
-    return prints.join(roots, prints["_fp"] == roots["node"], "left").withColumn("_group", F.coalesce("root", "_fp")).drop("node", "root")
+def grouped(prints: DataFrame, tell: list[str]) -> DataFrame:
+    """_fp, _group (the least fingerprint of its group), _n (the group's rows) and _first (its first row by doc_id, nulls
+    last, and then by ``tell``) for each fingerprint of ``prints``."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *tell)).alias("_first")
+    each = cut(prints.filter("_fp is not null").groupBy("_fp").agg(F.count("*").alias("_n"), first))
+    roots = connect(near_edges(each.select("_fp")))
+    each = each.join(roots, each["_fp"] == roots["node"], "left").withColumn("_group", F.coalesce("root", "_fp")).drop("node", "root")
+    groups = each.groupBy("_group").agg(F.sum("_n").alias("_n"), F.min("_first").alias("_first"))
+    return each.select("_fp", "_group").join(groups, "_group")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -204,29 +253,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     A group is a connected component of documents whose fingerprints are at most THRESHOLD bits
     apart; keep holds for one row of each, that of the least doc_id (nulls last). Of repeated rows one
     is kept. A null text is in no group: its group_id is its own doc_id and it is kept. Empty texts
-    are copies of each other.
+    are copies of each other. An empty table gives no row; other columns, whatever their names, are left out.
     """
-    prints = cut(with_fingerprint(docs.select("doc_id", "text")).drop("text"))
-    g = grouped(prints)
-    own = Window.partitionBy("_group")
-    some = F.col("_group").isNotNull()
-    return g.select(
+    prints = cut(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "_fp", F.monotonically_increasing_id().alias("_row")))
+    g = grouped(prints, ["_row"]).withColumnRenamed("_fp", "_of")
+    some = F.col("_of").isNotNull()
+    return prints.join(g, prints["_fp"] == g["_of"], "left").select(
         "doc_id",
-        F.when(some, F.min("doc_id").over(own)).otherwise(F.col("doc_id")).alias("group_id"),
-        F.when(some, F.count("*").over(own)).otherwise(1).alias("group_size"),
-        (~some | (F.row_number().over(own.orderBy(F.asc_nulls_last("doc_id"))) == 1)).alias("keep"),
+        F.when(some, F.col("_first.doc_id")).otherwise(F.col("doc_id")).alias("group_id"),
+        F.coalesce("_n", F.lit(1).cast("bigint")).alias("group_size"),
+        (~some | (F.col("_row") == F.col("_first._row"))).alias("keep"),
     )
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that ``near_duplicates`` keeps, with their own columns."""
-    prints = cut(with_fingerprint(docs.select("doc_id", "text")).drop("text"))
-    g = grouped(prints).filter("_group is not null")
-    first = g.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_fp")).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first._fp").alias("_first"))
-    fp, i, f = unused(docs, "_fp"), unused(docs, "_id"), unused(docs, "_first")
-    first = first.select(F.col("_id").alias(i), F.col("_first").alias(f))
-    marked = with_fingerprint(docs, fp)
-    kept = marked.join(first, marked["doc_id"].eqNullSafe(first[i]) & (marked[fp] == first[f]), "left_semi")
-    # what is left of repeated rows has the join's keys, so this needs no other exchange
-    kept = kept.dropDuplicates(["doc_id", fp]).drop(fp)
-    return kept.unionByName(docs.filter("text is null"))
+    """The documents that ``near_duplicates`` keeps, with their own columns, whatever their names.
+
+    The texts are read again and told by their id and a hash, so a fingerprint is made once. Null texts are kept;
+    of repeated rows, and of all empty texts, one is; an empty table stays empty.
+    """
+    h, i, f = unused(docs, "_hash"), unused(docs, "_id"), unused(docs, "_first")
+    text = F.xxhash64(F.col("text").cast("string"))
+    prints = cut(with_fingerprint(docs.select("doc_id", "text", text.alias("_hash"))).select("doc_id", "_hash", "_fp"))
+    first = grouped(prints, ["_hash"]).select("_first").distinct().select(F.col("_first.doc_id").alias(i), F.col("_first._hash").alias(f))
+    # repeated rows meet before they are sent, and what is left of them has the join's keys
+    marked = docs.filter(F.col("text").isNotNull()).withColumn(h, text).dropDuplicates(["doc_id", h])
+    kept = marked.join(first, marked["doc_id"].eqNullSafe(first[i]) & (marked[h] == first[f]), "left_semi").drop(h)
+    return kept.unionByName(docs.filter(F.col("text").isNull()))

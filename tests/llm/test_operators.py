@@ -307,6 +307,10 @@ def test_near_duplicates_against_brute_force(spark, docs):
         got.setdefault(r.group_id, set()).add(r.doc_id)
         assert r.keep == (r.doc_id == r.group_id)
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    # anchors cut into blocks lose no link
+    fps = spark.createDataFrame([(bytes(x),) for x in np.unique(prints, axis=0)], "_fp binary")
+    whole, parts = (sorted(map(tuple, simhash.connect(simhash.near_edges(fps, n)).collect())) for n in (1 << 15, 8))
+    assert whole == parts and whole
     assert {r.doc_id for r in simhash.keep_one_of_each(docs).collect()} == set(got)
 
 
