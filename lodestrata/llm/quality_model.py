@@ -2,28 +2,32 @@
 
 Two views of a document: its text (shares of trigrams of byte classes, and a few dense shares), and
 its metadata (source, stated language, length, and the parts of its page's URL, if a page names the
-document's number in its path). Each view has a logistic regression. Over ``ROUNDS`` rounds each
-labels the unlabelled rows that it is confident of, and hands them to the other view's training rows;
-confidence is calibrated, on labelled rows kept out of training, by Platt scaling, so a view that
-knows little hands over nothing. In the end the calibrated logits of both views are combined, by
-a logistic regression on the rows kept out, and score all documents.
-
-Fitting is done in numpy on bounded samples chosen by hash (``LABELLED``, ``UNLABELLED``); features are
-made on the executors, so no text goes to the driver. Scoring is one map over the documents; only ids,
-metadata and the text's logit meet the URLs.
+document's number in its path). Each view has a logistic regression. In each of ``ROUNDS`` rounds both views
+score all unlabelled documents, and each hands those that it is most confident of, ``PER_ROUND`` in all, to the
+other view's training rows; confidence is calibrated, on labelled rows kept out of training, by Platt scaling,
+so a view that knows little hands over nothing. In the end the calibrated logits of both views are combined,
+by a logistic regression on the rows kept out, and score all documents.
+
+The one sample is that of the labelled documents, at most ``LABELLED``, those of the least hashes. Features are
+made on the executors, so no text goes to the driver. A round is one map over the texts; only ids, metadata
+and the text's logit meet labels and URLs, and that once. Fitting is done in numpy on what was labelled or
+handed over, whose number doesn't depend on that of the documents.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.llm.kernel import FOLD, mix, row_slices, rows_of, runs, span_hashes, utf8_view
+from lodestrata.llm.scratch import cut
 
-#: At most about so many labelled rows (half of each class, where there are as many) and others are fitted to.
-LABELLED, UNLABELLED, HELD_OUT = 3000, 3000, 0.3
+#: At most so many labelled documents (half of each class, where there are as many) are fitted to and calibrated on.
+LABELLED, HELD_OUT = 3000, 0.3
+#: Rounds, the documents that a view hands over in each at most, and the probability they need.
 ROUNDS, PER_ROUND, CONFIDENT, PSEUDO_WEIGHT = 4, 400, 0.95, 0.5
 #: Steps of the first fit, and of those that go on from the round before.
 STEPS, MORE_STEPS, RATE, DECAY, SEED = 150, 40, 0.05, 1e-3, 5
@@ -185,37 +189,39 @@ def _calibrate(view: View, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> View:
     return view
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, weight: np.ndarray) -> Model | None:
-    """A model from rows of both views; label is -1 where there is none. ``weight`` undoes the sample's class
+#: The most confident unlabelled rows under both views: for each view, of each class at most so many of those not
+#: given to the other yet, as keys, the other view's features of them, and their label.
+Pool = Callable[[list[View], list[set], list[int]], list[tuple[list, np.ndarray, np.ndarray]]]
+
+
+def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, weight: np.ndarray, pool: Pool) -> Model | None:
+    """A model from labelled rows of both views and the ``pool`` of all others. ``weight`` undoes the sample's class
     balance in calibration. None unless both classes have a row to fit to and one kept out."""
     rng = np.random.default_rng(SEED)
-    known, pool = np.flatnonzero(label >= 0), np.flatnonzero(label < 0)
     held = np.zeros(len(label), bool)
     for k in (0, 1):
-        own = rng.permutation(known[label[known] == k])
+        own = rng.permutation(np.flatnonzero(label == k))
         if len(own) < 2:
             return None
         held[own[: max(1, int(len(own) * HELD_OUT))]] = True
-    test, base = np.flatnonzero(held), known[~held[known]]
-    views, given = [text, meta], [{}, {}]
-    share = float((weight[known] * label[known]).sum() / weight[known].sum())
+    test, base = np.flatnonzero(held), np.flatnonzero(~held)
+    views = [text, meta]
+    taken: list[set] = [set(), set()]
+    given = [[(v[base], label[base], np.ones(len(base)))] for v in views]
+    share = float((weight * label).sum() / weight.sum())
+    most = [max(1, int(PER_ROUND * x)) for x in (1 - share, share)]
 
     def fitted(k: int, before: View | None = None) -> View:
-        rows = np.concatenate([base, np.array(list(given[k]), np.int64)])
-        y = np.concatenate([label[base], np.array(list(given[k].values()), np.int64)])
-        w = np.concatenate([np.ones(len(base)), np.full(len(given[k]), PSEUDO_WEIGHT)])
-        return _calibrate(_fit(views[k][rows], y, w, before), views[k][test], label[test], weight[test])
+        x, y, w = (np.concatenate(z) for z in zip(*given[k]))
+        return _calibrate(_fit(x, y, w, before), views[k][test], label[test], weight[test])
 
     own = [fitted(0), fitted(1)]
     for _ in range(ROUNDS):
-        handed = 0
-        for k in (0, 1):
-            p = _sigmoid(own[k].calibrated(views[k][pool]))
-            for y, sure, most in ((1, p, share), (0, 1 - p, 1 - share)):
-                new = [i for i in np.argsort(-sure, kind="stable").tolist() if sure[i] >= CONFIDENT and int(pool[i]) not in given[1 - k]][: max(1, int(PER_ROUND * most))]
-                given[1 - k].update((int(pool[i]), y) for i in new)
-                handed += len(new)
-        if not handed:
+        new = pool(own, taken, most)
+        for k, (keys, x, y) in enumerate(new):
+            taken[1 - k].update(keys)
+            given[1 - k].append((x, y, np.full(len(y), PSEUDO_WEIGHT)))
+        if not any(len(keys) for keys, _, _ in new):
             break
         own = [fitted(0, own[0]), fitted(1, own[1])]
     both = np.column_stack([v.calibrated(x[test]) for v, x in zip(own, views)])
@@ -240,33 +246,83 @@ def _metadata() -> list:
     return [F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), F.col("n_chars").cast("bigint").alias("n_chars")]
 
 
-def fit(docs: DataFrame, labels: DataFrame, pages: DataFrame) -> Model | None:
-    """A model of bounded samples; None where a class has fewer than two labelled documents."""
-    stated = labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
-    counts = {r.label: r.n for r in stated.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if len(counts) < 2:
+def _text_rows(rows: list) -> np.ndarray:
+    x = np.zeros((len(rows), TRIGRAMS + DENSE), np.float32)
+    for k, r in enumerate(rows):
+        x[k, r["index"]] = _scaled(np.array(r.value, np.float32))
+        x[k, TRIGRAMS:] = r.dense
+    return x
+
+
+def _meta_rows(rows: list) -> np.ndarray:
+    return _dense_meta([pa.array([r[c] for r in rows], kind) for c, kind in (("source", pa.string()), ("lang", pa.string()), ("n_chars", pa.int64()), ("_url", pa.string()))])
+
+
+def _text_logit(view: View) -> Column:
+    def by_text(texts: pa.Array) -> pa.Array:
+        return pa.array(text_logits(texts, view))
+
+    by_text.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(by_text, "double").asNondeterministic()(F.col("text").cast("string"))
+
+
+def _meta_logit(view: View) -> Column:
+    def by_metadata(source: pa.Array, lang: pa.Array, n_chars: pa.Array, url: pa.Array) -> pa.Array:
+        f, row = meta_features([source, lang, n_chars, url])
+        key = np.unique(row * (1 << META_BITS) + f)
+        z = np.bincount(key >> META_BITS, weights=view.weights[key & ((1 << META_BITS) - 1)], minlength=len(source))
+        return pa.array(view.slope * (z + view.bias) + view.shift)
+
+    by_metadata.__annotations__ = {"source": pa.Array, "lang": pa.Array, "n_chars": pa.Array, "url": pa.Array, "return": pa.Array}
+    return F.arrow_udf(by_metadata, "double").asNondeterministic()("source", "lang", "n_chars", "_url")
+
+
+def fit(docs: DataFrame, known: DataFrame) -> Model | None:
+    """A model of documents (doc_id, text) and what is ``known`` of each doc_id (label, null if unlabelled, and metadata); None where a
+    class has fewer than two labelled documents. Documents without an id are scored but not learnt from."""
+    docs = docs.filter("doc_id is not null")
+    counts = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if min(counts.get(0, 0), counts.get(1, 0)) < 2:
         return None
-    total = docs.count()
-    mark = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(1 << 30))
-    part = {k: min(1.0, LABELLED / 2 / n) for k, n in counts.items()}
-    limit = F.create_map(*[F.lit(x) for k, v in part.items() for x in (k, int(v * (1 << 30)))])
-    chosen = stated.filter(mark < F.element_at(limit, F.col("label")))
-    others = min(1.0, UNLABELLED / max(1, total))
-    near = F.greatest(F.lit(int(others * (1 << 30))), F.lit(int(max(part.values()) * (1 << 30))))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), *_metadata()).filter(mark < near)
-    rows = rows.join(chosen, "doc_id", "left").join(stated.select("doc_id", F.lit(True).alias("_stated")), "doc_id", "left")
-    rows = rows.filter(F.col("label").isNotNull() | (F.col("_stated").isNull() & (mark < int(others * (1 << 30)))))
-    rows = rows.join(page_urls(pages), F.col("doc_id") == F.col("_url_id"), "left").select("doc_id", "label", "source", "lang", "n_chars", "_url", _text_udf()("text").alias("f"))
-    sample = rows.select("doc_id", "label", "source", "lang", "n_chars", "_url", "f.*").toArrow()
-    sample = sample.sort_by([("doc_id", "ascending"), ("n_chars", "ascending"), ("source", "ascending"), ("lang", "ascending")])
-    label = np.array([-1 if x is None else x for x in sample.column("label").to_pylist()], np.int64)
-    text = np.zeros((len(label), TRIGRAMS + DENSE), np.float32)
-    for r, (i, v, d) in enumerate(zip(*[sample.column(c).to_pylist() for c in ("index", "value", "dense")])):
-        text[r, i] = _scaled(np.array(v, np.float32))
-        text[r, TRIGRAMS:] = d
-    meta = _dense_meta([sample.column(c).combine_chunks() for c in ("source", "lang", "n_chars", "_url")])
-    weight = np.array([1 / part.get(int(k), 1.0) for k in label])
-    return co_train(text, meta, label, weight / weight.mean())
+    mark = F.xxhash64(F.col("doc_id").cast("bigint"))
+    first = Window.partitionBy("label").orderBy(mark, "doc_id")
+    sample = known.filter("label is not null").withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= LABELLED // 2).drop("_rank").collect()
+    by = {r.doc_id: r for r in sample}
+
+    def text_of(ids: list) -> dict:
+        """The text's features of the documents given (so many are handed over at most), of the least text of an id."""
+        if not ids:
+            return {}
+        own = docs.filter(F.col("doc_id").isin(ids)).groupBy("doc_id").agg(F.min(F.col("text").cast("string")).alias("text"))
+        return {r.doc_id: r for r in own.select("doc_id", _text_udf()("text").alias("f")).select("doc_id", "f.*").collect()}
+
+    texts = text_of(sorted(by))
+    own = sorted(texts)
+    label = np.array([by[i].label for i in own], np.int64)
+    weight = np.array([counts[k] / min(counts[k], LABELLED // 2) for k in label.tolist()])
+
+    def pool(views: list[View], taken: list[set], most: list[int]) -> list[tuple[list, np.ndarray, np.ndarray]]:
+        # the least logit counts where an id has several texts
+        logits = docs.select("doc_id", _text_logit(views[0]).alias("_t")).groupBy("doc_id").agg(F.min("_t").alias("_t"))
+        scored = cut(known.filter("label is null").join(logits, "doc_id").withColumn("_m", _meta_logit(views[1])).select("doc_id", "_t", "_m"))
+        out = []
+        limit = float(np.log(CONFIDENT / (1 - CONFIDENT)))
+        for k, c in enumerate(("_t", "_m")):
+            rows = []
+            for y, sure in ((1, F.col(c)), (0, -F.col(c))):
+                new = scored.filter((sure >= limit) & ~F.col("doc_id").isin(sorted(taken[1 - k])))
+                rows += [(r.doc_id, y) for r in new.orderBy(sure.desc(), "doc_id").limit(most[y]).collect()]
+            ids = [i for i, _ in rows]
+            if k == 0:
+                meta = {r.doc_id: r for r in known.filter(F.col("doc_id").isin(ids)).collect()} if ids else {}
+                x = _meta_rows([meta[i] for i in ids])
+            else:
+                handed = text_of(ids)
+                x = _text_rows([handed[i] for i in ids])
+            out.append((ids, x, np.array([y for _, y in rows], np.int64)))
+        return out
+
+    return co_train(_text_rows([texts[i] for i in own]), _meta_rows([by[i] for i in own]), label, weight / weight.mean(), pool)
 
 
 def with_quality(docs: DataFrame, labels: DataFrame, pages: DataFrame) -> DataFrame:
@@ -276,26 +332,21 @@ def with_quality(docs: DataFrame, labels: DataFrame, pages: DataFrame) -> DataFr
     A null text counts as an empty one, of no trigram; null metadata are values of their own. Repeated
     rows get the same score. Of contrary labels of one document the lower counts; other labels than 0 and
     1, and labels of no document, are left out. With fewer than two labelled documents of a class there
-    is no model: scores are null and all is kept.
+    is no model: scores are null and all is kept. A document without an id is scored, but not learnt from; of
+    one id's several texts, and of equally confident documents, the least counts in training. An empty table
+    gives no row; other columns, whatever their names, are left out.
     """
-    model = fit(docs, labels, pages)
+    stated = labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
+    urls = page_urls(pages)
+    least = F.min(F.struct("source", "lang", "n_chars")).alias("m")
+    known = docs.filter("doc_id is not null").select("doc_id", *_metadata()).groupBy("doc_id").agg(least).select("doc_id", "m.*")
+    known = cut(known.join(stated, "doc_id", "left").join(urls, F.col("doc_id") == F.col("_url_id"), "left").drop("_url_id"))
+    model = fit(docs.select("doc_id", "text"), known)
     if model is None:
         none = F.lit(None).cast("double")
         return docs.select("doc_id", none.alias("text_score"), none.alias("metadata_score"), none.alias("score"), F.lit(True).alias("keep"))
-
-    def by_text(texts: pa.Array) -> pa.Array:
-        return pa.array(text_logits(texts, model.text))
-
-    def by_metadata(source: pa.Array, lang: pa.Array, n_chars: pa.Array, url: pa.Array) -> pa.Array:
-        f, row = meta_features([source, lang, n_chars, url])
-        key = np.unique(row * (1 << META_BITS) + f)
-        z = np.bincount(key >> META_BITS, weights=model.meta.weights[key & ((1 << META_BITS) - 1)], minlength=len(source))
-        return pa.array(model.meta.slope * (z + model.meta.bias) + model.meta.shift)
-
-    by_text.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    by_metadata.__annotations__ = {"source": pa.Array, "lang": pa.Array, "n_chars": pa.Array, "url": pa.Array, "return": pa.Array}
-    scored = docs.select("doc_id", *_metadata(), F.arrow_udf(by_text, "double").asNondeterministic()(F.col("text").cast("string")).alias("_t"))
-    scored = scored.join(page_urls(pages), F.col("doc_id") == F.col("_url_id"), "left").withColumn("_m", F.arrow_udf(by_metadata, "double").asNondeterministic()("source", "lang", "n_chars", "_url"))
+    scored = docs.select("doc_id", *_metadata(), _text_logit(model.text).alias("_t"))
+    scored = scored.join(urls, F.col("doc_id") == F.col("_url_id"), "left").withColumn("_m", _meta_logit(model.meta))
     a, b, c = model.mix.tolist()
     p = lambda z: F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
     both = p(F.col("_t") * a + F.col("_m") * b + c)

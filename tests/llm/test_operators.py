@@ -62,11 +62,53 @@ def test_co_training_on_rows_kept_out():
     rng = np.random.default_rng(0)
     y = rng.integers(0, 2, 900)
     a, b = (np.eye(6, dtype=np.float32)[np.where(rng.random(900) < 0.1, rng.integers(0, 6, 900), y * 3 + rng.integers(0, 3, 900))] for _ in range(2))
-    label = np.where(np.arange(900) < 200, y, -1)
-    model = quality_model.co_train(a, b, label, np.ones(900))
+    handed = []
+
+    def pool(views, taken, most):
+        """By brute force, over all rows without a label."""
+        out = []
+        for k, x in enumerate((a, b)):
+            z = views[k].calibrated(x)
+            rows = []
+            for own, sure in ((1, z), (0, -z)):
+                new = [i for i in sorted(range(200, 900), key=lambda i: (-sure[i], i)) if sure[i] >= np.log(19) and i not in taken[1 - k]]
+                rows += [(i, own) for i in new[: most[own]]]
+            ids = [i for i, _ in rows]
+            out.append((ids, (b, a)[k][ids], np.array([v for _, v in rows], np.int64)))
+        handed.append([len(o[0]) for o in out])
+        return out
+
+    model = quality_model.co_train(a[:200], b[:200], y[:200], np.ones(200), pool)
     z = np.column_stack([model.text.calibrated(a), model.meta.calibrated(b), np.ones(900)]) @ model.mix
     assert ((z > 0) == y)[200:].mean() > 0.93
-    assert quality_model.co_train(a, b, np.where(label == 1, 1, -1), np.ones(900)) is None
+    # both views hand over, and none a row twice
+    assert sum(h[0] for h in handed) > 100 and sum(h[1] for h in handed) > 100
+    assert quality_model.co_train(a[:200], b[:200], np.ones(200, int), np.ones(200), pool) is None
+
+
+def test_quality_of_documents_kept_out(spark, docs):
+    """Labels of half of the documents are withheld, which then are told by the model of the others."""
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    half = F.pmod(F.hash("doc_id"), F.lit(2)) == 0
+    rows = quality_model.with_quality(frame, labels.filter(half), spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).collect()
+    withheld = {r.doc_id: r.quality for r in labels.filter(~half).collect()}
+    told = {r.doc_id: r for r in rows}
+    right = [told[i].keep == bool(q) for i, q in withheld.items() if i in told]
+    assert len(right) > 100 and np.mean(right) > 0.93
+
+
+def test_equal_documents_and_many_without_an_id(spark):
+    """Ties in all features, one id for most rows, and rows without an id: scored alike, learnt from once or not at all."""
+    rows = [(k % 7, "good plain words here, and more of them." if k % 2 else "$$$ !!! ###", "en", "s", 5) for k in range(60)]
+    rows = [(100 + k, *rows[k][1:]) for k in range(40)] + [(7, *rows[1][1:])] * 200 + [(None, *rows[0][1:])] * 200
+    table = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(100 + k, k % 2) for k in range(20)] + [(7, 1), (None, 0)], "doc_id long, quality int")
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    got = quality_model.with_quality(table, labels, pages).collect()
+    assert len(got) == len(rows)
+    assert len({(r.doc_id is None, r.keep) for r in got if r.doc_id in (None, 7)}) == 2
+    assert all(r.keep == (r.doc_id % 2 == 1) for r in got if r.doc_id is not None and r.doc_id >= 100)
 
 
 def test_pii_on_made_sentences_kept_out():
