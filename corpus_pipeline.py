@@ -1,4 +1,8 @@
-"""A corpus from documents: quality rules, language, near duplicates, personal data, packing."""
+"""A corpus from documents: quality rules, language, near duplicates, personal data, packing.
+
+Nulls in any column are allowed, and so are empty and very long texts, repeated rows and further columns, whatever
+their names; an empty table gives an empty corpus. All stages but the last give rows with the columns they got.
+"""
 
 import uuid
 from collections.abc import Callable
@@ -14,27 +18,29 @@ from lodestrata.llm.simhash import keep_one_of_each
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality rules keep."""
+    """The documents that the quality rules keep; null and blank texts go, repeated rows share their fate."""
     return reject_low_quality(docs)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose language is told."""
+    """The documents whose language is told; null and letterless texts go, repeated rows share their fate."""
     return reject_unknown_language(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates, that of the least doc_id (nulls last); one of repeated rows.
+    Null texts stay."""
     return keep_one_of_each(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with personal data replaced by its type."""
+    """All documents, with personal data replaced by its type and n_chars to match; a null text stays null."""
     return redact_personal_data(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The bins: bin_id, place, doc_id, start, n_tokens."""
+    """The bins: bin_id, place, doc_id, start, n_tokens. A null or empty text has one row without a bin; repeated
+    rows are packed each."""
     return packed(docs)
 
 
@@ -50,10 +56,19 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written to the shared folder and read by the next."""
+    """All stages over the documents, each written to the shared folder and read by the next.
+
+    A stage's folder is deleted when the next one is written; that of the bins, which are returned, stays.
+    """
     to = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(to).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{to}/{k}-{name}")
-        docs = spark.read.parquet(f"{to}/{k}-{name}")
+        at = f"{to}/{k}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(at)
+        docs = spark.read.parquet(at)
+        if before:
+            files.delete(path(before), True)
+        before = at
     return docs
