@@ -1,6 +1,6 @@
 """Text to typed values, as in the log formats; what can't be read is null, and nothing raises."""
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,17 +20,21 @@ def to_float(x: Column) -> Column:
     return F.when(s.rlike(_FLOAT), s.try_cast("double"))
 
 
+def content_hash(content: Column) -> Column:
+    """The MD5 of bytes (or of a text's UTF-8), as binary."""
+    return F.unhex(F.md5(content))
+
+
 def broken_int(x: Column) -> Column:
     """Whether a number has a fraction or is infinite, so that the whole column of its file is no integer."""
     v = to_float(x)
     return F.coalesce((v != F.floor(v)) | (F.abs(v) == float("inf")), F.lit(False))
 
 
-def to_int(x: Column, per: Column | str | None = None) -> Column:
-    """A number without fraction. With ``per``, one broken value makes null of all of its group."""
-    v = to_float(x)
-    own = F.when(~broken_int(x), v.try_cast("bigint"))
-    return own if per is None else F.when(~F.max(broken_int(x)).over(Window.partitionBy(per)), own)
+def to_int(x: Column, broken: Column | None = None) -> Column:
+    """A number without fraction; null where ``broken`` (of its whole column, as one broken value makes null of all)."""
+    own = F.when(~broken_int(x), to_float(x).try_cast("bigint"))
+    return own if broken is None else F.when(~broken, own)
 
 
 def to_time(x: Column) -> Column:
@@ -103,12 +107,12 @@ def pressure(x: Column) -> Column:
     return F.when(F.upper(s).isin("", "CLR"), None).when(F.upper(s) == "INV", "-1").otherwise(s)
 
 
-def typed(x: Column, kind: T.DataType, per: str) -> Column:
-    """The value of a record's field as the type of its column."""
+def typed(x: Column, kind: T.DataType, broken: Column) -> Column:
+    """The value of a record's field as the type of its column, which as one of numbers may be ``broken``."""
     if isinstance(kind, T.DoubleType):
         return F.nanvl(to_float(x), F.lit(None).cast("double"))
     if isinstance(kind, (T.IntegerType, T.LongType)):
-        return to_int(x, per).try_cast(kind)
+        return to_int(x, broken).try_cast(kind)
     if isinstance(kind, T.BooleanType):
         return to_bool(x)
     return to_time(x) if isinstance(kind, T.TimestampNTZType) else to_text(x)

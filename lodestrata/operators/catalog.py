@@ -1,9 +1,10 @@
 """The members of archives: duplicates, signatures, and freezing."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata import specs
+from lodestrata.operators.numbering import numbered
 from lodestrata.schemas import ARCHIVE, FILE, conform
 
 FIELDS = ["relative_path", "file_size_bytes", "compressed_size_bytes", "crc32", "zip_depth"]
@@ -45,10 +46,7 @@ def cataloged(archives: DataFrame, files: DataFrame, members: DataFrame, now, ve
     good = seen.join(signed, "archive_id", "left").withColumn("signature", F.coalesce("signature", F.sha1(F.lit("").cast("binary"))))
     new = members.filter("error is null").join(good.select("archive_id"), "archive_id", "left_semi").join(files.select("archive_id").distinct(), "archive_id", "left_anti")
     most = files.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first().m
-    # ids run on within an archive from a start of its own, so only the archives' counts are put in order at one place
-    sizes = new.groupBy("archive_id").agg(F.count("*").alias("n"))
-    starts = sizes.withColumn("start", F.sum("n").over(Window.orderBy("archive_id")) - F.col("n")).select("archive_id", "start")
-    new = new.join(starts, "archive_id").withColumn("id", F.col("start") + F.row_number().over(Window.partitionBy("archive_id").orderBy("relative_path")) + F.lit(most))
+    new = numbered(new, ["archive_id", "relative_path"], "id", most)
     new = new.withColumn("file_type", specs.file_type(F.col("relative_path")))
     mark = good.select(F.col("archive_id").alias("id"), F.col("signature").alias("_sig"))
     time = F.lit(now).cast("timestamp_ntz")

@@ -1,9 +1,10 @@
 """The inventory of archives: one row for each locator, merged with each complete scan."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions import paths
+from lodestrata.operators.numbering import numbered
 from lodestrata.schemas import ARCHIVE, conform
 
 
@@ -34,23 +35,6 @@ def resized(known: DataFrame, scan: DataFrame, key: str = "locator_key", size: s
     return known.select(key, F.col(size).alias("old_size")).join(scan.select(key, F.col(size).alias("new_size")), key).filter("old_size <> new_size")
 
 
-def merged(known: DataFrame, scan: DataFrame, key: str = "locator_key") -> DataFrame:
-    """Both sides by ``key``: the action for each locator (INSERT, UPDATE, UNCHANGED, ABSENT)."""
-    a, b = known.alias("a"), scan.alias("b")
-    both = a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}"), "full")
-    same = F.lit(True)
-    for c in set(known.columns) & set(scan.columns) - {key}:
-        same &= F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    present = F.col("a.is_present") if "is_present" in known.columns else F.lit(True)
-    action = F.when(F.col(f"a.{key}").isNull(), "INSERT").when(F.col(f"b.{key}").isNull(), "ABSENT").when(same & present, "UNCHANGED").otherwise("UPDATE")
-    return both.select(F.coalesce(f"a.{key}", f"b.{key}").alias(key), action.alias("action"))
-
-
-def absent(known: DataFrame, scan: DataFrame, key: str = "locator_key") -> DataFrame:
-    """What the inventory holds as present and the scan doesn't have."""
-    return known.filter("is_present").join(scan.select(key), key, "left_anti")
-
-
 def register(known: DataFrame, found: DataFrame, now) -> DataFrame:
     """The inventory after a complete scan.
 
@@ -82,6 +66,5 @@ def register(known: DataFrame, found: DataFrame, now) -> DataFrame:
         old.alias("_old"),
     )
     most = known.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first().m
-    # only new locators meet in one task for their numbers, and only with their key
-    fresh = rows.filter("not _old").select("locator_key", (F.row_number().over(Window.orderBy("locator_key")) + F.lit(most)).cast("bigint").alias("_new"))
+    fresh = numbered(rows.filter("not _old").select("locator_key"), ["locator_key"], "_new", most)
     return conform(rows.join(fresh, "locator_key", "left").withColumn("id", F.coalesce("id", "_new")), ARCHIVE)

@@ -5,10 +5,11 @@ or too many. ``Parsed`` holds the outputs without the rows of failed files, and
 """
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestrata.functions import clean
 from lodestrata.schemas import LEAVES, conform
@@ -20,7 +21,6 @@ from lodestrata.sources import lines as text
 class Parsed:
     outputs: dict[str, DataFrame]
     failed: DataFrame  # content_hash, message
-    empty: set[str] = field(default_factory=set)  # outputs known to have no row
 
 
 @dataclass
@@ -139,48 +139,76 @@ def records(lines: DataFrame) -> DataFrame:
     return own.select("content_hash", "pos", "kind", (~_by_kind(lambda r: r.readable())).alias("skip"), F.coalesce(F.size("values") == _by_kind(lambda r: F.lit(r.width)), F.lit(False)).alias("wide"), "values")
 
 
+def _numbers(artifact: str) -> list[int]:
+    """The places of an output's columns of whole numbers among its records' values."""
+    return [k for k, f in enumerate(LEAVES[artifact][1].fields[2:]) if isinstance(f.dataType, (T.IntegerType, T.LongType))]
+
+
+def _broken() -> Column:
+    """Of a record, the places whose value makes null of its file's column, a bit for each."""
+    out = F.lit(0).cast("bigint")
+    for name, (output, _) in RECORDS.items():
+        bits = [F.when(clean.broken_int(F.get("values", F.lit(k))), F.lit(1 << k)).otherwise(F.lit(0)).cast("bigint") for k in _numbers(f"mcdata.{output}")]
+        if bits:
+            own = bits[0]
+            for more in bits[1:]:
+                own = own + more
+            out = F.when(F.col("kind") == name, own).otherwise(out)
+    return out
+
+
+def whole_files(own: DataFrame) -> DataFrame:
+    """Records with what their file decides: ``bad`` (it holds one that can't be), and ``broken``, the places of their
+    kind's broken columns. Records must be partitioned by content_hash; then they aren't sent again."""
+    file, column = Window.partitionBy("content_hash"), Window.partitionBy("content_hash", "kind")
+    bad = F.max(F.coalesce(~F.col("skip") & ~F.col("wide"), F.lit(False))).over(file)
+    own = own.withColumn("broken", F.when(~F.col("skip"), _broken()).otherwise(F.lit(0).cast("bigint")))
+    return own.withColumns({"bad": bad, "broken": F.bit_or("broken").over(column)})
+
+
 def record_output(own: DataFrame, artifact: str) -> DataFrame:
     """Typed rows of one output from its records' values."""
     schema = LEAVES[artifact][1]
-    columns = [clean.typed(F.get("values", F.lit(k)), f.dataType, "content_hash").alias(f.name) for k, f in enumerate(schema.fields[2:])]
+    broken = lambda k: F.col("broken").bitwiseAND(F.lit(1 << k).cast("bigint")) != 0
+    columns = [clean.typed(F.get("values", F.lit(k)), f.dataType, broken(k)).alias(f.name) for k, f in enumerate(schema.fields[2:])]
     return conform(own.select("content_hash", F.col("pos").alias(schema.fields[1].name), *columns), schema)
 
 
 def parse_mcdata(files: DataFrame) -> Parsed:
-    """Nine outputs of mission computer data; line numbers begin at 0."""
-    # parsed once and written, as nine outputs read it
-    own = written(records(text.lines(files, "ignore", ends=True)))
-    bad = F.max(F.coalesce(~F.col("skip") & ~F.col("wide"), F.lit(False))).over(Window.partitionBy("content_hash"))
-    own = own.withColumn("bad", bad)
+    """Nine outputs of mission computer data; line numbers begin at 0.
+
+    Files are dealt out before their lines are, so a file's lines are at one place, and what they decide together
+    needs no further exchange. They are parsed once and written, as nine outputs read them by a map each.
+    """
+    own = written(whole_files(records(text.lines(files.repartition("content_hash"), "ignore", ends=True))).select("content_hash", "pos", "kind", "skip", "bad", "broken", F.when(~F.col("bad") & ~F.col("skip"), F.col("values")).alias("values")))
     good = own.filter("not bad and not skip")
-    # of at most nine kinds; an output whose kind doesn't occur needs no job
-    there = {r.kind for r in good.select("kind").distinct().collect()}
-    nothing = {f"mcdata.{name}": files.sparkSession.createDataFrame([], LEAVES[f"mcdata.{name}"][1]) for k, (name, _) in RECORDS.items() if k not in there}
-    outputs = {f"mcdata.{name}": record_output(good.filter(F.col("kind") == k), f"mcdata.{name}") for k, (name, _) in RECORDS.items() if k in there} | nothing
-    return Parsed(outputs, own.filter("bad").select("content_hash", F.lit("a record has too few or too many fields").alias("message")).distinct(), set(nothing))
+    outputs = {f"mcdata.{name}": record_output(good.filter(F.col("kind") == k), f"mcdata.{name}") for k, (name, _) in RECORDS.items()}
+    return Parsed(outputs, own.filter("bad").select("content_hash", F.lit("a record has too few or too many fields").alias("message")).distinct())
 
 
 def parse_segments(files: DataFrame) -> Parsed:
-    """Segments; line numbers begin at 1. A file that isn't UTF-8, holds a malformed time or no full row fails."""
+    """Segments; line numbers begin at 1. A file that isn't UTF-8, holds a malformed time or no full row fails.
+
+    What fails a file is looked for in the array of its lines, before they become rows.
+    """
     invalid = files.filter(~F.is_valid_utf8(F.col("content").cast("string"))).select("content_hash", F.lit("not UTF-8").alias("message"))
-    own = text.lines(files, "strict").withColumn("t", F.split("line", ",", 14))
-    part = lambda k: F.when(F.size("t") > k + 1, _at(F.col("t"), k))
-    start, stop = part(3), part(4)
+    own = files.select("content_hash", F.transform(text.split_lines(text.text_of(F.col("content"), "strict")), lambda x: F.split(F.regexp_replace(x, "\n$", ""), ",", 14)).alias("lines"))
+    part = lambda t, k: F.when(F.size(t) > k + 1, _at(t, k))
     wrong = lambda x: (F.coalesce(x, F.lit("")) != "") & clean.to_fine_time(x).isNull()
-    per = Window.partitionBy("content_hash")
-    own = own.withColumn("short", F.max(F.size("t")).over(per) < 14).withColumn("bad", F.max(wrong(start) | wrong(stop)).over(per))
-    rows = own.filter("not short and not bad").select("content_hash", (F.col("pos") + 1).alias("line_number"), part(1).try_cast("int").alias("group"), clean.to_fine_time(start).alias("event_start"), clean.to_fine_time(stop).alias("event_stop"), part(12).alias("flight_status"))
-    failed = own.filter("short or bad").select("content_hash", F.when(F.col("short"), "no row has all fields").otherwise("a time is malformed").alias("message")).distinct()
+    own = own.filter(F.size("lines") > 0).withColumns({"short": ~F.exists("lines", lambda t: F.size(t) >= 14), "bad": F.exists("lines", lambda t: wrong(part(t, 3)) | wrong(part(t, 4)))})
+    rows = own.filter("not short and not bad").select("content_hash", F.posexplode("lines").alias("pos", "t"))
+    t = F.col("t")
+    rows = rows.select("content_hash", (F.col("pos") + 1).alias("line_number"), part(t, 1).try_cast("int").alias("group"), clean.to_fine_time(part(t, 3)).alias("event_start"), clean.to_fine_time(part(t, 4)).alias("event_stop"), part(t, 12).alias("flight_status"))
+    failed = own.filter("short or bad").select("content_hash", F.when(F.col("short"), "no row has all fields").otherwise("a time is malformed").alias("message"))
     return Parsed({"segments": conform(rows, LEAVES["segments"][1])}, failed.unionByName(invalid))
 
 
 def parse_engine(files: DataFrame) -> Parsed:
     """Engine times; blank lines aren't numbered, numbers begin at 1."""
     fields = F.transform(F.slice("fields", 1, 6), lambda x: F.when(~x.isin(clean.NO_VALUE), x))
-    own = text.delimited(files, "strict").filter((F.size("fields") > 1) | (F.coalesce(_at(F.col("fields"), 0), F.lit("")) != ""))
-    own = own.withColumn("line_number", F.row_number().over(Window.partitionBy("content_hash").orderBy("pos"))).withColumn("f", fields)
+    own = text.delimited(files, "strict", skip_blank=True).withColumn("f", fields)
     f = F.col("f")
-    rows = own.filter(_at(f, 0) == "ENG_TIME").select("content_hash", "line_number", _at(f, 1).alias("engine_position"), clean.to_fine_time(_at(f, 2)).alias("start_time"), clean.to_fine_time(_at(f, 3)).alias("stop_time"), clean.seconds(_at(f, 4)).alias("run_time_seconds"))
+    rows = own.filter(_at(f, 0) == "ENG_TIME").select("content_hash", (F.col("pos") + 1).alias("line_number"), _at(f, 1).alias("engine_position"), clean.to_fine_time(_at(f, 2)).alias("start_time"), clean.to_fine_time(_at(f, 3)).alias("stop_time"), clean.seconds(_at(f, 4)).alias("run_time_seconds"))
     invalid = files.filter(~F.is_valid_utf8(F.col("content").cast("string"))).select("content_hash", F.lit("not UTF-8").alias("message"))
     return Parsed({"engine_on_off": conform(rows, LEAVES["engine_on_off"][1])}, invalid)
 

@@ -3,9 +3,28 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestrata.schemas import JOB, conform
+
 PENDING, RUNNING, COMPLETED, ERROR = "PENDING", "RUNNING", "COMPLETED", "ERROR"
 
 
+def job_id(session: str) -> Column:
+    """The id of a job: told by its session, file and artifact, so a task that is tried again gives the same."""
+    return F.sha1(F.concat_ws("|", F.lit(session), F.col("file_id").cast("string"), F.col("artifact_key")).cast("binary"))
+
+
+def jobs_of(items: DataFrame, session: str, status: Column | str, *, start: Column | None = None, end: Column | None = None, message: Column | None = None, rows: Column | None = None) -> DataFrame:
+    """A job for each of ``items`` (archive_id, file_id, content_hash, file_type, parser_id, artifact_key, target_table, version)."""
+    none = lambda c, kind: F.lit(None).cast(kind) if c is None else c
+    own = items.select(F.lit(session).alias("session_id"), job_id(session).alias("id"), "archive_id", "file_id", "content_hash", "file_type", "parser_id", "target_table", F.col("version").alias("parser_version"), none(rows, "bigint").alias("rows_uploaded"), (F.lit(status) if isinstance(status, str) else status).alias("status"), none(message, "string").alias("message"), none(start, "timestamp_ntz").alias("start_time"), none(end, "timestamp_ntz").alias("end_time"))
+    return conform(own, JOB)
+
+
+def replaced_session(old: DataFrame, new: DataFrame, session: str, key: str = "session_id") -> DataFrame:
+    """``old`` without a session's rows, and ``new``."""
+    return old.filter(F.col(key) != session).unionByName(new)
+
+
 def latest(events: DataFrame, key: str, at: str) -> DataFrame:
     """The last event of each key; of equal times the greater status counts."""
     own = Window.partitionBy(key).orderBy(F.desc(at), F.desc("status"))
@@ -44,3 +63,28 @@ def culled(sessions: DataFrame, jobs: DataFrame, now, hours: float = 24) -> tupl
     old = (F.col("status") == RUNNING) & (F.col("start_time") < cutoff)
     ended = sessions.withColumn("_stale", old).withColumns(close).select(*sessions.columns)
     return ended, done
+
+
+def stale_rows(sessions: DataFrame, jobs: DataFrame, now, hours: float = 24) -> DataFrame:
+    """The sessions and jobs that ``culled`` would close."""
+    cutoff = F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(hours * 3600)))
+    return stale(jobs, sessions, cutoff).unionByName(sessions.filter((F.col("status") == RUNNING) & (F.col("start_time") < cutoff)).select("id"))
+
+
+def closed(sessions: DataFrame, jobs: DataFrame, session: str, now, message: str) -> tuple[DataFrame, DataFrame]:
+    """Both tables with a session and its open jobs ended as errors."""
+    time = F.lit(now).cast("timestamp_ntz")
+
+    def ended(rows: DataFrame, own: Column) -> DataFrame:
+        return rows.withColumns({"end_time": F.when(own, time).otherwise(F.col("end_time")), "status": F.when(own, ERROR).otherwise(F.col("status"))})
+
+    open_ = F.col("status").isin(PENDING, RUNNING)
+    theirs = (F.col("session_id") == session) & open_
+    noted = jobs.withColumn("message", F.when(theirs, message).otherwise(F.col("message")))
+    return ended(sessions, (F.col("id") == session) & open_), ended(noted, theirs)
+
+
+def failure_name() -> Column:
+    """The name of a failed member's copy."""
+    base = F.substring_index("relative_path", "/", -1)
+    return F.concat(F.lit("archive_"), F.col("archive_id").cast("string"), F.lit("_file_"), F.col("file_id").cast("string"), F.lit("_hash_"), F.coalesce(F.lower(F.hex("hash")), F.lit("unhashed")), F.lit("_"), base)

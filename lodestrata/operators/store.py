@@ -7,6 +7,9 @@ manifest is the commit. Everything goes through Hadoop's file system, so the roo
 """
 
 import json
+import os
+import socket
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -18,6 +21,10 @@ from pyspark.sql import types as T
 from lodestrata.schemas import CONTROL, LEAVES, conform
 
 
+#: Hours after which a lock, a session or a job that runs is taken for dead.
+STALE_HOURS = 24.0
+
+
 class Locked(RuntimeError):
     """Another process publishes to this store."""
 
@@ -52,16 +59,47 @@ class Store:
         context.rename(draft, self._path("_CURRENT"), options)
 
     @contextmanager
-    def lock(self) -> Iterator[None]:
-        at = self._path("_LOCK")
+    def lock(self, stale_hours: float = STALE_HOURS) -> Iterator[None]:
+        """Holds the store against other writers. A lock whose owner hasn't published for ``stale_hours`` is taken over."""
+        at, mine = self._path("_LOCK"), json.dumps({"host": socket.gethostname(), "pid": os.getpid(), "id": uuid.uuid4().hex})
         try:
-            self._fs.create(at, False).close()
+            out = self._fs.create(at, False)
         except Exception as e:
-            raise Locked(f"{self.root} is locked") from e
+            age = self.lock_age()
+            if age is None or age < stale_hours:
+                raise Locked(f"{self.root} is locked by {self.lock_owner()}") from e
+            # of several that find it stale, one can rename it
+            if not self._fs.rename(at, self._path(f"_LOCK.{uuid.uuid4().hex}.stale")):
+                raise Locked(f"{self.root} is being taken over") from e
+            out = self._fs.create(at, False)
+        try:
+            out.write(bytearray(mine.encode()))
+        finally:
+            out.close()
         try:
             yield
         finally:
-            self._fs.delete(at, False)
+            if self.lock_owner() == mine:
+                self._fs.delete(at, False)
+
+    def lock_owner(self) -> str | None:
+        at = self._path("_LOCK")
+        if not self._fs.exists(at):
+            return None
+        stream = self._fs.open(at)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def lock_age(self) -> float | None:
+        """Hours since the lock was taken or its owner last published; None without a lock."""
+        at = self._path("_LOCK")
+        return (time.time() - self._fs.getFileStatus(at).getModificationTime() / 1000) / 3600 if self._fs.exists(at) else None
+
+    def unlock(self) -> bool:
+        """Removes the lock of a run that is known to be dead."""
+        return bool(self._fs.delete(self._path("_LOCK"), False))
 
     def initialise(self) -> list[str]:
         """Makes the control tables that aren't there; the names of those made."""
@@ -105,6 +143,8 @@ class Store:
             table = LEAVES[artifact][0]
             to["leaves"].setdefault(table, {})[generation] = f"{table}/g={generation}"
         self._point(to)
+        if self._fs.exists(lock := self._path("_LOCK")):
+            self._fs.setTimes(lock, int(time.time() * 1000), -1)
 
     def compact(self, artifact: str) -> None:
         """One folder for an artifact, of the rows that count, in generations of their own."""

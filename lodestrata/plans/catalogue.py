@@ -5,29 +5,31 @@ so the operators of the archive engine run on plain tables.
 """
 
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodestrata import specs
 from lodestrata.functions import clean, paths
 from lodestrata.operators import catalog, inventory, parsers, runs, store
 from lodestrata.plans import planner, seed
+from lodestrata.schemas import ARCHIVE, conform
 from lodestrata.sources import lines as text
 from lodestrata.sources import trace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-_SPECS = [("mcdata", 1, "*_MCData"), ("segments", 1, "*_Segments"), ("engine_on_off", 2, "*_Engine"), ("tmptr_log", 2, "*_RSM_RawArchive/RSM/TMPTR_LOG")]
 
 WITH = r"""
-va as (select o_orderkey as archive_id, lpad(cast(o_custkey as varchar), 6, '0') as buno, o_orderdate as archive_datetime, cast(round(o_totalprice * 100) as bigint) as size_bytes,
+va as materialized (select o_orderkey as archive_id, lpad(cast(o_custkey as varchar), 6, '0') as buno, o_orderdate as archive_datetime, cast(round(o_totalprice * 100) as bigint) as size_bytes,
   o_orderstatus <> 'P' as is_present, o_orderstatus = 'F' as cataloged, concat('/', lpad(cast(o_custkey as varchar), 6, '0'), '/', cast(o_orderkey as varchar)) as locator_key from orders),
-vm as (select distinct l_orderkey as archive_id, l_linenumber as member_no, concat(cast(l_orderkey as varchar), case l_linenumber when 1 then '_MCData' when 2 then '_Segments' when 3 then '_Engine'
+vm as materialized (select distinct l_orderkey as archive_id, l_linenumber as member_no, concat(cast(l_orderkey as varchar), case l_linenumber when 1 then '_MCData' when 2 then '_Segments' when 3 then '_Engine'
   when 4 then '_RSM_RawArchive/RSM/TMPTR_LOG' when 5 then '_Status.txt' when 6 then '.csv' else '.bin' end) as relative_path,
   case when l_returnflag <> 'R' then md5(concat(cast(l_partkey as varchar), '|', cast(l_suppkey as varchar))) end as content_hash from lineitem),
 vspec as (select * from (values ('mcdata', 1, '(^|/)[^/]*_MCData$'), ('segments', 1, '(^|/)[^/]*_Segments$'), ('engine_on_off', 2, '(^|/)[^/]*_Engine$'),
   ('tmptr_log', 2, '(^|/)[^/]*_RSM_RawArchive/RSM/TMPTR_LOG$')) as s(parser_id, version, rx)),
-vf as (select content_hash, parser_id, ascii(substr(content_hash, 1, 1)) % 3 as parser_version, ascii(substr(content_hash, 2, 1)) as row_count,
+vf as materialized (select content_hash, parser_id, ascii(substr(content_hash, 1, 1)) % 3 as parser_version, ascii(substr(content_hash, 2, 1)) as row_count,
   case when ascii(substr(content_hash, 3, 1)) % 5 = 0 then 'old' else 'current' end as target_table
   from (select distinct content_hash from vm where content_hash is not null) h cross join (select parser_id from vspec) p),
 vcand as (select m.archive_id, m.member_no, m.relative_path, m.content_hash, s.parser_id, s.version
@@ -56,19 +58,46 @@ class Tables:
         return self.lineitem.select(F.col("l_orderkey").alias("archive_id"), F.col("l_linenumber").alias("member_no"), F.concat(F.col("l_orderkey").cast("string"), end).alias("relative_path"), own.alias("content_hash")).distinct()
 
     def vspec(self) -> DataFrame:
-        return self.spark.createDataFrame([(p, v, paths.glob_regex(g)) for p, v, g in _SPECS], "parser_id string, version int, rx string")
+        """The registry's parsers, each with one artifact."""
+        return specs.handled_specs(self.spark).select("parser_id", "version", F.col("parser_id").alias("artifact_key"), F.lit("current").alias("target_table"))
 
     def vf(self) -> DataFrame:
         sign = lambda k: F.ascii(F.substring("content_hash", k, 1))
         hashes = self.vm().filter("content_hash is not null").select("content_hash").distinct()
         return hashes.crossJoin(F.broadcast(self.vspec().select("parser_id"))).select("content_hash", "parser_id", (sign(1) % 3).alias("parser_version"), sign(2).alias("row_count"), F.when(sign(3) % 5 == 0, "old").otherwise("current").alias("target_table"))
 
+    def archives(self, cataloged: Column | None = None) -> DataFrame:
+        """Orders as an inventory; all are present and cataloged where ``cataloged`` is True."""
+        done = F.col("cataloged") if cataloged is None else cataloged
+        return self.va().select(F.col("archive_id").alias("id"), F.col("locator_key").alias("locator_path"), (F.col("is_present") if cataloged is None else cataloged).alias("is_present"), F.when(done, F.col("archive_datetime")).alias("cataloged_at"), F.lit(specs.CATALOG_VERSION).alias("catalog_version"))
+
+    def found(self, cataloged: Column | None = None) -> DataFrame:
+        """What the files could give; a file's id is its member number."""
+        files = self.vm().select(F.col("member_no").alias("id"), "archive_id", "content_hash", "relative_path", specs.file_type(F.col("relative_path")).alias("file_type"))
+        return planner.candidates(self.archives(cataloged), files, self.vspec()).withColumnRenamed("file_id", "member_no")
+
     def vcand(self) -> DataFrame:
-        there = self.va().filter("is_present and cataloged").select("archive_id")
-        return planner.on_glob(self.vm(), self.vspec()).join(there, "archive_id").select("archive_id", "member_no", "relative_path", "content_hash", "parser_id", "version")
+        return self.found()
 
     def vpend(self) -> DataFrame:
-        return planner.unmet(self.vcand(), self.vf(), ["content_hash", "parser_id"], F.lit("current"))
+        own = planner.unmet(self.found(), self.vf().withColumn("artifact_key", F.col("parser_id")), ["content_hash", "artifact_key"])
+        return own.select("archive_id", "member_no", "relative_path", "content_hash", "parser_id", "version")
+
+
+def _scan(orders: DataFrame, mtime: Column) -> DataFrame:
+    """Orders as archives that a scan finds."""
+    name = F.concat(F.lit("/scan/"), F.col("o_orderkey").cast("string"), F.lit("/"), F.lpad(F.col("o_custkey").cast("string"), 6, "0"), F.lit("_"), F.date_format("o_orderdate", "yyyyMMdd_HHmmss"), F.lit("_TransportRSM.fpkg.e2d.zip"))
+    return orders.select(name.alias("locator_path"), F.round(F.col("o_totalprice") * 100).cast("bigint").alias("locator_size_bytes"), mtime.cast("bigint").alias("locator_mtime_ns"), "o_orderkey")
+
+
+_THEN, _NOW = datetime(2025, 1, 1), datetime(2025, 1, 2)
+_KEYS = "k as (select o_orderkey, o_orderstatus, lower(concat('/scan/', cast(o_orderkey as varchar), '/', lpad(cast(o_custkey as varchar), 6, '0'), '_', strftime(o_orderdate, '%Y%m%d_%H%M%S'), '_TransportRSM.fpkg.e2d.zip')) as locator_key from orders)"
+
+
+def _registered(t: "Tables", known: Column, scan: Column, mtime: Column) -> DataFrame:
+    """The inventory of the orders that are ``known``, after a scan of those in ``scan``."""
+    before = inventory.named(_scan(t.orders.filter(known), F.lit(1))).withColumns({"id": F.col("o_orderkey"), "is_present": F.lit(True), "first_seen_at": F.lit(_THEN).cast("timestamp_ntz"), "last_seen_at": F.lit(_THEN).cast("timestamp_ntz")})
+    return inventory.register(conform(before, ARCHIVE), _scan(t.orders.filter(scan), mtime).drop("o_orderkey"), _NOW)
 
 
 def query(sql: str, control: bool = True) -> Callable:
@@ -83,14 +112,12 @@ def query(sql: str, control: bool = True) -> Callable:
 
 @query("select archive_id, relative_path, case when regexp_matches(relative_path, '_MCData$') then 'MCDATA' when regexp_matches(relative_path, '_Segments$') then 'SEGMENTS' when regexp_matches(relative_path, '_Status[.]txt$') then 'STATUS' when regexp_matches(relative_path, '_Engine$') then 'ENGINE_ON_OFF' when regexp_matches(relative_path, '_RSM_RawArchive/RSM/TMPTR_LOG$') then 'TMPTR_LOG' when regexp_matches(relative_path, '[.]csv$') then 'METADATA_CSV' else 'UNKNOWN' end as file_type, count(*) as n from vm group by all")
 def classify_members(t: Tables) -> DataFrame:
-    from lodestrata import specs
-
     return t.vm().groupBy("archive_id", "relative_path", specs.file_type(F.col("relative_path")).alias("file_type")).agg(F.count("*").alias("n"))
 
 
 @query("select m.archive_id, m.member_no, m.content_hash, s.parser_id, s.version from vm m join vspec s on regexp_matches(m.relative_path, s.rx)")
 def handled_spec_join(t: Tables) -> DataFrame:
-    return planner.on_glob(t.vm(), t.vspec()).select("archive_id", "member_no", "content_hash", "parser_id", "version")
+    return t.found(F.lit(True)).select("archive_id", "member_no", "content_hash", "parser_id", "version")
 
 
 @query("select o_orderkey as archive_id, concat(lpad(cast(o_custkey as varchar), 6, '0'), '_', strftime(o_orderdate, '%Y%m%d_%H%M%S'), '_', lpad(cast(o_orderkey % 1000 as varchar), 3, '0')) as archive_key, lpad(cast(o_custkey as varchar), 6, '0') as buno, date_trunc('second', o_orderdate) as archive_datetime from orders", control=False)
@@ -111,16 +138,16 @@ def inventory_dedupe(t: Tables) -> DataFrame:
     return inventory.one_per_locator(t.lineitem.select(F.col("l_orderkey").cast("string").alias("locator_key"), F.concat("l_returnflag", "l_linestatus").alias("locator_path"), F.col("l_quantity").cast("bigint").alias("locator_size_bytes"), F.col("l_partkey").alias("locator_mtime_ns")))
 
 
-@query("select coalesce(a.archive_id, b.archive_id) as archive_id, case when a.archive_id is null then 'INSERT' when b.archive_id is null then 'ABSENT' when a.size_bytes = b.size_bytes and a.is_present then 'UNCHANGED' else 'UPDATE' end as action from (select archive_id, size_bytes, is_present from va where archive_id % 3 <> 0) a full join (select archive_id, case when archive_id % 7 = 0 then size_bytes + 1 else size_bytes end as size_bytes from va where archive_id % 5 <> 0) b on a.archive_id = b.archive_id")
+@query("with " + _KEYS + " select coalesce(n.id, k.o_orderkey) as id, k.locator_key, k.o_orderstatus <> 'P' as is_present, n.id is not null as is_new from k left join (select locator_key, row_number() over (order by locator_key) + (select max(o_orderkey) from k where o_orderstatus <> 'O') as id from k where o_orderstatus = 'O') n on n.locator_key = k.locator_key", control=False)
 def inventory_merge(t: Tables) -> DataFrame:
-    known = t.va().filter("archive_id % 3 <> 0").select("archive_id", "size_bytes", "is_present")
-    scan = t.va().filter("archive_id % 5 <> 0").select("archive_id", F.when(F.col("archive_id") % 7 == 0, F.col("size_bytes") + 1).otherwise(F.col("size_bytes")).alias("size_bytes"))
-    return inventory.merged(known, scan, "archive_id")
+    status = F.col("o_orderstatus")
+    return _registered(t, status != "O", status != "P", F.lit(1)).select("id", "locator_key", "is_present", (F.col("first_seen_at") == F.lit(_NOW).cast("timestamp_ntz")).alias("is_new"))
 
 
-@query("select a.archive_id, a.locator_key from va a left join (select archive_id from va where archive_id % 5 <> 0) b on a.archive_id = b.archive_id where b.archive_id is null and a.is_present")
+@query("with " + _KEYS + " select o_orderkey as id, locator_key from k where o_orderstatus = 'F'", control=False)
 def mark_absent(t: Tables) -> DataFrame:
-    return inventory.absent(t.va(), t.va().filter("archive_id % 5 <> 0"), "archive_id").select("archive_id", "locator_key")
+    rows = _registered(t, F.lit(True), F.col("o_orderstatus") != "F", F.lit(1))
+    return rows.filter(~F.col("is_present") & (F.col("last_seen_at") < F.lit(_NOW).cast("timestamp_ntz"))).select("id", "locator_key")
 
 
 @query("select a.archive_id, a.size_bytes as old_size, a.size_bytes + a.archive_id % 2 as new_size from va a where a.archive_id % 2 <> 0")
@@ -128,10 +155,10 @@ def size_guard(t: Tables) -> DataFrame:
     return inventory.resized(t.va(), t.va().withColumn("size_bytes", F.col("size_bytes") + F.col("archive_id") % 2), "archive_id", "size_bytes")
 
 
-@query("select archive_id, 'UPDATE' as action from va where archive_id % 4 = 0 or not is_present")
+@query("with " + _KEYS + " select o_orderkey as id, case when o_orderstatus = 'O' then 2 else 1 end as mtime, true as seen from k", control=False)
 def noop_update_filter(t: Tables) -> DataFrame:
-    scan = t.va().select("archive_id", F.when(F.col("archive_id") % 4 == 0, F.upper(F.concat(F.col("locator_key"), F.lit("x")))).otherwise(F.col("locator_key")).alias("locator_key"))
-    return inventory.merged(t.va().select("archive_id", "locator_key", "is_present"), scan, "archive_id").filter("action = 'UPDATE'")
+    rows = _registered(t, F.lit(True), F.lit(True), F.when(F.col("o_orderstatus") == "O", 2).otherwise(1))
+    return rows.select("id", F.col("locator_mtime_ns").cast("int").alias("mtime"), (F.col("last_seen_at") == F.lit(_NOW).cast("timestamp_ntz")).alias("seen"))
 
 
 @query("select archive_id from va where is_present and (not cataloged or archive_id % 2 < 1)")
@@ -152,12 +179,12 @@ def catalog_signature(t: Tables) -> DataFrame:
 
 @query("select doc_id, md5(text) as content_hash from documents", control=False)
 def content_hash(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.md5("text").alias("content_hash"))
+    return t.documents.select("doc_id", F.lower(F.hex(clean.content_hash(F.col("text")))).alias("content_hash"))
 
 
 @query("select md5(text) as content_hash, min(doc_id) as file_id, count(*) as copies from documents group by 1", control=False)
 def dedupe_by_hash(t: Tables) -> DataFrame:
-    return t.documents.groupBy(F.md5("text").alias("content_hash")).agg(F.min("doc_id").alias("file_id"), F.count("*").alias("copies"))
+    return t.documents.groupBy(F.lower(F.hex(clean.content_hash(F.col("text")))).alias("content_hash")).agg(F.min("doc_id").alias("file_id"), F.count("*").alias("copies"))
 
 
 @query("select m.archive_id, m.member_no, m.relative_path, a.buno, a.archive_datetime from vm m join va a on a.archive_id = m.archive_id where a.is_present and a.cataloged")
@@ -182,9 +209,7 @@ def group_limit(t: Tables) -> DataFrame:
 
 @query("select c.parser_id, count(*) as files, count(c.content_hash) as hashed, count(distinct c.content_hash) as hashes, count(distinct case when f.content_hash is not null then c.content_hash end) as complete, count(*) - count(f.content_hash) as missing, (select coalesce(sum(g.row_count), 0) from vf g where g.parser_id = c.parser_id and g.target_table = 'current' and g.parser_version >= c.version and g.content_hash in (select d.content_hash from vcand d where d.parser_id = c.parser_id)) as row_count from vcand c left join vf f on f.content_hash = c.content_hash and f.parser_id = c.parser_id and f.parser_version >= c.version and f.target_table = 'current' group by c.parser_id, c.version")
 def parser_status(t: Tables) -> DataFrame:
-    found = t.vcand().select(F.concat_ws("/", F.col("archive_id").cast("string"), "relative_path", F.coalesce("content_hash", F.lit(""))).alias("file_id"), "content_hash", "parser_id", F.col("parser_id").alias("artifact_key"), "version", F.lit("current").alias("target_table"))
-    made = t.vf().withColumnRenamed("parser_id", "artifact_key")
-    return planner.status(found, made, t.vspec().select("parser_id", F.lit(1).alias("n_artifacts")))
+    return planner.status(t.found(), t.vf().withColumn("artifact_key", F.col("parser_id")), t.vspec().select("parser_id", F.lit(1).alias("n_artifacts")))
 
 
 @query("select archive_id, member_no, content_hash, version from (select l_orderkey as archive_id, l_linenumber as member_no, md5(cast(l_partkey as varchar)) as content_hash, l_suppkey % 7 as version, row_number() over (partition by l_orderkey, l_linenumber order by l_suppkey % 7 desc, md5(cast(l_partkey as varchar)) desc) as n from lineitem) where n = 1", control=False)
@@ -211,14 +236,15 @@ def replace_by_hash(t: Tables) -> DataFrame:
     return store.replaced(old, old.filter("substr(content_hash, 1, 1) = 'b'").withColumn("row_count", F.col("row_count") + 1000), ["content_hash"])
 
 
-_SEED = """, src as (select archive_id as id, locator_key, size_bytes, buno as signature from va where archive_id % 2 = 0), dst as (select archive_id + 1000000 as id, case when archive_id % 3 = 0 then concat(locator_key, 'x') else locator_key end as locator_key, size_bytes, buno as signature from va),
-sm as (select d.id as dest_id, k.id as k, s.id as s from dst d left join (select locator_key, size_bytes, min(id) as id from src group by all) k on k.locator_key = d.locator_key and k.size_bytes = d.size_bytes left join (select signature, min(id) as id from src group by all) s on s.signature = d.signature)"""
+_SEED = """, src as (select archive_id as id, locator_key, size_bytes, buno as signature from va where cataloged), dst as (select archive_id + 1000000 as id, case when archive_id % 3 = 0 then concat(locator_key, 'x') else locator_key end as locator_key, size_bytes, buno as signature from va),
+sm as materialized (select d.id as dest_id, k.id as k, s.id as s from dst d left join (select locator_key, size_bytes, min(id) as id from src group by all) k on k.locator_key = d.locator_key and k.size_bytes = d.size_bytes left join (select signature, min(id) as id from src group by all) s on s.signature = d.signature)"""
 
 
 def _seeded(t: Tables) -> DataFrame:
-    own = t.va().select(F.col("archive_id").alias("id"), "locator_key", "size_bytes", F.col("buno").alias("signature"))
+    """All orders as archives to be filled from those that are cataloged; every third is told by its signature alone."""
+    own = t.va().select(F.col("archive_id").alias("id"), "locator_key", "size_bytes", F.col("buno").alias("signature"), "cataloged")
     dest = own.withColumn("locator_key", F.when(F.col("id") % 3 == 0, F.concat("locator_key", F.lit("x"))).otherwise(F.col("locator_key"))).withColumn("id", F.col("id") + 1000000)
-    return seed.matches(dest, own.filter("id % 2 = 0"), dest.select(F.col("id").alias("dest_id"), "signature"))
+    return seed.matches(dest, own.filter("cataloged"), dest.select(F.col("id").alias("dest_id"), "signature"))
 
 
 @query(_SEED + " select dest_id, coalesce(k, s) as source_id, case when k is not null then 'locator' when s is not null then 'signature' else 'none' end as match from sm")
@@ -226,28 +252,38 @@ def seed_match(t: Tables) -> DataFrame:
     return _seeded(t)
 
 
-@query(_SEED + " select sm.dest_id as archive_id, m.member_no, m.relative_path, m.content_hash from vm m join sm on m.archive_id = coalesce(sm.k, sm.s) where not exists (select 1 from vm h where h.archive_id + 1000000 = sm.dest_id and h.relative_path = m.relative_path and h.member_no % 2 = 0)")
+@query(_SEED + " select sm.dest_id as archive_id, m.member_no, m.relative_path, m.content_hash from vm m join sm on m.archive_id = coalesce(sm.k, sm.s) left join (select distinct archive_id + 1000000 as dest_id, relative_path from vm where content_hash is null) h on h.dest_id = sm.dest_id and h.relative_path = m.relative_path where h.dest_id is null")
 def seed_members(t: Tables) -> DataFrame:
-    have = t.vm().filter("member_no % 2 = 0").withColumn("archive_id", F.col("archive_id") + 1000000)
+    # the destination has the members that aren't hashed
+    have = t.vm().filter("content_hash is null").withColumn("archive_id", F.col("archive_id") + 1000000)
     return seed.new_members(_seeded(t), t.vm(), have).select("archive_id", "member_no", "relative_path", "content_hash")
 
 
-_LEAF = "lf as (select distinct content_hash, member_no as line from vm where content_hash is not null)"
+#: A leaf row for each hash and line; those of open orders are at the destination, those of cataloged ones wanted.
+_LEAF = """, lf as materialized (select distinct content_hash, member_no as line from vm where content_hash is not null),
+wanted as materialized (select distinct m.content_hash from vm m join va a on a.archive_id = m.archive_id where a.cataloged and m.content_hash is not null),
+here as materialized (select distinct m.content_hash, m.member_no as line from vm m join orders o on o.o_orderkey = m.archive_id where o.o_orderstatus = 'O' and m.content_hash is not null)"""
 
 
 def _leaf(t: Tables) -> DataFrame:
     return t.vm().filter("content_hash is not null").select("content_hash", F.col("member_no").alias("line")).distinct()
 
 
-@query(", " + _LEAF + " select l.content_hash, l.line from lf l where exists (select 1 from vf f where f.content_hash = l.content_hash and f.parser_id = 'mcdata' and f.target_table = 'current') and exists (select 1 from vm m where m.content_hash = l.content_hash and m.archive_id % 2 = 0) and not exists (select 1 from lf h where h.content_hash = l.content_hash and h.line = l.line and h.line % 3 = 0)")
+def _of(t: Tables, status: str) -> DataFrame:
+    """The members of orders of one status."""
+    return t.vm().join(t.orders.filter(F.col("o_orderstatus") == status).select(F.col("o_orderkey").alias("archive_id")), "archive_id", "left_semi").withColumnRenamed("member_no", "line")
+
+
+@query(_LEAF + " select l.content_hash, l.line from lf l join wanted w on w.content_hash = l.content_hash join (select distinct content_hash from vf where parser_id = 'mcdata' and target_table = 'current') f on f.content_hash = l.content_hash left join here h on h.content_hash = l.content_hash and h.line = l.line where h.line is null")
 def seed_leaf(t: Tables) -> DataFrame:
     made = t.vf().filter("parser_id = 'mcdata' and target_table = 'current'")
-    return seed.new_rows(_leaf(t), made, t.vm().filter("archive_id % 2 = 0"), _leaf(t).filter("line % 3 = 0"), "line").select("content_hash", "line")
+    return seed.new_rows(_leaf(t), made, _of(t, "F"), _of(t, "O"), "line").select("content_hash", "line")
 
 
-@query(", " + _LEAF + " select f.content_hash, f.parser_id, f.row_count from vf f where exists (select 1 from vm m where m.content_hash = f.content_hash and m.archive_id % 2 = 0) and exists (select 1 from lf l where l.content_hash = f.content_hash and l.line > 2) and not exists (select 1 from vf h where h.content_hash = f.content_hash and h.parser_id = f.parser_id and h.row_count % 2 = 0)")
+@query(_LEAF + " select f.content_hash, f.parser_id, f.row_count from vf f join wanted w on w.content_hash = f.content_hash join (select distinct content_hash from lf) l on l.content_hash = f.content_hash where f.target_table <> 'old'")
 def seed_manifest(t: Tables) -> DataFrame:
-    return seed.new_manifest(t.vf(), t.vm().filter("archive_id % 2 = 0"), _leaf(t).filter("line > 2"), t.vf().filter("row_count % 2 = 0"), ["content_hash", "parser_id"]).select("content_hash", "parser_id", "row_count")
+    # the destination has the manifest rows of the old table
+    return seed.new_manifest(t.vf(), _of(t, "F"), _leaf(t), t.vf().filter("target_table = 'old'"), ["content_hash", "parser_id"]).select("content_hash", "parser_id", "row_count")
 
 
 @query("select f.parser_id, count(*) as reusable, sum(f.row_count) as row_count from vf f where exists (select 1 from vm m join va a on a.archive_id = m.archive_id where m.content_hash = f.content_hash and a.is_present) group by f.parser_id")
@@ -294,8 +330,8 @@ def ts_clean(t: Tables) -> DataFrame:
 
 @query("select l_orderkey, l_linenumber, l_partkey, case when not bool_or(l_partkey % 11 = 0) over (partition by l_orderkey) then l_partkey end as value from lineitem", control=False)
 def int_column_nullify(t: Tables) -> DataFrame:
-    p = F.col("l_partkey").cast("string")
-    return _items(t, value=clean.to_int(F.concat(p, F.when(F.col("l_partkey") % 11 == 0, ".25").otherwise(".0")), "l_orderkey"))
+    p = F.concat(F.col("l_partkey").cast("string"), F.when(F.col("l_partkey") % 11 == 0, ".25").otherwise(".0"))
+    return _items(t, value=clean.to_int(p, F.max(clean.broken_int(p)).over(Window.partitionBy("l_orderkey"))))
 
 
 @query("select l_orderkey, l_linenumber, l_partkey, case when l_linenumber <> 7 then l_partkey * 3600 + cast(l_quantity as bigint) * 60 + l_linenumber end as value from lineitem", control=False)

@@ -10,11 +10,6 @@ def current(archives: DataFrame, version: int = specs.CATALOG_VERSION) -> DataFr
     return archives.filter(F.col("is_present") & F.col("cataloged_at").isNotNull() & (F.col("catalog_version") >= version))
 
 
-def on_glob(members: DataFrame, handled: DataFrame) -> DataFrame:
-    """Members with each spec whose pattern their path matches. ``handled`` is the registry, of a fixed few rows."""
-    return members.join(F.broadcast(handled), F.rlike("relative_path", F.col("rx")))
-
-
 def unmet(candidates: DataFrame, manifest: DataFrame, on: list[str], target: Column | None = None) -> DataFrame:
     """Candidates without a current artifact: of the candidate's version or later, and in its table. A null hash is met by none."""
     c, m = candidates.alias("c"), manifest.alias("m")
@@ -72,14 +67,14 @@ def status(found: DataFrame, manifest: DataFrame, expected: DataFrame) -> DataFr
     """Per parser: files, those hashed, distinct hashes, how many of these have all artifacts, how many files have
     not, and the rows of all current artifacts (each hash once).
 
-    ``found`` has a row for each file and artifact (file_id, content_hash, parser_id, artifact_key, version,
-    target_table); ``expected`` n_artifacts for each parser_id.
+    ``found`` has a row for each file and artifact (content_hash, parser_id, artifact_key, version, target_table); ``expected`` n_artifacts for each parser_id.
     """
-    c, m = found.alias("c"), manifest.alias("m")
+    # files of one hash meet first, and those without a hash are one row for each artifact, so no key is hot
+    each = found.groupBy("parser_id", "content_hash", "artifact_key", "version", "target_table").agg(F.count("*").alias("n"))
+    c, m = each.alias("c"), manifest.alias("m")
     met = c.join(m, (F.col("c.content_hash") == F.col("m.content_hash")) & (F.col("c.artifact_key") == F.col("m.artifact_key")) & (F.col("m.parser_version") >= F.col("c.version")) & (F.col("m.target_table") == F.col("c.target_table")), "left")
-    per_file = met.groupBy(F.col("c.parser_id").alias("parser_id"), F.col("c.file_id").alias("file_id"), F.col("c.content_hash").alias("content_hash")).agg(F.count_distinct("m.artifact_key").alias("made"), F.sum("m.row_count").alias("row_count"))
-    whole = per_file.join(F.broadcast(expected.select("parser_id", "n_artifacts")), "parser_id")
-    # a hash's files agree in what is made of it, so its rows are counted with the least file
-    once = F.row_number().over(Window.partitionBy("parser_id", "content_hash").orderBy("file_id")) == 1
-    whole = whole.withColumn("once", once & F.col("content_hash").isNotNull()).withColumn("whole", F.col("made") == F.col("n_artifacts"))
-    return whole.groupBy("parser_id").agg(F.count("*").alias("files"), F.count("content_hash").alias("hashed"), F.count_if("once").alias("hashes"), F.count_if(F.col("once") & F.col("whole")).alias("complete"), F.count_if(~F.col("whole")).alias("missing"), F.coalesce(F.sum(F.when(F.col("once"), F.col("row_count"))), F.lit(0)).alias("row_count"))
+    whole = met.groupBy(F.col("c.parser_id").alias("parser_id"), F.col("c.content_hash").alias("content_hash")).agg(F.max("c.n").alias("n"), F.count("m.artifact_key").alias("made"), F.sum("m.row_count").alias("row_count"))
+    whole = whole.join(F.broadcast(expected.select("parser_id", "n_artifacts")), "parser_id").withColumn("whole", F.col("made") == F.col("n_artifacts"))
+    there = F.col("content_hash").isNotNull()
+    some = lambda x, n: F.coalesce(F.sum(F.when(x, n)), F.lit(0))
+    return whole.groupBy("parser_id").agg(F.sum("n").alias("files"), some(there, F.col("n")).alias("hashed"), F.count("content_hash").alias("hashes"), F.count_if(F.col("whole") & there).alias("complete"), some(~(F.col("whole") & there), F.col("n")).alias("missing"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"))

@@ -1,22 +1,44 @@
 """The shared folder in which intermediate results are written, so that a lost executor loses nothing."""
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OPEN: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """That of ``spark.checkpoint.dir``; a private one is made only where none is named (tests)."""
+    """That of ``spark.checkpoint.dir``. Where none is named, a private one is made for a local session (tests); on a
+    cluster that is an error, as no other machine would see it."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="lodestrata-")
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder."""
+    """``df`` as a table in the shared folder, deleted at the end of the innermost ``scratch`` around it."""
     at = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(at)
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is ``written`` within is deleted in the end, so nothing may be read from it any more."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for at in _OPEN.pop():
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -37,22 +37,30 @@ def lines(files: DataFrame, errors: str = "ignore", ends: bool = False) -> DataF
     return own if ends else own.withColumn("line", F.regexp_replace("line", "\n$", ""))
 
 
-def _quoted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _quoted(skip_blank: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             rows = list(csv.reader(io.StringIO(text, newline=""), skipinitialspace=True))
+            rows = [r for r in rows if not skip_blank or r not in ([], [""])]
             yield pa.record_batch([pa.array([key] * len(rows), pa.binary()), pa.array(range(len(rows)), pa.int32()), pa.array(rows, pa.list_(pa.string()))], ["content_hash", "pos", "fields"])
 
 
-def delimited(files: DataFrame, errors: str = "replace") -> DataFrame:
-    """Comma-separated records: content_hash, pos (from 0, blank lines counted) and fields, blanks before a field dropped.
+def delimited(files: DataFrame, errors: str = "replace", skip_blank: bool = False) -> DataFrame:
+    """Comma-separated records: content_hash, pos (from 0) and fields, blanks before a field dropped. Blank lines are
+    counted, or left out before it with ``skip_blank``.
 
     Only files with a quote need a reader with memory of it; the rest stays in native expressions.
     """
     text = files.select("content_hash", text_of(F.col("content"), errors).alias("text"))
     quote = F.col("text").contains('"')
-    plain = text.filter(~quote).select("content_hash", F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
-    line = F.regexp_replace("line", "\n$", "")
-    cut = F.when(line == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(line, ",", -1), lambda x: F.ltrim(x)))
+    bare = F.transform(split_lines(F.col("text")), lambda x: F.regexp_replace(x, "\n$", ""))
+    if skip_blank:
+        bare = F.filter(bare, lambda x: F.ltrim(x) != "")
+    plain = text.filter(~quote).select("content_hash", F.posexplode(bare).alias("pos", "line"))
+    cut = F.when(F.col("line") == "", F.array().cast("array<string>")).otherwise(F.transform(F.split("line", ",", -1), lambda x: F.ltrim(x)))
     plain = plain.select("content_hash", "pos", cut.alias("fields"))
-    return plain.unionByName(text.filter(quote).mapInArrow(_quoted, "content_hash binary, pos int, fields array<string>"))
+
+    def quoted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _quoted(skip_blank, batches)
+
+    return plain.unionByName(text.filter(quote).mapInArrow(quoted, "content_hash binary, pos int, fields array<string>"))

@@ -14,13 +14,13 @@ os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "
 os.environ.setdefault("OMP_NUM_THREADS", "1")
 
 MCDATA = (
-    "5,PFC_DB:,,,35537,CT ROUTER - NFS2 INTERFACE DOWN,11/07/2023 18:35:33,COMM,CI,,,,CONFIRMED_TRUE,,\n"
-    "1,RFC_DB:,,02/03/2025 01:09:02,SCS,28546,CONFIRMED,01:09:02,NOT_BIT,ConsecTru,1,TotTru,1,ConsecFal,0,TotFal,0,TotCnt,1,28546,NONE,,,,\n"
-    "1,LCS_TEMP:,,02/03/2025 01:09:02,65.6,INIT,01:09:01,,,\n"
+    "7,PFC_DB:,,,41200,PUMP B PRESSURE LOW,03/09/2024 07:15:20,FUEL,NO,,,,SET,,\n"
+    "2,RFC_DB:,,04/06/2024 10:20:30,HYD,51733,LATCHED,10:20:31,BIT_A,run,2,all,4,off,1,sum,3,times,7,51733,BOARD 4,,,,\n"
+    "2,LCS_TEMP:,,04/06/2024 10:20:30,71.2,WARM,10:20:29,,,\n"
 )
-SEGMENTS = "1,1,,01/13/2025 14:13:36:825,01/13/2025 15:36:51:825,01/13/2025 14:13:36:825,01/13/2025 15:36:36:825,01:23:00,,false,false,false,PreFlight,1,false,false,x,,\n"
-ENGINE = "ENG_TIME,R,02/03/2025 01:09:02:000,02/03/2025 01:19:02:000,00:10:00,src\n"
-TMPTR = "AFMC,00250203,01:09:02.123,TMPTR,029C,085F\n"
+SEGMENTS = "3,1,,02/20/2024 06:00:05:125,02/20/2024 07:30:45:125,02/20/2024 06:00:05:125,02/20/2024 07:30:40:125,01:30:40,,true,false,false,PreFlight,2,false,true,y,,\n"
+ENGINE = "ENG_TIME,L,04/06/2024 10:20:30:000,04/06/2024 10:41:30:000,00:21:00,own\n"
+TMPTR = "BMFC,00240406,10:20:30.250,TMPTR,031C,088F\n"
 
 
 def make_archive(path: Path, members: dict[str, str], nested: dict[str, str] | None = None) -> Path:

@@ -45,8 +45,9 @@ def test_lifecycle(spark, tmp_path):
     moved.parent.mkdir()
     shutil.move(first, moved)
     out = R.refresh(store, str(scan))
-    assert out.failed == 0
-    assert sizes(store) == {"archive": 2, "file": 8, "manifest": 12, "sessions": 2, "jobs": 24}
+    # hashed, and found to be made already
+    assert (out.items, out.failed) == (0, 0)
+    assert sizes(store) == {"archive": 2, "file": 8, "manifest": 12, "sessions": 2, "jobs": 12}
     assert leaf_sizes(store) == leaves
     assert [r.is_present for r in store.read("metadata_archive").orderBy("id").collect()] == [False, True]
     rows = {r.parser_id: r for r in R.status(store).collect()}
@@ -79,29 +80,154 @@ def test_copies_are_parsed_once(spark, tmp_path):
     R.refresh(store, str(tmp_path / "scan"))
     assert sizes(store)["file"] == 4 and sizes(store)["manifest"] == 1
     assert leaf_sizes(store) == {"segments": 1}
+    # of two equal members in one run one is parsed
+    assert store.read("processing_jobs").filter("parser_id = 'segments'").count() == 1
+    assert store.read("metadata_file").filter("content_hash is not null").select("content_hash").distinct().count() == 1
 
 
 def test_failures(spark, tmp_path):
     scan = tmp_path / "scan"
     p = "169871_20250113_141336_001"
-    make_archive(scan / f"{p}_TransportRSM.fpkg.e2d.zip", {f"{p}_Engine": ENGINE, f"{p}_MCData": "1,PFC_DB:,short\n", f"{p}_Segments": SEGMENTS})
+    # two members fail; what comes after the first waits
+    make_archive(scan / f"{p}_TransportRSM.fpkg.e2d.zip", {f"{p}_Engine": ENGINE, f"{p}_MCData": "1,PFC_DB:,short\n", f"{p}_Segments": "1,2\n"})
     q = "169871_20250113_141336_002"
     make_archive(scan / f"{q}_TransportRSM.fpkg.e2d.zip", {f"{q}_Engine": ENGINE})
     (scan / "169871_20250113_141336_003_TransportRSM.fpkg.e2d.zip").write_bytes(b"no archive")
-    store = Store(spark, str(tmp_path / "store"))
-    out = R.refresh(store, str(scan))
-    # the engine file precedes the failure and stays, the segments after it wait
+    store, told = Store(spark, str(tmp_path / "store")), []
+    out = R.refresh(store, str(scan), report=told.append, failures_to=str(tmp_path / "dead"))
     assert leaf_sizes(store) == {"engine_on_off": 1}
     assert out.failed == 9 and len(out.errors) == 1
+    jobs = store.read("processing_jobs")
+    assert {(r.parser_id, r.status): r["count"] for r in jobs.groupBy("parser_id", "status").count().collect()} == {("engine_on_off", "COMPLETED"): 1, ("mcdata", "ERROR"): 9}
     assert store.read("processing_sessions").first().status == "ERROR"
+    dead = spark.read.parquet(str(tmp_path / "dead")).collect()
+    assert len(dead) == 1 and bytes(dead[0].content) == b"1,PFC_DB:,short\n" and dead[0]["name"].endswith(f"{p}_MCData")
+    assert any("registered" in t for t in told) and any("ends" in t for t in told)
+    # nothing of the run is left in the shared folder
+    assert not list((tmp_path / "store").glob("_LOCK*"))
     # a backfill goes on after a failure
-    assert R.backfill(store, "segments").failed == 0
-    assert leaf_sizes(store) == {"engine_on_off": 1, "segments": 1}
-    assert R.backfill(store, "segments").session_id is None
-    assert R.backfill(store, "segments", force=True).items == 1
-    assert leaf_sizes(store) == {"engine_on_off": 1, "segments": 1}
-    store.compact("segments")
-    assert leaf_sizes(store) == {"engine_on_off": 1, "segments": 1}
+    assert R.backfill(store, "segments").failed == 1
+    assert R.backfill(store, "engine_on_off").session_id is None
+    assert R.backfill(store, "engine_on_off", force=True).items == 1
+    assert leaf_sizes(store) == {"engine_on_off": 1}
+    store.compact("engine_on_off")
+    assert leaf_sizes(store) == {"engine_on_off": 1}
+
+
+def test_damaged_and_encrypted_archives_are_told(spark, tmp_path):
+    scan = tmp_path / "scan"
+    names = [f"169871_20250113_141336_00{k}" for k in range(1, 5)]
+    good, broken, locked, nested = (make_archive(scan / f"{p}_TransportRSM.fpkg.e2d.zip", {f"{p}_Segments": SEGMENTS.replace("PreFlight", p[-3:]) * 50}, {"RSM/TMPTR_LOG": TMPTR * 50} if p == names[3] else None) for p in names)
+    for path, member in ((broken, f"{names[1]}_Segments"), (nested, f"{names[3]}_RSM_RawArchive.zip")):
+        # the deflate stream is overwritten behind its header
+        data = bytearray(path.read_bytes())
+        at = data.index(member.encode()) + len(member) + 4
+        data[at : at + 60] = b"\xff" * 60
+        path.write_bytes(bytes(data))
+    data = bytearray(locked.read_bytes())
+    data[data.index(b"PK\x03\x04") + 6] |= 1
+    data[data.index(b"PK\x01\x02") + 8] |= 1
+    locked.write_bytes(bytes(data))
+    store = Store(spark, str(tmp_path / "store"))
+    out = R.refresh(store, str(scan))
+    # the nested one can't even be listed; members of the others can't be read
+    assert len(out.errors) <= 1 and out.failed >= 2
+    assert leaf_sizes(store) == {"segments": 50}
+    assert {r.status for r in store.read("processing_jobs").collect()} == {"COMPLETED", "ERROR"}
+
+
+def test_a_run_that_dies_is_closed_by_a_later_one(spark, tmp_path, monkeypatch):
+    import datetime
+
+    scan = tmp_path / "scan"
+    whole_archive(scan)
+    store = Store(spark, str(tmp_path / "store"))
+
+    class Killed(BaseException):
+        """As if the process had gone: nobody closes anything."""
+
+    def dies(*args, **kwargs):
+        raise Killed
+
+    with monkeypatch.context() as m, pytest.raises(Killed):
+        m.setattr(R, "until_failure", dies)
+        R.refresh(store, str(scan))
+    status = lambda t: {r.status for r in store.read(t).collect()}
+    assert status("processing_sessions") == {"RUNNING"} and status("processing_jobs") == {"RUNNING"}
+    assert not S.check(store)["ok"]
+    # the lock that a dead run would leave holds for a while, then it is taken over
+    store._fs.create(store._path("_LOCK"), False).close()
+    with pytest.raises(Locked):
+        R.refresh(store, str(scan))
+    day = int((datetime.datetime.now().timestamp() - 25 * 3600) * 1000)
+    store._fs.setTimes(store._path("_LOCK"), day, -1)
+    old = R.now() - datetime.timedelta(hours=25)
+    from pyspark.sql import functions as F
+
+    early = lambda t: store.read(t).withColumn("start_time", F.lit(old).cast("timestamp_ntz"))
+    store.publish({t: early(t) for t in ("processing_sessions", "processing_jobs")})
+    store._fs.setTimes(store._path("_LOCK"), day, -1)
+    out = R.refresh(store, str(scan))
+    assert out.failed == 0 and out.items == 12
+    assert {(r.status, r.n) for r in store.read("processing_jobs").groupBy("status").agg(F.count("*").alias("n")).collect()} == {("ERROR", 12), ("COMPLETED", 12)}
+    assert store.lock_owner() is None and not store.unlock()
+    # an error within a run closes its session at once
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(R, "one_per_content", lambda each: (_ for _ in ()).throw(RuntimeError("broken")))
+        R.backfill(store, "segments", force=True)
+    assert status("processing_sessions") == {"ERROR", "COMPLETED"} and store.lock_owner() is None
+
+
+def test_first_failure_of_each_archive(spark):
+    rows = [(1, "a", "p", "x", None), (1, "b", "p", "x", "bad"), (1, "b", "p", "y", None), (1, "b", "q", "x", None), (1, "c", "p", "x", "bad"), (2, "z", "p", "x", None)]
+    each = spark.createDataFrame(rows, "archive_id long, relative_path string, parser_id string, artifact_key string, why string")
+    assert sorted(tuple(r) for r in R.until_failure(each).select("archive_id", "relative_path", "parser_id", "artifact_key").collect()) == [(1, "a", "p", "x"), (1, "b", "p", "x"), (1, "b", "p", "y"), (2, "z", "p", "x")]
+
+
+def test_protected_names(spark, tmp_path):
+    from lodestrata import cli
+
+    for name in ("core", "candidate_1"):
+        Store(spark, str(tmp_path / name)).initialise()
+    run = lambda *a: cli.main(["--root", str(tmp_path), *a], spark, lambda x: None)
+    with pytest.raises(ValueError, match="protected"):
+        run("--store", "core", "schema", "cleanup", "--confirm-schema", "core")
+    with pytest.raises(ValueError, match="protected"):
+        run("--store", "core", "schema", "promote", "other", "archive_1")
+    with pytest.raises(ValueError, match="unsafe"):
+        run("--store", "a-b", "schema", "cleanup", "--confirm-schema", "a-b")
+    assert (tmp_path / "core").exists()
+    run("--store", "candidate_1", "schema", "promote", "core", "archive_1")
+    assert not (tmp_path / "candidate_1").exists() and not list(tmp_path.glob("*/_LOCK"))
+    run("--store", "archive_1", "schema", "cleanup", "--confirm-schema", "archive_1")
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["core"]
+
+
+def test_numbering(spark):
+    from lodestrata.operators.numbering import numbered
+
+    rows = spark.createDataFrame([(k * 7919 % 1000, "x") for k in range(1000)], "k long, v string").repartition(5)
+    got = numbered(rows, ["k"], "n", 10).collect()
+    assert all(r.n == r.k + 11 for r in got) and len(got) == 1000
+    assert numbered(rows.limit(0), ["k"], "n").count() == 0
+
+
+def test_settings(tmp_path, capsys):
+    from lodestrata import config
+
+    own = tmp_path / "own.toml"
+    own.write_text('[paths]\nscan_root = "/a"\nstore_root = "/b"\n[runtime]\ndiscovery_workers = 3\nunknown = 1\n')
+    assert config.load(environment={}).stores.protected == ["core", "core_dev"]
+    got = config.load(str(own), {"paths": {"store_root": "/d"}}, {"LODESTRATA_PATHS__SCAN_ROOT": "/c", "LODESTRATA_RUNTIME__STALE_HOURS": "2.5", "LODESTRATA_STORES__PROTECTED": "x, y"})
+    assert (got.paths.scan_root, got.paths.store_root, got.runtime.discovery_workers, got.runtime.stale_hours, got.stores.protected) == ("/c", "/d", 3, 2.5, ["x", "y"])
+    assert config.load(environment={"LODESTRATA_CONFIG": str(own)}).paths.scan_root == "/a"
+    config.load(str(tmp_path / "none.toml"), environment={})
+    assert "no configuration file" in capsys.readouterr().err
+    with pytest.raises(ValueError):
+        config.load(environment={"LODESTRATA_RUNTIME__DISCOVERY_WORKERS": "0"})
+    log = config.logger(config.load(given={"logging": {"log_file": str(tmp_path / "log")}}, environment={}))
+    log.info("something")
+    assert "something" in (tmp_path / "log").read_text()
 
 
 def test_guards(spark, tmp_path):

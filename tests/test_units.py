@@ -59,22 +59,20 @@ def rows_of(spark, parse, text):
 def test_parsers(spark):
     out, failed = rows_of(spark, parsers.parse_mcdata, MCDATA)
     assert not failed and out["mcdata.PfcDb"][0][1:] == (datetime.datetime(2023, 11, 7, 18, 35, 33), 35537, "CT ROUTER - NFS2 INTERFACE DOWN", "COMM", "CI")
-    assert out["mcdata.LcsTemp"][0][1:] == (datetime.datetime(2025, 2, 3, 1, 9, 2), "65.6", "INIT", datetime.datetime(2025, 2, 3, 1, 9, 1))
+    assert out["mcdata.LcsTemp"][0][1:] == (datetime.datetime(2024, 4, 6, 10, 20, 30), "71.2", "WARM", datetime.datetime(2024, 4, 6, 10, 20, 29))
     assert rows_of(spark, parsers.parse_mcdata, MCDATA + "1,PFC_DB:,few\n")[1]
     assert rows_of(spark, parsers.parse_segments, SEGMENTS)[0]["segments"][0][-1] == "PreFlight"
-    assert rows_of(spark, parsers.parse_segments, "1,2\n")[1] and rows_of(spark, parsers.parse_segments, SEGMENTS.replace("01/13", "13/13", 1))[1]
+    assert rows_of(spark, parsers.parse_segments, "1,2\n")[1] and rows_of(spark, parsers.parse_segments, SEGMENTS.replace("02/20", "13/20", 1))[1]
     assert [r[0] for r in rows_of(spark, parsers.parse_engine, "A,L\n\n  \n" + ENGINE)[0]["engine_on_off"]] == [2]
     assert [r[0] for r in rows_of(spark, parsers.parse_tmptr, TMPTR + "too,short\n" + TMPTR.strip() + ",7,8\n")[0]["tmptr_log"]] == [1, 3]
     assert [r[0] for r in rows_of(spark, parsers.parse_tmptr, '"AFMC",00250203,01:09:02.123,"T,x",029C,085F\n')[0]["tmptr_log"]] == [1]
 
 
-def test_zip_source(spark, tmp_path):
+def test_zip_members(spark, tmp_path):
     a = whole_archive(tmp_path)
-    archives.register(spark)
-    df = spark.read.format("zip_members").option("paths", str(a)).option("content", "true").load()
-    assert df.count() == 4
-    one = df.filter("relative_path = '169871_20250113_141336_001_Segments'").collect()
-    assert len(one) == 1 and bytes(one[0].content) == SEGMENTS.encode()
+    assert len(archives.members(str(a))) == 4
+    one = list(archives.contents(str(a), [(7, "169871_20250113_141336_001_Segments")]))
+    assert one == [(7, SEGMENTS.encode(), None)]
     b = make_archive(tmp_path / "b.zip", {"x_a": "1"})
     import zipfile
 
@@ -109,6 +107,36 @@ def test_commands(spark, tmp_path):
     assert cli.main(["--root", str(tmp_path), "schema", "check"], spark, said.append) == 0
 
 
+def test_commands_on_a_store(spark, tmp_path):
+    """Refresh, what it leaves to look at, invalidation, and traces."""
+    whole_archive(tmp_path / "scan")
+    said = []
+
+    def run(*args):
+        said.clear()
+        return cli.main(["--root", str(tmp_path / "stores"), *args], spark, said.append)
+
+    assert run("refresh", str(tmp_path / "scan")) == 0 and json.loads(said[-1])["items"] == 12
+    assert run("refresh", "--plan") == 0 and "pending" not in said[-1]
+    assert run("parser", "status") == 0 and "mcdata" in said[-1]
+    assert run("runs", "list") == 0 and "COMPLETED" in said[-1]
+    assert run("runs", "failing") == 0 and len(said[-1].split("\n")) == 1
+    assert run("parser", "invalidate", "segments", "--plan") == 0 and said[-1].startswith("1 ")
+    with pytest.raises(SystemExit):
+        run("parser", "invalidate", "segments")
+    assert run("parser", "invalidate", "segments", "--yes") == 0
+    assert run("refresh", "--plan") == 0 and "pending" in said[-1]
+    assert run("parser", "backfill", "segments") == 0 and "segments" in "".join(said)
+    with pytest.raises(SystemExit):
+        run("schema", "unlock")
+    assert run("schema", "unlock", "--yes") == 0 and said[-1] == "not locked"
+    trace = tmp_path / "trace.json"
+    trace.write_text(json.dumps({"traceEvents": [{"name": n, "ts": t, "dur": d} for n, t, d in (("a", 1e6, 2000.0), ("a", 5e6, 4000.0), ("b", 9e6, 1000.0))]}))
+    assert run("trace", "summary", str(trace), "--top", "1") == 0 and said[-1].split("\n")[1].split() == ["a", "2", "6.0", "3.0"]
+    assert run("trace", "clip", str(trace), str(tmp_path / "clipped"), "--seconds", "5") == 0
+    assert sorted(r.name for r in spark.read.json(str(tmp_path / "clipped")).collect()) == ["a", "b"]
+
+
 def test_stream_wakes_the_refresh(spark, tmp_path):
     from lodestrata.streaming import arrivals
 
