@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.kernel import FOLD, mix, row_slices, rows_of, runs, span_hashes, utf8_view
+from lodestrata.llm.kernel import FOLD, mix, ragged, row_slices, rows_of, runs, span_hashes, utf8_view
 from lodestrata.llm.scratch import cut, unused
 
 BLOCKS, BITS, THRESHOLD = 10, 13, 19
@@ -36,6 +36,8 @@ LENGTH, CHECKS, _GENERATOR = 15, 4, 0b10011
 BYTES, WORDS = 2 * BLOCKS, BLOCKS // 2
 #: Pairs compared in one vectorised step; fingerprints of an anchor's block, and blocks to a group of those at home.
 STEP, ROWS, ASKED = 1 << 21, 1 << 15, 16
+#: Rows beyond which those that answer are looked up by a block's value, so many asking and so many pairs at once.
+FEW, PROBES, LOOKED = 1 << 13, 1 << 7, 1 << 17
 ANCHORS = BLOCKS << LENGTH
 
 
@@ -160,21 +162,55 @@ def _sent(fp: np.ndarray, who: np.ndarray, where: np.ndarray, asks: np.ndarray,
     return pa.record_batch([pa.array(where[go], pa.int32()), pa.array(block[go], pa.int32()), pa.array(asked[go], pa.int32()), raw, pa.array(asks[go]), pa.array(answers[go])], ["anchor", "block", "asked", "fp", "asks", "answers"])
 
 
+@lru_cache(1)
+def changes() -> np.ndarray:
+    """The differences of at most PAIR_THRESHOLD bits that a block's value can have."""
+    every = np.arange(1 << BITS)
+    return every[np.bitwise_count(every) <= PAIR_THRESHOLD]
+
+
+def _within_pair(pair: np.ndarray, own: np.ndarray, to: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of ``own`` and ``to`` within PAIR_THRESHOLD in the pair of blocks, all of them looked at."""
+    step = max(1, STEP // max(1, len(to)))
+    for k in range(0, len(own), step):
+        a = own[k : k + step]
+        flat = np.flatnonzero(np.bitwise_count(pair[a, None] ^ pair[None, to]) <= PAIR_THRESHOLD)
+        yield a[flat // len(to)], to[flat % len(to)]
+
+
+def _looked_up(pair: np.ndarray, values: np.ndarray, own: np.ndarray, to: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same pairs, of which only those are looked at whose ``values`` (of the other block) are within it."""
+    to = to[np.argsort(values[to], kind="stable")]
+    there = np.ascontiguousarray(pair[to])
+    first = np.searchsorted(values[to], np.arange((1 << BITS) + 1))
+    size = np.diff(first)
+    for k in range(0, len(own), PROBES):
+        a = own[k : k + PROBES]
+        who, at = np.repeat(a, len(changes())), (values[a, None] ^ changes()).ravel()
+        total = np.concatenate([[0], np.cumsum(size[at])])
+        n = 0
+        while n < len(at):
+            m = max(n + 1, int(np.searchsorted(total, total[n] + LOOKED, "right")) - 1)
+            many = size[at[n:m]]
+            asked, j = np.repeat(who[n:m], many), ragged(first[at[n:m]], many)
+            near = np.flatnonzero(np.bitwise_count(pair[asked] ^ there[j]) <= PAIR_THRESHOLD)
+            yield asked[near], to[j[near]]
+            n = m
+
+
 def near_pairs(fp: np.ndarray, asks: np.ndarray, answers: np.ndarray, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of the rows that ask and those that answer at one anchor that are within THRESHOLD.
 
     Blocks are paired: of fingerprints within 19 bits, one pair of blocks is within 3, and one of its
-    two blocks then within 1. So what isn't within 3 in this block's pair is found at another anchor,
-    and only the rest is compared in full.
+    two blocks then within 1. So what isn't within 3 in this block's pair is found at another anchor, and only
+    the rest is compared in full. Where more than FEW answer, they are sorted by the pair's other block, and
+    those within 3 bits in it (378 of its 8192 values) are looked up; the pairs are the same.
     """
     words = np.ascontiguousarray(fp).view(np.uint32)
     pair = np.ascontiguousarray(words[:, block // 2])
     own, to = np.flatnonzero(asks), np.flatnonzero(answers)
-    step = max(1, STEP // max(1, len(to)))
-    for k in range(0, len(own), step):
-        a = own[k : k + step]
-        flat = np.flatnonzero(np.bitwise_count(pair[a, None] ^ pair[None, to]) <= PAIR_THRESHOLD)
-        i, j = a[flat // len(to)], to[flat % len(to)]
+    found = _within_pair(pair, own, to) if len(to) <= FEW else _looked_up(pair, blocks(fp)[:, block ^ 1].astype(np.int64), own, to)
+    for i, j in found:
         near = (np.bitwise_count(words[i] ^ words[j]).sum(1, dtype=np.int64) <= THRESHOLD) & (i != j)
         yield i[near], j[near]
 

@@ -510,6 +510,26 @@ def test_near_duplicates_against_brute_force(spark, docs):
     assert {r.doc_id for r in simhash.keep_one_of_each(docs).collect()} == set(got)
 
 
+def test_pairs_at_an_anchor_against_all_pairs(monkeypatch):
+    """Looked at one by one and looked up, with copies, ties and hot values."""
+    rng = np.random.default_rng(3)
+    fp = (rng.integers(0, 1 << simhash.BITS, (900, simhash.BLOCKS)) & np.where(rng.random((900, 1)) < 0.5, 0x7, 0x1FFF)).astype(np.uint16)
+    fp[:300] = fp[0]
+    fp[np.arange(300), rng.integers(0, 10, 300)] ^= (1 << rng.integers(0, simhash.BITS, 300)).astype(np.uint16)
+    fp = np.unique(fp, axis=0).view(np.uint8)
+    asks, answers = rng.random(len(fp)) < 0.3, rng.random(len(fp)) < 0.8
+    words = np.ascontiguousarray(fp).view(np.uint32)
+    apart = np.bitwise_count(words[:, None] ^ words[None])
+    for block in (0, 3, 9):
+        near = (apart.sum(2) <= simhash.THRESHOLD) & (apart[:, :, block // 2] <= simhash.PAIR_THRESHOLD) & asks[:, None] & answers[None]
+        np.fill_diagonal(near, False)
+        want = set(zip(*(x.tolist() for x in np.nonzero(near))))
+        for few in (1 << 13, 0):
+            monkeypatch.setattr(simhash, "FEW", few)
+            got = [p for i, j in simhash.near_pairs(fp, asks, answers, block) for p in zip(i.tolist(), j.tolist())]
+            assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+
+
 def test_copies_are_caught(spark):
     rng = random.Random(8)
     base = [" ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9))) for _ in range(300)) for _ in range(3)]
