@@ -20,11 +20,6 @@ def jobs_of(items: DataFrame, session: str, status: Column | str, *, start: Colu
     return conform(own, JOB)
 
 
-def replaced_session(old: DataFrame, new: DataFrame, session: str, key: str = "session_id") -> DataFrame:
-    """``old`` without a session's rows, and ``new``."""
-    return old.filter(F.col(key) != session).unionByName(new)
-
-
 def latest(events: DataFrame, key: str, at: str) -> DataFrame:
     """The last event of each key; of equal times the greater status counts."""
     own = Window.partitionBy(key).orderBy(F.desc(at), F.desc("status"))

@@ -1,6 +1,6 @@
 """Tables as immutable snapshots, published together.
 
-A table is a folder of Parquet files that is never written again; ``_CURRENT`` names the folder of each, and
+A table is folders of Parquet files that are never written again; ``_CURRENT`` names those of each, and
 is replaced in one rename, so readers see all of a commit or nothing. Leaf rows are appended by generation; a
 row counts if the manifest names its generation for its hash, so replacing a hash rewrites nothing, and the
 manifest is the commit. Everything goes through Hadoop's file system, so the root may be on any of them.
@@ -23,6 +23,8 @@ from lodestrata.schemas import CONTROL, LEAVES, conform
 
 #: Hours after which a lock, a session or a job that runs is taken for dead.
 STALE_HOURS = 24.0
+#: Parts of a table beyond which they are written as one.
+PARTS = 32
 
 
 class Locked(RuntimeError):
@@ -109,8 +111,12 @@ class Store:
         return new
 
     def read(self, table: str) -> DataFrame:
-        at = self.pointer()["tables"].get(table)
-        return self.spark.read.schema(CONTROL[table]).parquet(f"{self.root}/{at}") if at else self.spark.createDataFrame([], CONTROL[table])
+        parts = self.folders(table)
+        return self.spark.read.schema(CONTROL[table]).parquet(*parts) if parts else self.spark.createDataFrame([], CONTROL[table])
+
+    def folders(self, table: str) -> list[str]:
+        """The folders that hold a control table now."""
+        return [f"{self.root}/{at}" for _, at in sorted(self.pointer()["tables"].get(table, {}).items())]
 
     def leaf(self, artifact: str) -> DataFrame:
         """The rows of an artifact that the manifest holds."""
@@ -132,13 +138,26 @@ class Store:
         table, schema = LEAVES[artifact]
         return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/g={generation}")
 
-    def publish(self, tables: dict[str, DataFrame], artifacts: list[str] | None = None, generation: str | None = None) -> None:
-        """Writes the tables, then names these and the appended leaves of ``artifacts`` all at once."""
+    def publish(self, tables: dict[str, DataFrame], artifacts: list[str] | None = None, generation: str | None = None, parts: dict[str, dict[str, DataFrame]] | None = None) -> None:
+        """Writes the tables, then names these and the appended leaves of ``artifacts`` all at once.
+
+        ``parts`` are added to tables, or replace parts of the same name; nothing else of these tables is written
+        again, until they have more than PARTS.
+        """
         to = self.pointer()
-        for name, df in tables.items():
+
+        def write(name: str, df: DataFrame) -> str:
             at = f"{name}/v={uuid.uuid4().hex}"
             conform(df, CONTROL[name]).write.parquet(f"{self.root}/{at}")
-            to["tables"][name] = at
+            return at
+
+        for name, df in tables.items():
+            to["tables"][name] = {"base": write(name, df)}
+        for name, own in (parts or {}).items():
+            there = to["tables"].setdefault(name, {})
+            there |= {part: write(name, df) for part, df in own.items()}
+            if len(there) > PARTS:
+                to["tables"][name] = {"base": write(name, self.spark.read.schema(CONTROL[name]).parquet(*[f"{self.root}/{at}" for at in there.values()]))}
         for artifact in artifacts or []:
             table = LEAVES[artifact][0]
             to["leaves"].setdefault(table, {})[generation] = f"{table}/g={generation}"
@@ -158,7 +177,7 @@ class Store:
         to = self.pointer()
         snapshot = f"metadata_artifact_manifest/v={uuid.uuid4().hex}"
         changed.write.parquet(f"{self.root}/{snapshot}")
-        to["tables"]["metadata_artifact_manifest"] = snapshot
+        to["tables"]["metadata_artifact_manifest"] = {"base": snapshot}
         to["leaves"][table] = {generation: at}
         self._point(to)
 

@@ -64,7 +64,7 @@ class Tables:
     def vf(self) -> DataFrame:
         sign = lambda k: F.ascii(F.substring("content_hash", k, 1))
         hashes = self.vm().filter("content_hash is not null").select("content_hash").distinct()
-        return hashes.crossJoin(F.broadcast(self.vspec().select("parser_id"))).select("content_hash", "parser_id", (sign(1) % 3).alias("parser_version"), sign(2).alias("row_count"), F.when(sign(3) % 5 == 0, "old").otherwise("current").alias("target_table"))
+        return hashes.withColumn("parser_id", F.explode(F.array(*[F.lit(x.parser_id) for x in specs.HANDLED]))).select("content_hash", "parser_id", (sign(1) % 3).alias("parser_version"), sign(2).alias("row_count"), F.when(sign(3) % 5 == 0, "old").otherwise("current").alias("target_table"))
 
     def archives(self, cataloged: Column | None = None) -> DataFrame:
         """Orders as an inventory; all are present and cataloged where ``cataloged`` is True."""

@@ -56,7 +56,7 @@ Report = Callable[[str], None]
 def _begin(store: Store, todo: DataFrame, session: str, at: datetime) -> None:
     """The session, which runs, and its jobs, which are pending: what a run that dies leaves behind."""
     row = store.spark.createDataFrame([(session, *context().values(), runs.RUNNING, at, None)], SESSION)
-    store.publish({"processing_sessions": store.read("processing_sessions").unionByName(row), "processing_jobs": store.read("processing_jobs").unionByName(runs.jobs_of(todo, session, runs.PENDING))})
+    store.publish({}, parts={"processing_sessions": {session: row}, "processing_jobs": {session: runs.jobs_of(todo, session, runs.PENDING)}})
 
 
 def _hashed(store: Store, todo: DataFrame, force: bool) -> tuple[DataFrame, DataFrame]:
@@ -81,8 +81,8 @@ def one_per_content(each: DataFrame) -> DataFrame:
     return own.join(least, ["content_hash", "artifact_key", "file_id"], "left_semi").unionByName(each.filter("why is not null"))
 
 
-def _process(store: Store, todo: DataFrame, session: str, at: datetime, stop_at_failure: bool, force: bool, report: Report, failures_to: str | None) -> tuple[dict[str, DataFrame], tuple[str, list[str]], DataFrame]:
-    """Control tables after making ``todo``, the generation and artifacts whose leaves are written, and the jobs.
+def _process(store: Store, todo: DataFrame, session: str, at: datetime, stop_at_failure: bool, force: bool, report: Report, failures_to: str | None) -> tuple[dict[str, DataFrame], dict[str, dict[str, DataFrame]], tuple[str, list[str]], DataFrame]:
+    """Control tables, and parts of others, after making ``todo``, the generation and artifacts whose leaves are written, and the jobs.
 
     Items are in order of path and parser within an archive; with ``stop_at_failure`` those after an archive's
     first failed one are left for another run. What fails is copied to ``failures_to``, if that is given.
@@ -92,7 +92,7 @@ def _process(store: Store, todo: DataFrame, session: str, at: datetime, stop_at_
     contents, items = _hashed(store, todo, force)
     report("read and hashed the members")
     start = F.lit(at).cast("timestamp_ntz")
-    store.publish({"processing_jobs": runs.replaced_session(store.read("processing_jobs"), runs.jobs_of(items, session, runs.RUNNING, start=start), session)})
+    store.publish({}, parts={"processing_jobs": {session: runs.jobs_of(items, session, runs.RUNNING, start=start)}})
     one = contents.filter("content is not null").groupBy("hash").agg(F.min("file_id").alias("file_id"))
     kept = contents.join(one.select("file_id"), "file_id", "left_semi").select("file_id", F.col("hash").alias("content_hash"), "content")
     outputs: dict[str, DataFrame] = {}
@@ -123,17 +123,22 @@ def _process(store: Store, todo: DataFrame, session: str, at: datetime, stop_at_
     hashes = contents.select("file_id", F.col("hash").alias("content_hash")).filter("content_hash is not null")
     done = each.join(made.select("content_hash", "artifact_key", "row_count"), ["content_hash", "artifact_key"], "left")
     jobs = runs.jobs_of(done, session, F.when(F.col("why").isNull(), runs.COMPLETED).otherwise(runs.ERROR), start=start, end=F.lit(now()).cast("timestamp_ntz"), message=F.col("why"), rows=F.col("row_count"))
-    tables = {"metadata_file": catalog.with_hash(files, hashes), "metadata_artifact_manifest": replaced(conform(manifest, MANIFEST), conform(made, MANIFEST), ["content_hash", "artifact_key"])}
-    return tables, (generation, list(leaves)), written(jobs)
+    tables, parts = {"metadata_file": catalog.with_hash(files, hashes)}, {}
+    key = ["content_hash", "artifact_key"]
+    # the manifest is only written again if something in it is replaced
+    if manifest.join(made.select(*key), key, "left_semi").isEmpty():
+        parts["metadata_artifact_manifest"] = {generation: conform(made, MANIFEST)}
+    else:
+        tables["metadata_artifact_manifest"] = replaced(conform(manifest, MANIFEST), conform(made, MANIFEST), key)
+    return tables, parts, (generation, list(leaves)), written(jobs)
 
 
-def _finish(store: Store, tables: dict[str, DataFrame], leaves: tuple[str, list[str]], jobs: DataFrame, session: str, at: datetime, out: Outcome) -> Outcome:
+def _finish(store: Store, tables: dict[str, DataFrame], parts: dict[str, dict[str, DataFrame]], leaves: tuple[str, list[str]], jobs: DataFrame, session: str, at: datetime, out: Outcome) -> Outcome:
     generation, keys = leaves
     by = {r["session_id"]: r for r in runs.finished(jobs).collect()}.get(session)
     out.session_id, out.items, out.failed = session, by.jobs if by else 0, by.error if by else 0
     row = store.spark.createDataFrame([(session, *context().values(), runs.ERROR if out.failed or out.errors else runs.COMPLETED, at, now())], SESSION)
-    ended = {"processing_sessions": runs.replaced_session(store.read("processing_sessions"), row, session, "id"), "processing_jobs": runs.replaced_session(store.read("processing_jobs"), jobs, session)}
-    store.publish(tables | ended, keys, generation)
+    store.publish(tables, keys, generation, parts | {"processing_sessions": {session: row}, "processing_jobs": {session: jobs}})
     out.row_counts = {r.artifact_key: r.n for r in store.read("metadata_artifact_manifest").filter(F.col("generation") == generation).groupBy("artifact_key").agg(F.sum("row_count").alias("n")).collect()}
     return out
 
@@ -172,8 +177,7 @@ def refresh(store: Store, root: str, *, workers: int = zips.WORKERS, report: Rep
             report("closed stale runs")
         found = zips.discovered(spark, root, workers)
         known = store.read("metadata_archive")
-        changed = written(inventory.register(known, found, at))
-        store.publish({"metadata_archive": changed})
+        store.publish({"metadata_archive": inventory.register(known, found, at)})
         archives, files = store.read("metadata_archive"), store.read("metadata_file")
         report(f"registered the archives; {requiring_work(store).count()} require work")
         new = catalog.needs_catalog(archives)

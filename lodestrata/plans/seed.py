@@ -99,7 +99,7 @@ def _seed(source: Store, dest: Store, plan: bool) -> dict[str, int]:
 
 def check(store: Store) -> dict:
     """Missing columns, running jobs and row counts; ``ok`` if the store may take another's place."""
-    found = {t: store.spark.read.parquet(f"{store.root}/{at}").columns for t, at in store.pointer()["tables"].items()}
+    found = {t: store.spark.read.parquet(*store.folders(t)).columns for t in store.pointer()["tables"]}
     lacking = missing_columns(CONTROL, found)
     counts = {t: store.read(t).count() for t in CONTROL} if not lacking else {}
     open_ = F.col("status").isin(runs.PENDING, runs.RUNNING)

@@ -18,5 +18,5 @@ def summary(events: DataFrame, top: int = 20) -> DataFrame:
 
 def clip(events: DataFrame, seconds: float) -> DataFrame:
     """The events of the last ``seconds``, and those without a time."""
-    last = events.agg(F.max("ts").alias("_last"))
-    return events.crossJoin(last).filter(F.col("ts").isNull() | (F.col("ts") >= F.col("_last") - seconds * 1e6)).drop("_last")
+    last = events.agg(F.max("ts")).scalar()
+    return events.filter(F.col("ts").isNull() | (F.col("ts") >= last - seconds * 1e6))
