@@ -253,4 +253,4 @@ def test_preview(spark, tmp_path):
     f = tmp_path / "TMPTR_LOG"
     f.write_text(TMPTR)
     out = R.preview(spark, str(f))
-    assert out["tables"]["rsmdata_tmptr"]["rows"] == 1 and out["tables"]["rsmdata_tmptr"]["head"][0]["temp_f"] == 85
+    assert out["tables"]["rsmdata_tmptr"]["rows"] == 1 and out["tables"]["rsmdata_tmptr"]["head"][0]["temp_f"] == 88

@@ -5,6 +5,7 @@ import json
 
 import pytest
 from conftest import ENGINE, MCDATA, SEGMENTS, TMPTR, make_archive, whole_archive
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestrata import cli, specs
@@ -36,8 +37,8 @@ def values(spark, f, xs):
 def test_cleaning(spark):
     assert values(spark, clean.to_text, ["a ", "", "None", "nan", "  ", None]) == ["a", None, None, None, "", None]
     assert values(spark, lambda x: clean.to_text(x, True), ["", "None", None]) == ["<NA>", "<NA>", None]
-    assert values(spark, lambda x: clean.to_int(x, F.lit(1)), ["1", "2.0", "x", "", " 7 "]) == [1, 2, None, None, 7]
-    assert values(spark, lambda x: clean.to_int(x, F.lit(1)), ["1", "2.5"]) == [None, None]
+    assert values(spark, lambda x: clean.to_int(x, F.max(clean.broken_int(x)).over(Window.partitionBy(F.lit(1)))), ["1", "2.0", "x", "", " 7 "]) == [1, 2, None, None, 7]
+    assert values(spark, lambda x: clean.to_int(x, F.max(clean.broken_int(x)).over(Window.partitionBy(F.lit(1)))), ["1", "2.5"]) == [None, None]
     assert values(spark, clean.to_bool, ["T", "F", "TRUE", "1 ", "x", None, "0", ""]) == [True, False, True, None, None, None, False, None]
     at = datetime.datetime(2025, 1, 3, 1, 2, 3)
     assert values(spark, clean.to_time, ["1/3/2025 1:2:3", " 1/3/2025 1:2:3", "1/3/2025 24:2:3", "02/30/2025 1:2:3", "1/3/25 1:2:3", ""]) == [at, None, None, None, None, None]
@@ -58,14 +59,14 @@ def rows_of(spark, parse, text):
 
 def test_parsers(spark):
     out, failed = rows_of(spark, parsers.parse_mcdata, MCDATA)
-    assert not failed and out["mcdata.PfcDb"][0][1:] == (datetime.datetime(2023, 11, 7, 18, 35, 33), 35537, "CT ROUTER - NFS2 INTERFACE DOWN", "COMM", "CI")
+    assert not failed and out["mcdata.PfcDb"][0][1:] == (datetime.datetime(2024, 3, 9, 7, 15, 20), 41200, "PUMP B PRESSURE LOW", "FUEL", "NO")
     assert out["mcdata.LcsTemp"][0][1:] == (datetime.datetime(2024, 4, 6, 10, 20, 30), "71.2", "WARM", datetime.datetime(2024, 4, 6, 10, 20, 29))
     assert rows_of(spark, parsers.parse_mcdata, MCDATA + "1,PFC_DB:,few\n")[1]
     assert rows_of(spark, parsers.parse_segments, SEGMENTS)[0]["segments"][0][-1] == "PreFlight"
     assert rows_of(spark, parsers.parse_segments, "1,2\n")[1] and rows_of(spark, parsers.parse_segments, SEGMENTS.replace("02/20", "13/20", 1))[1]
     assert [r[0] for r in rows_of(spark, parsers.parse_engine, "A,L\n\n  \n" + ENGINE)[0]["engine_on_off"]] == [2]
     assert [r[0] for r in rows_of(spark, parsers.parse_tmptr, TMPTR + "too,short\n" + TMPTR.strip() + ",7,8\n")[0]["tmptr_log"]] == [1, 3]
-    assert [r[0] for r in rows_of(spark, parsers.parse_tmptr, '"AFMC",00250203,01:09:02.123,"T,x",029C,085F\n')[0]["tmptr_log"]] == [1]
+    assert [r[0] for r in rows_of(spark, parsers.parse_tmptr, '"BMFC",00240406,10:20:30.250,"T,x",031C,088F\n')[0]["tmptr_log"]] == [1]
 
 
 def test_zip_members(spark, tmp_path):
