@@ -24,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.kernel import FOLD, mix, ragged, row_slices, rows_of, runs, span_hashes, utf8_view
@@ -308,11 +308,15 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     The texts are read again and told by their id and a hash, so a fingerprint is made once. Null texts are kept;
     of repeated rows, and of all empty texts, one is; an empty table stays empty.
     """
-    h, i, f = unused(docs, "_hash"), unused(docs, "_id"), unused(docs, "_first")
+    i, n, h = unused(docs, "_id"), unused(docs, "_none"), unused(docs, "_hash")
     text = F.xxhash64(F.col("text").cast("string"))
     prints = cut(with_fingerprint(docs.select("doc_id", "text", text.alias("_hash"))).select("doc_id", "_hash", "_fp"))
-    first = grouped(prints, ["_hash"]).select("_first").distinct().select(F.col("_first.doc_id").alias(i), F.col("_first._hash").alias(f))
-    # repeated rows meet before they are sent, and what is left of them has the join's keys
-    marked = docs.filter(F.col("text").isNotNull()).withColumn(h, text).dropDuplicates(["doc_id", h])
-    kept = marked.join(first, marked["doc_id"].eqNullSafe(first[i]) & (marked[h] == first[f]), "left_semi").drop(h)
+
+    def keys(own: Column, of: Column) -> dict[str, Column]:
+        # none of them is null, so that documents sent by them once, to meet repeated rows, aren't sent again to be joined
+        return {i: F.coalesce(own, F.lit(0).cast(docs.schema["doc_id"].dataType)), n: own.isNull(), h: of}
+
+    first = grouped(prints, ["_hash"]).select(*[c.alias(k) for k, c in keys(F.col("_first.doc_id"), F.col("_first._hash")).items()]).distinct()
+    marked = docs.filter(F.col("text").isNotNull()).withColumns(keys(F.col("doc_id"), text)).dropDuplicates([i, n, h])
+    kept = marked.join(first, [i, n, h], "left_semi").drop(i, n, h)
     return kept.unionByName(docs.filter(F.col("text").isNull()))

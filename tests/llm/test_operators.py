@@ -540,6 +540,13 @@ def test_copies_are_caught(spark):
     assert got == {0: 0, 1: 1, 2: 2, 3: 0, 4: 0}
 
 
+def test_documents_are_sent_once(spark, docs):
+    plan = simhash.keep_one_of_each(docs)._jdf.queryExecution().executedPlan().toString()
+    # the documents, and the first of each group
+    assert plan.count("Exchange hashpartitioning(_id") == 2
+    assert "Exchange hashpartitioning(coalesce(doc_id" not in plan
+
+
 def test_near_copies_of_short_texts_by_all_words(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.choice([2, 3, 3, 4, 5, 7, 9])))
