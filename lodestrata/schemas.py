@@ -46,7 +46,7 @@ _MC = {
 LEAVES: dict[str, tuple[str, T.StructType]] = {f"mcdata.{k}": (table, _struct("content_hash/h; LineNumber/i; System TimeStamp/t; " + text, ("content_hash", "LineNumber"))) for k, (table, text) in _MC.items()} | {
     "segments": ("rsmdata_segments", _struct("content_hash/h; line_number/i; group/i; event_start/t; event_stop/t; flight_status/s", ("content_hash", "line_number"))),
     "tmptr_log": ("rsmdata_tmptr", _struct("content_hash/h; line_number/i; afmc/s; datetime/t; category/s; temp_f/i; temp_c/i", ("content_hash", "line_number"))),
-    "engine_on_off": ("rsmdata_engine_on_off", _struct("content_hash/h; line_number/i; engine_position/s; start_time/t; stop_time/t; run_time_seconds/i; segment_number/i; ifpm_version/s", ("content_hash", "line_number"))),
+    "engine_on_off": ("rsmdata_engine_on_off", _struct("content_hash/h; line_number/i; engine_position/s; start_time/t; stop_time/t; run_time_seconds/l; segment_number/i; ifpm_version/s", ("content_hash", "line_number"))),
 }
 
 
