@@ -33,12 +33,19 @@ def matches(path: str, pattern: str) -> bool:
 
 def first_match(path: Column, named: list[tuple[str, tuple[str, ...]]], otherwise: str) -> Column:
     """The name of the first entry one of whose globs matches, as one CASE that needs no join."""
-    p = normal_path(path)
-    out = None
-    for name, patterns in named:
-        test = p.rlike("|".join(glob_regex(x) for x in patterns))
-        out = F.when(test, name) if out is None else out.when(test, name)
-    return F.lit(otherwise) if out is None else out.otherwise(otherwise)
+    def one(p: Column) -> Column:
+        out = None
+        for name, patterns in named:
+            # most paths are told from a pattern by how it ends, without a regular expression
+            test = None
+            for x in patterns:
+                own = p.endswith(re.split(r"[*?]", x)[-1]) & p.rlike(glob_regex(x))
+                test = own if test is None else test | own
+            out = F.when(test, name) if out is None else out.when(test, name)
+        return F.lit(otherwise) if out is None else out.otherwise(otherwise)
+
+    # a bound variable, so that the path is made normal once
+    return F.get(F.transform(F.array(normal_path(path)), one), F.lit(0))
 
 
 def locator_key(path: Column) -> Column:
