@@ -4,35 +4,53 @@ A record is skipped where its parts can't be told, and its whole file fails wher
 or too many. ``Parsed`` holds the outputs without the rows of failed files, and the failed files.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestrata.functions import clean
 from lodestrata.schemas import LEAVES, conform
-from lodestrata.shared import written
+from lodestrata.shared import fenced, written
 from lodestrata.sources import lines as text
 
 
+class Outputs(Mapping):
+    """Outputs by artifact key, each planned when it is asked for: the driver takes seconds to plan all nine of one parser."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]) -> None:
+        self._makers = makers
+
+    def __getitem__(self, key: str) -> DataFrame:
+        return self._makers[key]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 @dataclass
 class Parsed:
-    outputs: dict[str, DataFrame]
+    outputs: Mapping[str, DataFrame]
     failed: DataFrame  # content_hash, message
 
 
 @dataclass
 class Record:
-    """How a record type is read: its fields as one array, whether it can be (with these in ``values``), and how many there must be.
+    """How a record type is read: its fields, whether it can be, and whether they are as many as there must be.
 
     Of a line there are ``raw`` (what stands between commas), ``t`` (the same, stripped), ``some`` (of raw what
-    isn't empty) and ``p1`` to ``p3`` (places, from 1, of the marks of a pressure record, 0 where there is none).
+    isn't empty), ``nav`` (the same of a navigation record) and ``p1`` to ``p3`` (places, from 1, of the marks of a
+    pressure record, 0 where there is none). A field is an expression of its own, so only those asked for are worked out.
     """
 
-    values: Callable[[], Column]
-    width: int
+    values: Callable[[], list[Column]]
+    wide: Callable[[], Column]
     readable: Callable[[], Column] = lambda: F.lit(True)
 
 
@@ -40,18 +58,13 @@ def _at(tokens: Column | str, k: int) -> Column:
     return F.get(tokens, F.lit(k))
 
 
-def _pick(tokens: str, places: list[int]) -> Column:
-    return F.array(*[_at(tokens, k) for k in places])
-
-
-def _none() -> Column:
-    return F.array().cast("array<string>")
+def _pick(tokens: str, places: list[int]) -> list[Column]:
+    return [_at(tokens, k) for k in places]
 
 
-def _nav() -> Column:
+def _nav() -> list[Column]:
     # the first two signs of a line don't count, so its tokens are those of what follows
-    flags = _at("nav", 15)
-    return F.when(F.length(flags) == 16, F.concat(F.slice("nav", 1, 15), F.array(*[F.substring(flags, k, 1) for k in range(1, 17)]), F.slice("nav", 17, 1 << 20)))
+    return [*_pick("nav", list(range(15))), *[F.substring(_at("nav", 15), k, 1) for k in range(1, 17)], *_pick("nav", [16, 17])]
 
 
 def _mark(name: str, before: Column) -> Column:
@@ -60,55 +73,62 @@ def _mark(name: str, before: Column) -> Column:
     return F.when((before > 0) & (found > 0), before + found).otherwise(0)
 
 
-def _rpcs_pres() -> Column:
-    def block(start: str, end: str | None) -> Column:
-        first = F.col(start)
-        own = F.slice("t", (first + 1).cast("int"), F.lit(10) if end is None else F.least(F.lit(10), F.col(end) - first - 1).cast("int"))
-        return F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: clean.pressure(F.get(own, k)))
+def _rpcs_pres() -> list[Column]:
+    def block(start: str, end: str | None) -> list[Column]:
+        """Up to ten fields behind a mark, none of them from the next one on."""
+        first = F.col(start).cast("int")
+        own = [F.get("t", first + k) for k in range(10)]
+        return [clean.pressure(x if end is None else F.when(first + k + 1 < F.col(end), x)) for k, x in enumerate(own)]
 
-    stamps = F.array(_at("t", 3), clean.carry_date(_at("t", 3), _at("t", 4)))
-    return F.when(F.col("p3") > 0, F.concat(stamps, block("p1", "p2"), block("p2", "p3"), block("p3", None))).otherwise(_none())
+    return [_at("t", 3), clean.carry_date(_at("t", 3), _at("t", 4)), *block("p1", "p2"), *block("p2", "p3"), *block("p3", None)]
 
 
-def _pfc() -> Column:
-    return F.when(F.size("t") < 9, _none()).when(_at("t", 3) == "", _pick("t", [6, 4, 5, 7, 8])).otherwise(_pick("t", [3, 4, 5, 6, 8]))
+def _pfc() -> list[Column]:
+    swapped = _at("t", 3) == ""
+    return [F.when(swapped, _at("t", a)).otherwise(_at("t", b)) for a, b in zip([6, 4, 5, 7, 8], [3, 4, 5, 6, 8])]
 
 
-def _rfc() -> Column:
+def _rfc() -> list[Column]:
     own = [_at("t", k) for k in (3, 4, 5, 6, 7, 8, *range(10, 19, 2), 19, 20, 21)]
     own[4] = F.concat(F.substring_index(own[0], " ", 1), F.lit(" "), own[4])
-    return F.when(F.size("t") < 22, _none()).otherwise(F.array(*own))
+    return own
 
 
-def _rpcs() -> Column:
-    values = F.transform(F.sequence(F.lit(4), F.lit(16), F.lit(2)), lambda k: clean.word_value(F.get("raw", k), clean.strip(F.get(F.split(F.get("raw", k + 1), " "), F.lit(2)))).cast("string"))
-    return F.concat(F.array(_at("raw", 3)), values)
+def _word(k: int) -> tuple[Column, Column]:
+    """The name and the bits of a word of the pressure system."""
+    return _at("raw", k), clean.strip(_at(F.split(_at("raw", k + 1), " "), 2))
 
 
-def _rotoscan() -> Column:
-    return F.slice(F.transform("some", clean.strip), 3, 1 << 20)
+def _rpcs() -> list[Column]:
+    return [_at("raw", 3), *[clean.word_value(*_word(k)).cast("string") for k in range(4, 17, 2)]]
 
 
-def _lcs() -> Column:
+def _words() -> Column:
+    out = F.lit(True)
+    for k in range(4, 17, 2):
+        out &= clean.known_word(*_word(k))
+    return out
+
+
+def _lcs() -> list[Column]:
     stamp = F.when(_at("t", 3).contains(" "), clean.carry_date(_at("t", 3), _at("t", 6))).otherwise(_at("t", 6))
-    return F.when(F.size("t") < 7, F.slice("t", 4, 4)).otherwise(F.array(_at("t", 3), _at("t", 4), _at("t", 5), stamp))
+    return [_at("t", 3), _at("t", 4), _at("t", 5), stamp]
 
 
-def _discretes() -> Column:
-    places = [3, *range(5, 7), *range(8, 14), *range(15, 19), *range(20, 24), *range(25, 33)]
-    return F.when(F.size("raw") >= 33, _pick("raw", places)).otherwise(_none())
+def _discretes() -> list[Column]:
+    return _pick("raw", [3, *range(5, 7), *range(8, 14), *range(15, 19), *range(20, 24), *range(25, 33)])
 
 
 RECORDS: dict[str, tuple[str, Record]] = {
-    "NAV_DATA:": ("NavData", Record(_nav, 33, lambda: F.col("values").isNotNull())),
-    "RPCS:": ("Rpcs", Record(_rpcs, 8, lambda: F.forall(F.slice("values", 2, 7), lambda x: x.isNotNull()))),
-    "RPCS_PRES:": ("RpcsPres", Record(_rpcs_pres, 32)),
-    "RDR_STATE:": ("RadarState", Record(lambda: _pick("some", list(range(2, 25, 2))), 12, lambda: F.size("some") == 25)),
-    "ROTOSCAN:": ("RotoScan", Record(_rotoscan, 5)),
-    "PFC_DB:": ("PfcDb", Record(_pfc, 5)),
-    "RFC_DB:": ("RfcDb", Record(_rfc, 14)),
-    "LCS_TEMP:": ("LcsTemp", Record(_lcs, 4)),
-    "MC_IN_DISCR:": ("McInDiscr", Record(_discretes, 25, lambda: F.size("raw") >= 4)),
+    "NAV_DATA:": ("NavData", Record(_nav, lambda: F.size("nav") == 18, lambda: F.length(_at("nav", 15)) == 16)),
+    "RPCS:": ("Rpcs", Record(_rpcs, lambda: F.lit(True), _words)),
+    "RPCS_PRES:": ("RpcsPres", Record(_rpcs_pres, lambda: F.col("p3") > 0)),
+    "RDR_STATE:": ("RadarState", Record(lambda: _pick("some", list(range(2, 25, 2))), lambda: F.lit(True), lambda: F.size("some") == 25)),
+    "ROTOSCAN:": ("RotoScan", Record(lambda: [clean.strip(x) for x in _pick("some", list(range(2, 7)))], lambda: F.size("some") == 7)),
+    "PFC_DB:": ("PfcDb", Record(_pfc, lambda: F.size("t") >= 9)),
+    "RFC_DB:": ("RfcDb", Record(_rfc, lambda: F.size("t") >= 22)),
+    "LCS_TEMP:": ("LcsTemp", Record(_lcs, lambda: F.size("t") >= 7)),
+    "MC_IN_DISCR:": ("McInDiscr", Record(_discretes, lambda: F.size("raw") >= 33, lambda: F.size("raw") >= 4)),
 }
 
 
@@ -117,26 +137,40 @@ def kind(line: Column) -> Column:
     return _at(F.split(line, ",", 3), 1)
 
 
-def _by_kind(of: Callable[[Record], Column]) -> Column:
+def _by_kind(of: Callable[[str, Record], Column]) -> Column:
     out = None
     for name, (_, r) in RECORDS.items():
-        out = F.when(F.col("kind") == name, of(r)) if out is None else out.when(F.col("kind") == name, of(r))
+        out = F.when(F.col("kind") == name, of(name, r)) if out is None else out.when(F.col("kind") == name, of(name, r))
     return out
 
 
-def records(lines: DataFrame) -> DataFrame:
-    """The lines of known types: content_hash, pos, kind, skip, wide (whether it has the right width) and values.
+def _cut(lines: DataFrame, kinds: list[str]) -> DataFrame:
+    """The lines of some kinds with their parts, of which a kind has those that it is read by.
 
     Each step is a projection of its own, so what several fields need is worked out once.
     """
-    own = lines.withColumn("kind", kind(F.col("line"))).filter(F.col("kind").isin(list(RECORDS)))
-    cut = lambda x: F.filter(x, lambda y: (y != "") & (y != "\n"))
-    own = own.withColumn("raw", F.split("line", ","))
-    own = own.withColumns({"t": F.transform("raw", clean.strip), "some": cut(F.col("raw")), "nav": F.when(F.col("kind") == "NAV_DATA:", cut(F.slice(F.split(F.substring("line", 3, 1 << 30), ","), 3, 1 << 20)))})
-    own = own.withColumn("p1", F.when((F.col("kind") == "RPCS_PRES:") & (F.size("t") >= 5), _mark("PRI_HI", F.lit(5))).otherwise(0))
-    own = own.withColumn("p2", _mark("SEC_HI", F.col("p1"))).withColumn("p3", _mark("MAN_PRE", F.col("p2")))
-    own = own.withColumn("values", _by_kind(lambda r: r.values()))
-    return own.select("content_hash", "pos", "kind", (~_by_kind(lambda r: r.readable())).alias("skip"), F.coalesce(F.size("values") == _by_kind(lambda r: F.lit(r.width)), F.lit(False)).alias("wide"), "values")
+    is_ = lambda *names: F.col("kind").isin(*names)
+    some = lambda x: F.array_remove(F.array_remove(x, ""), "\n")
+    own = lines.withColumn("kind", kind(F.col("line"))).filter(F.col("kind").isin(kinds)).withColumn("raw", F.split("line", ","))
+    # where no blank is beside a comma, only the line's ends need be stripped
+    whole = clean.strip(F.col("line"))
+    t = F.when(whole.rlike(f"[{clean.BLANKS}],|,[{clean.BLANKS}]"), F.transform("raw", clean.strip)).otherwise(F.split(whole, ","))
+    own = own.withColumns({"t": F.when(is_("RPCS_PRES:", "PFC_DB:", "RFC_DB:", "LCS_TEMP:"), t), "some": F.when(is_("RDR_STATE:", "ROTOSCAN:"), some(F.col("raw"))), "nav": F.when(is_("NAV_DATA:"), some(F.slice(F.split(F.substring("line", 3, 1 << 30), ","), 3, 1 << 20)))})
+    if "RPCS_PRES:" not in kinds:
+        return own
+    own = own.withColumn("p1", F.when(is_("RPCS_PRES:") & (F.size("t") >= 5), _mark("PRI_HI", F.lit(5))).otherwise(0))
+    return own.withColumn("p2", _mark("SEC_HI", F.col("p1"))).withColumn("p3", _mark("MAN_PRE", F.col("p2")))
+
+
+def records(lines: DataFrame) -> DataFrame:
+    """The lines of known types: content_hash, pos, kind, skip, wide (whether it has the right width) and broken.
+
+    ``broken`` has a bit for each whole number that makes null of its file's column.
+    """
+    skip = ~F.coalesce(_by_kind(lambda _, r: r.readable()), F.lit(False))
+    broken = _by_kind(lambda name, r: _bits(r.values(), name))
+    own = _cut(lines, list(RECORDS)).withColumns({"skip": skip, "wide": F.coalesce(_by_kind(lambda _, r: r.wide()), F.lit(False))})
+    return own.select("content_hash", "pos", "kind", "skip", "wide", F.when(F.col("skip") | ~F.col("wide"), F.lit(0).cast("bigint")).otherwise(broken).alias("broken"))
 
 
 def _numbers(artifact: str) -> list[int]:
@@ -144,46 +178,49 @@ def _numbers(artifact: str) -> list[int]:
     return [k for k, f in enumerate(LEAVES[artifact][1].fields[2:]) if isinstance(f.dataType, (T.IntegerType, T.LongType))]
 
 
-def _broken() -> Column:
-    """Of a record, the places whose value makes null of its file's column, a bit for each."""
+#: Of each whole number of a record type, its bit in ``broken``.
+BITS = {p: bit for bit, p in enumerate((name, k) for name, (output, _) in RECORDS.items() for k in _numbers(f"mcdata.{output}"))}
+
+
+def _bits(values: list[Column], name: str) -> Column:
     out = F.lit(0).cast("bigint")
-    for name, (output, _) in RECORDS.items():
-        bits = [F.when(clean.broken_int(F.get("values", F.lit(k))), F.lit(1 << k)).otherwise(F.lit(0)).cast("bigint") for k in _numbers(f"mcdata.{output}")]
-        if bits:
-            own = bits[0]
-            for more in bits[1:]:
-                own = own + more
-            out = F.when(F.col("kind") == name, own).otherwise(out)
+    for (kind_, k), bit in BITS.items():
+        if kind_ == name:
+            out = out.bitwiseOR(F.when(clean.broken_int(values[k]), F.lit(1 << bit)).otherwise(F.lit(0)).cast("bigint"))
     return out
 
 
-def whole_files(own: DataFrame) -> DataFrame:
-    """Records with what their file decides: ``bad`` (it holds one that can't be), and ``broken``, the places of their
-    kind's broken columns. Records must be partitioned by content_hash; then they aren't sent again."""
-    file, column = Window.partitionBy("content_hash"), Window.partitionBy("content_hash", "kind")
-    bad = F.max(F.coalesce(~F.col("skip") & ~F.col("wide"), F.lit(False))).over(file)
-    own = own.withColumn("broken", F.when(~F.col("skip"), _broken()).otherwise(F.lit(0).cast("bigint")))
-    return own.withColumns({"bad": bad, "broken": F.bit_or("broken").over(column)})
+def decided(own: DataFrame) -> DataFrame:
+    """Files of which something is to be told: ``bad`` (one holds a record that can't be), and the ``broken`` numbers of its records."""
+    # filtered when aggregated: a predicate on lines would be moved to where their parts are made, and make them again
+    flags = own.groupBy("content_hash").agg(F.bool_or(~F.col("skip") & ~F.col("wide")).alias("bad"), F.bit_or("broken").alias("broken"))
+    return flags.filter("bad or broken <> 0")
 
 
-def record_output(own: DataFrame, artifact: str) -> DataFrame:
-    """Typed rows of one output from its records' values."""
-    schema = LEAVES[artifact][1]
-    broken = lambda k: F.col("broken").bitwiseAND(F.lit(1 << k).cast("bigint")) != 0
-    columns = [clean.typed(F.get("values", F.lit(k)), f.dataType, broken(k)).alias(f.name) for k, f in enumerate(schema.fields[2:])]
-    return conform(own.select("content_hash", F.col("pos").alias(schema.fields[1].name), *columns), schema)
+def record_output(files: DataFrame, told: DataFrame, name: str) -> DataFrame:
+    """Typed rows of one output from its records in the files that aren't bad."""
+    output, record = RECORDS[name]
+    schema = LEAVES[f"mcdata.{output}"][1]
+    own = files.join(told, "content_hash", "left").filter("not coalesce(bad, false)").select("content_hash", "content", F.coalesce("broken", F.lit(0).cast("bigint")).alias("broken"))
+    own = own.select("content_hash", "broken", text.text_of(F.col("content")).alias("text"))
+    rows = own.select("content_hash", "broken", F.posexplode(text.split_lines(F.col("text"))).alias("pos", "line"))
+    good = fenced(_cut(rows, [name]), "pos").filter(record.readable())
+    broken = lambda k: F.col("broken").bitwiseAND(F.lit(1 << BITS[name, k]).cast("bigint")) != 0 if (name, k) in BITS else F.lit(False)
+    columns = [clean.typed(x, f.dataType, broken(k)).alias(f.name) for k, (x, f) in enumerate(zip(record.values(), schema.fields[2:], strict=True))]
+    return conform(good.select("content_hash", F.col("pos").alias(schema.fields[1].name), *columns), schema)
 
 
 def parse_mcdata(files: DataFrame) -> Parsed:
     """Nine outputs of mission computer data; line numbers begin at 0.
 
-    Files are dealt out before their lines are, so a file's lines are at one place, and what they decide together
-    needs no further exchange. They are parsed once and written, as nine outputs read them by a map each.
+    The files are written, as ten passes read them. The first finds what a file decides for all of its records, which
+    is a row for each file of which there is something to tell; then each output reads the lines of its own kind.
+    No record is sent or sorted.
     """
-    own = written(whole_files(records(text.lines(files.repartition("content_hash"), "ignore", ends=True))).select("content_hash", "pos", "kind", "skip", "bad", "broken", F.when(~F.col("bad") & ~F.col("skip"), F.col("values")).alias("values")))
-    good = own.filter("not bad and not skip")
-    outputs = {f"mcdata.{name}": record_output(good.filter(F.col("kind") == k), f"mcdata.{name}") for k, (name, _) in RECORDS.items()}
-    return Parsed(outputs, own.filter("bad").select("content_hash", F.lit("a record has too few or too many fields").alias("message")).distinct())
+    own = written(files)
+    told = written(decided(records(text.lines(own, "ignore", ends=True))))
+    outputs = {f"mcdata.{output}": partial(record_output, own, told, name) for name, (output, _) in RECORDS.items()}
+    return Parsed(Outputs(outputs), told.filter("bad").select("content_hash", F.lit("a record has too few or too many fields").alias("message")))
 
 
 def parse_segments(files: DataFrame) -> Parsed:
@@ -192,7 +229,7 @@ def parse_segments(files: DataFrame) -> Parsed:
     What fails a file is looked for in the array of its lines, before they become rows.
     """
     invalid = files.filter(~F.is_valid_utf8(F.col("content").cast("string"))).select("content_hash", F.lit("not UTF-8").alias("message"))
-    own = files.select("content_hash", F.transform(text.split_lines(text.text_of(F.col("content"), "strict")), lambda x: F.split(F.regexp_replace(x, "\n$", ""), ",", 14)).alias("lines"))
+    own = files.select("content_hash", text.text_of(F.col("content"), "strict").alias("text")).select("content_hash", F.transform(text.bare_lines(F.col("text")), lambda x: F.split(x, ",", 14)).alias("lines"))
     part = lambda t, k: F.when(F.size(t) > k + 1, _at(t, k))
     wrong = lambda x: (F.coalesce(x, F.lit("")) != "") & clean.to_fine_time(x).isNull()
     own = own.filter(F.size("lines") > 0).withColumns({"short": ~F.exists("lines", lambda t: F.size(t) >= 14), "bad": F.exists("lines", lambda t: wrong(part(t, 3)) | wrong(part(t, 4)))})
@@ -205,6 +242,7 @@ def parse_segments(files: DataFrame) -> Parsed:
 
 def parse_engine(files: DataFrame) -> Parsed:
     """Engine times; blank lines aren't numbered, numbers begin at 1."""
+    files = written(files)  # read twice
     fields = F.transform(F.slice("fields", 1, 6), lambda x: F.when(~x.isin(clean.NO_VALUE), x))
     own = text.delimited(files, "strict", skip_blank=True).withColumn("f", fields)
     f = F.col("f")
@@ -216,6 +254,7 @@ def parse_engine(files: DataFrame) -> Parsed:
 def parse_tmptr(files: DataFrame) -> Parsed:
     """Temperatures; records of fewer than six fields and those without a time are left out, numbers begin at 1."""
     f = F.col("fields")
+    files = written(files)  # read twice
     own = text.delimited(files, "replace").filter(F.size("fields") >= 6).withColumn("at", clean.log_time(_at(f, 1), _at(f, 2))).filter("at is not null")
     rows = own.select("content_hash", (F.col("pos") + 1).alias("line_number"), _at(f, 0).alias("afmc"), F.col("at").alias("datetime"), _at(f, 3).alias("category"), clean.temperature("F", _at(f, 4), _at(f, 5)).alias("temp_f"), clean.temperature("C", _at(f, 4), _at(f, 5)).alias("temp_c"))
     none = files.select("content_hash", F.lit("").alias("message")).limit(0)

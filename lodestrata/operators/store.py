@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestrata.schemas import CONTROL, LEAVES, conform
+from lodestrata.shared import compiled
 
 
 #: Hours after which a lock, a session or a job that runs is taken for dead.
@@ -33,7 +34,7 @@ class Locked(RuntimeError):
 
 class Store:
     def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
+        self.spark, self.root = compiled(spark), root.rstrip("/")
         self._jvm = spark.sparkContext._jvm
         self._path = lambda p: self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{p}" if p else self.root)
         self._fs = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

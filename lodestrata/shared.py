@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OPEN: list[list[str]] = []
 
@@ -32,6 +33,27 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
+def compiled(spark: SparkSession) -> SparkSession:
+    """``spark``, told to cut generated code into methods of at most 8000 bytes: the JVM never compiles a longer one,
+    and interprets the steps that parse whole records in it some ten times slower."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
+
+
+def fenced(df: DataFrame, column: str) -> DataFrame:
+    """``df`` as it is, but no predicate above is moved below, where it would work out again what the columns are made of.
+
+    ``column`` must be wanted above, as what isn't is dropped.
+    """
+    return df.withColumn(column, F.when(F.monotonically_increasing_id() >= 0, F.col(column)))
+
+
+def spread(df: DataFrame, *keys: str, of: DataFrame | None = None, each: int = 4 << 20) -> DataFrame:
+    """``df`` by keys in as many parts as its size (or that of the tables ``of``) asks for, so that no task grows with it."""
+    size = int(str((df if of is None else of)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(min(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // each)), 1 << 15), *keys)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """What is ``written`` within is deleted in the end, so nothing may be read from it any more."""

@@ -2,8 +2,11 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_catalogue import DIR, TABLES, plain
 
+from lodestrata import specs
+from lodestrata.operators import parsers
 from lodestrata.plans import catalogue
 
 ITEMS = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
@@ -39,3 +42,31 @@ def test_run_times_beyond_32_bits(spark, tmp_path):
 @pytest.mark.parametrize("text", ["", "a\n", "a\r\nb\rc\n\n", " \n　 \n\t\nx"])
 def test_line_numbers_of_odd_texts(spark, tmp_path, text):
     same(spark, tmp_path, "line_numbers", documents=spark.createDataFrame([(1, text), (2, "plain"), (3, None)], "doc_id long, text string"))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_records_are_neither_sorted_nor_sent(spark):
+    files = spark.createDataFrame([(b"a", b"1,LCS_TEMP:,,04/06/2024 10:20:30,1.5, W ,10:20:29,,\n1,LCS_TEMP,,\n")], "content_hash binary, content binary")
+    own = parsers.parse_mcdata(files).outputs["mcdata.LcsTemp"]
+    assert "Window" not in plan_of(own) and "Repartition" not in plan_of(own)
+    # an output reads the files, not what was parsed of all kinds, and other kinds aren't even cut
+    assert "content#" in plan_of(own)
+    assert "PRI_HI" not in plan_of(own)
+    assert [(r[1], r[3], r[4]) for r in own.collect()] == [(0, "1.5", "W")]
+
+
+def test_broken_numbers_and_bad_files(spark):
+    discrete = "1,MC_IN_DISCR:,,04/06/2024 10:20:30,a,1,F,c,{},2,3,4,5,6,s,T,F,T,F,u,T,F,T,F,v,T,F,T,F,T,F,T,t,,\n"
+    files = [(b"a", discrete.format("7") + discrete.format("7.5")), (b"b", discrete.format(" 8 ") + discrete.format("+9.0")), (b"c", discrete.format("1") + "1,MC_IN_DISCR:,,x\n")]
+    own = parsers.parse_mcdata(spark.createDataFrame([(k, v.encode()) for k, v in files], "content_hash binary, content binary"))
+    rows = own.outputs["mcdata.McInDiscr"].orderBy("content_hash", "LineNumber").collect()
+    assert [(bytes(r[0]), r["External Temperature Sensor"], r["Dew Point"]) for r in rows] == [(b"a", None, 6), (b"a", None, 6), (b"b", 8, 6), (b"b", 9, 6)]
+    assert [bytes(r.content_hash) for r in own.failed.collect()] == [b"c"]
+
+
+def test_paths_are_made_normal_once(spark):
+    own = spark.createDataFrame([("a//1_MCData",)], "p string").select(specs.file_type(F.col("p")).alias("t"))
+    assert plan_of(own).count("regexp_replace") <= 4 and own.first().t == "MCDATA"
