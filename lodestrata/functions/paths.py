@@ -66,7 +66,7 @@ def archive_datetime(path: Column) -> Column:
 
 
 def base_name(path: Column) -> Column:
-    return F.substring_index(F.regexp_replace(path, r"\\", "/"), "/", -1)
+    return F.substring_index(F.replace(path, F.lit("\\"), F.lit("/")), "/", -1)
 
 
 def schema_class(name: Column, protected: tuple[str, ...], disposable: tuple[str, ...]) -> Column:

@@ -1,11 +1,12 @@
 """The inventory of archives: one row for each locator, merged with each complete scan."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions import paths
 from lodestrata.operators.numbering import numbered
 from lodestrata.schemas import ARCHIVE, conform
+from lodestrata.shared import fenced, written
 
 
 class InventoryError(ValueError):
@@ -16,13 +17,19 @@ def named(found: DataFrame) -> DataFrame:
     """Found archives with the parts of their names; those without are dropped."""
     p = F.col("locator_path")
     own = found.withColumns({"archive_key": paths.archive_key(p), "buno": paths.buno(p), "archive_datetime": paths.archive_datetime(p), "locator_key": paths.locator_key(p)})
-    return own.filter("archive_key is not null and archive_datetime is not null")
+    # the fence keeps the predicate from being moved below, which would take the names apart again
+    return fenced(own, "archive_key").filter("archive_key is not null and archive_datetime is not null")
 
 
-def one_per_locator(scan: DataFrame) -> DataFrame:
-    """A row for each locator, whatever the order in which duplicates came: the least values, and the latest time."""
+def one_of_each(scan: DataFrame) -> list[Column]:
+    """Of the rows of a locator, whatever the order in which they came: the least values, and the latest time."""
     least = [c for c in ("archive_key", "buno", "archive_datetime", "locator_path", "locator_size_bytes") if c in scan.columns]
-    return scan.groupBy("locator_key").agg(*[F.min(c).alias(c) for c in least], F.max("locator_mtime_ns").alias("locator_mtime_ns"))
+    return [*[F.min(c).alias(c) for c in least], F.max("locator_mtime_ns").alias("locator_mtime_ns")]
+
+
+def one_per_locator(scan: DataFrame) -> DataFrame:
+    """A row for each locator."""
+    return scan.groupBy("locator_key").agg(*one_of_each(scan))
 
 
 def conflicts(scan: DataFrame, key: str = "locator_key", size: str = "locator_size_bytes") -> DataFrame:
@@ -42,13 +49,9 @@ def register(known: DataFrame, found: DataFrame, now) -> DataFrame:
     another size than the inventory. New rows get ids after the greatest, by locator. A changed path or time is
     taken over; what isn't found becomes absent and keeps its row.
     """
-    scan = named(found)
-    if scan.isEmpty() and not known.filter("is_present").isEmpty():
-        raise InventoryError("the scan found no archive although some are present")
-    for what, bad in (("several sizes in one scan", conflicts(scan)), ("another size than before", resized(known, one_per_locator(scan)))):
-        if row := bad.orderBy("locator_key").first():
-            raise InventoryError(f"{row.locator_key}: {what}")
-    scan = one_per_locator(scan)
+    # read once, with what contradicts beside it: names, scan and join are the work
+    sized = named(found)
+    scan = sized.groupBy("locator_key").agg(*one_of_each(sized), (F.count_distinct("locator_size_bytes") > 1).alias("_several"))
     a, b = known.alias("a"), scan.alias("b")
     both = a.join(b, F.col("a.locator_key") == F.col("b.locator_key"), "full")
     here, old = F.col("b.locator_key").isNotNull(), F.col("a.locator_key").isNotNull()
@@ -64,7 +67,18 @@ def register(known: DataFrame, found: DataFrame, now) -> DataFrame:
         *[F.col(f"a.{c}").alias(c) for c in ("cataloged_at", "catalog_signature")],
         F.coalesce("a.catalog_version", F.lit(0)).alias("catalog_version"),
         old.alias("_old"),
+        F.coalesce(F.col("a.is_present"), F.lit(False)).alias("_was"),
+        F.coalesce("b._several", F.lit(False)).alias("_several"),
+        F.coalesce(F.col("a.locator_size_bytes") != F.col("b.locator_size_bytes"), F.lit(False)).alias("_resized"),
     )
-    most = known.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first().m
-    fresh = numbered(rows.filter("not _old").select("locator_key"), ["locator_key"], "_new", most)
-    return conform(rows.join(fresh, "locator_key", "left").withColumn("id", F.coalesce("id", "_new")), ARCHIVE)
+    rows = written(rows)
+    key = lambda test: F.min(F.when(test, F.col("locator_key")))
+    told = rows.agg(F.coalesce(F.max("id"), F.lit(0)).alias("most"), F.coalesce(F.bool_or("is_present"), F.lit(False)).alias("found"), F.coalesce(F.bool_or("_was"), F.lit(False)).alias("was"), key(F.col("_several")).alias("several"), key(F.col("_resized")).alias("resized")).first()
+    if told.was and not told.found:
+        raise InventoryError("the scan found no archive although some are present")
+    for what, at in (("several sizes in one scan", told.several), ("another size than before", told.resized)):
+        if at is not None:
+            raise InventoryError(f"{at}: {what}")
+    # new rows are numbered and put beside the others, so nothing is sent for their numbers but themselves
+    fresh = numbered(rows.filter("not _old").drop("id"), ["locator_key"], "id", told.most)
+    return conform(rows.filter("_old").unionByName(fresh), ARCHIVE)

@@ -70,3 +70,8 @@ def test_broken_numbers_and_bad_files(spark):
 def test_paths_are_made_normal_once(spark):
     own = spark.createDataFrame([("a//1_MCData",)], "p string").select(specs.file_type(F.col("p")).alias("t"))
     assert plan_of(own).count("regexp_replace") <= 4 and own.first().t == "MCDATA"
+
+
+def test_a_scan_is_named_once(spark):
+    own = catalogue.QUERIES["mark_absent"](spark, DIR)
+    assert "regexp_extract" not in plan_of(own) and "Join" not in plan_of(own)
