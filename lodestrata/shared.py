@@ -35,8 +35,10 @@ def written(df: DataFrame) -> DataFrame:
 
 def compiled(spark: SparkSession) -> SparkSession:
     """``spark``, told to cut generated code into methods of at most 8000 bytes: the JVM never compiles a longer one,
-    and interprets the steps that parse whole records in it some ten times slower."""
+    and interprets the steps that parse whole records in it some ten times slower. Tables that are dealt out by one of
+    several keys aren't sent again to be joined by all."""
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     return spark
 
 

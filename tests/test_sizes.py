@@ -72,6 +72,10 @@ def test_paths_are_made_normal_once(spark):
     assert plan_of(own).count("regexp_replace") <= 4 and own.first().t == "MCDATA"
 
 
+def test_hashes_are_dealt_out_by_the_size_of_the_table(spark):
+    assert "RepartitionByExpression [content_hash" in plan_of(catalogue.QUERIES["replace_by_hash"](spark, DIR))
+
+
 def test_a_scan_is_named_once(spark):
     own = catalogue.QUERIES["mark_absent"](spark, DIR)
     assert "regexp_extract" not in plan_of(own) and "Join" not in plan_of(own)
