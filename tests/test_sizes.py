@@ -72,10 +72,20 @@ def test_paths_are_made_normal_once(spark):
     assert plan_of(own).count("regexp_replace") <= 4 and own.first().t == "MCDATA"
 
 
+def sent_by(df):
+    """What rows are dealt out by, in the plan that is run."""
+    return [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in x]
+
+
 def test_hashes_are_dealt_out_by_the_size_of_the_table(spark):
     assert "RepartitionByExpression [content_hash" in plan_of(catalogue.QUERIES["replace_by_hash"](spark, DIR))
 
 
+def test_leaf_rows_are_sent_by_hash_alone(spark):
+    own = catalogue.QUERIES["seed_leaf"](spark, DIR)
+    assert sent_by(own) and not [x for x in sent_by(own) if "line#" in x.split("hashpartitioning", 1)[1].split(")")[0]]
+
+
 def test_a_scan_is_named_once(spark):
     own = catalogue.QUERIES["mark_absent"](spark, DIR)
     assert "regexp_extract" not in plan_of(own) and "Join" not in plan_of(own)
