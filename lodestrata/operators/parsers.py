@@ -6,7 +6,7 @@ or too many. ``Parsed`` holds the outputs without the rows of failed files, and
 
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,31 +134,45 @@ RECORDS: dict[str, tuple[str, Record]] = {
 
 def kind(line: Column) -> Column:
     """The record type of a line: what stands between its first two commas, with the colon."""
-    return _at(F.split(line, ",", 3), 1)
+    return F.when(line.contains(","), F.substring_index(F.substring_index(line, ",", 2), ",", -1))
 
 
-def _by_kind(of: Callable[[str, Record], Column]) -> Column:
+def _by_kind(of: Callable[[str, Record], Column], kinds: list[str] | None = None) -> Column:
     out = None
-    for name, (_, r) in RECORDS.items():
-        out = F.when(F.col("kind") == name, of(name, r)) if out is None else out.when(F.col("kind") == name, of(name, r))
+    for name in kinds or list(RECORDS):
+        made = of(name, RECORDS[name][1])
+        out = F.when(F.col("kind") == name, made) if out is None else out.when(F.col("kind") == name, made)
     return out
 
 
+def _any(tests: Iterator[Column]) -> Column:
+    return reduce(Column.__or__, tests)
+
+
 def _cut(lines: DataFrame, kinds: list[str]) -> DataFrame:
     """The lines of some kinds with their parts, of which a kind has those that it is read by.
 
     Each step is a projection of its own, so what several fields need is worked out once.
     """
-    is_ = lambda *names: F.col("kind").isin(*names)
+
+    def only(parts: Column, *names: str) -> Column:
+        own = [k for k in kinds if k in names]
+        return parts if own == kinds else F.when(F.col("kind").isin(own), parts) if own else F.lit(None).cast("array<string>")
+
     some = lambda x: F.array_remove(F.array_remove(x, ""), "\n")
-    own = lines.withColumn("kind", kind(F.col("line"))).filter(F.col("kind").isin(kinds)).withColumn("raw", F.split("line", ","))
-    # where no blank is beside a comma, only the line's ends need be stripped
-    whole = clean.strip(F.col("line"))
-    t = F.when(whole.rlike(f"[{clean.BLANKS}],|,[{clean.BLANKS}]"), F.transform("raw", clean.strip)).otherwise(F.split(whole, ","))
-    own = own.withColumns({"t": F.when(is_("RPCS_PRES:", "PFC_DB:", "RFC_DB:", "LCS_TEMP:"), t), "some": F.when(is_("RDR_STATE:", "ROTOSCAN:"), some(F.col("raw"))), "nav": F.when(is_("NAV_DATA:"), some(F.slice(F.split(F.substring("line", 3, 1 << 30), ","), 3, 1 << 20)))})
+    line, whole, signs = F.col("line"), F.col("whole"), list(clean.BLANKS)
+    own = lines.withColumn("kind", kind(line)).filter(F.col("kind").isin(kinds))
+    # blanks at the ends, or beside a comma, are looked for by signs: to strip or to match is many times slower
+    ends = _any(line.startswith(x) | line.endswith(x) for x in signs)
+    own = own.withColumn("whole", F.when(ends, clean.strip(line)).otherwise(line))
+    beside = _any(whole.contains(f"{x},") | whole.contains(f",{x}") for x in " \t") | _any(whole.contains(x) for x in signs[2:])
+    t = F.when(beside, F.transform(F.split("whole", ","), clean.strip)).otherwise(F.split("whole", ","))
+    raw, few = only(F.split("line", ","), "RPCS:", "MC_IN_DISCR:"), only(some(F.split("line", ",")), "RDR_STATE:", "ROTOSCAN:")
+    nav = only(some(F.slice(F.split(F.substring("line", 3, 1 << 30), ","), 3, 1 << 20)), "NAV_DATA:")
+    own = own.withColumns({"raw": raw, "t": only(t, "RPCS_PRES:", "PFC_DB:", "RFC_DB:", "LCS_TEMP:"), "some": few, "nav": nav})
     if "RPCS_PRES:" not in kinds:
         return own
-    own = own.withColumn("p1", F.when(is_("RPCS_PRES:") & (F.size("t") >= 5), _mark("PRI_HI", F.lit(5))).otherwise(0))
+    own = own.withColumn("p1", F.when((F.col("kind") == "RPCS_PRES:") & (F.size("t") >= 5), _mark("PRI_HI", F.lit(5))).otherwise(0))
     return own.withColumn("p2", _mark("SEC_HI", F.col("p1"))).withColumn("p3", _mark("MAN_PRE", F.col("p2")))
 
 
@@ -168,9 +182,9 @@ def records(lines: DataFrame) -> DataFrame:
     ``broken`` has a bit for each whole number that makes null of its file's column.
     """
     skip = ~F.coalesce(_by_kind(lambda _, r: r.readable()), F.lit(False))
-    broken = _by_kind(lambda name, r: _bits(r.values(), name))
+    broken = _by_kind(lambda name, r: _bits(r.values(), name), [name for name in RECORDS if any(k == name for k, _ in BITS)])
     own = _cut(lines, list(RECORDS)).withColumns({"skip": skip, "wide": F.coalesce(_by_kind(lambda _, r: r.wide()), F.lit(False))})
-    return own.select("content_hash", "pos", "kind", "skip", "wide", F.when(F.col("skip") | ~F.col("wide"), F.lit(0).cast("bigint")).otherwise(broken).alias("broken"))
+    return own.select("content_hash", "pos", "kind", "skip", "wide", F.coalesce(F.when(~F.col("skip") & F.col("wide"), broken), F.lit(0).cast("bigint")).alias("broken"))
 
 
 def _numbers(artifact: str) -> list[int]:
@@ -183,27 +197,42 @@ BITS = {p: bit for bit, p in enumerate((name, k) for name, (output, _) in RECORD
 
 
 def _bits(values: list[Column], name: str) -> Column:
+    own = [(values[k], bit) for (kind_, k), bit in BITS.items() if kind_ == name]
     out = F.lit(0).cast("bigint")
-    for (kind_, k), bit in BITS.items():
-        if kind_ == name:
-            out = out.bitwiseOR(F.when(clean.broken_int(values[k]), F.lit(1 << bit)).otherwise(F.lit(0)).cast("bigint"))
-    return out
+    for x, bit in own:
+        out = out.bitwiseOR(F.when(clean.broken_int(x), F.lit(1 << bit)).otherwise(F.lit(0)).cast("bigint"))
+    # most records have plain digits alone, which are told by one look
+    return F.when(F.concat_ws(",", *[x for x, _ in own]).rlike(r"^(?:[+-]?[0-9]{1,15}(?:,|\z))+\z"), F.lit(0).cast("bigint")).otherwise(out)
 
 
 def decided(own: DataFrame) -> DataFrame:
-    """Files of which something is to be told: ``bad`` (one holds a record that can't be), and the ``broken`` numbers of its records."""
-    # filtered when aggregated: a predicate on lines would be moved to where their parts are made, and make them again
-    flags = own.groupBy("content_hash").agg(F.bool_or(~F.col("skip") & ~F.col("wide")).alias("bad"), F.bit_or("broken").alias("broken"))
-    return flags.filter("bad or broken <> 0")
+    """Files of which something is to be told: ``bad`` (one holds a record that can't be), and the ``broken`` numbers of its records.
+
+    Only records that tell something are sent. The fence keeps the predicate from being moved to where the parts
+    of lines are made, which would make them again.
+    """
+    own = own.select("content_hash", (~F.col("skip") & ~F.col("wide")).alias("bad"), "broken")
+    return fenced(own, "content_hash").filter("bad or broken <> 0").groupBy("content_hash").agg(F.bool_or("bad").alias("bad"), F.bit_or("broken").alias("broken"))
+
+
+#: Told files up to which every task gets them all.
+FEW = 100_000
+
+
+def _told(files: DataFrame, told: DataFrame) -> DataFrame:
+    """The files that aren't bad, with their ``broken`` numbers. Contents are never sorted, and sent only if very much is told."""
+    n = told.count()
+    if not n:
+        return files.withColumn("broken", F.lit(0).cast("bigint"))
+    both = files.join(told.hint("broadcast" if n <= FEW else "shuffle_hash"), "content_hash", "left")
+    return both.filter("not coalesce(bad, false)").select("content_hash", "content", F.coalesce("broken", F.lit(0).cast("bigint")).alias("broken"))
 
 
 def record_output(files: DataFrame, told: DataFrame, name: str) -> DataFrame:
     """Typed rows of one output from its records in the files that aren't bad."""
     output, record = RECORDS[name]
     schema = LEAVES[f"mcdata.{output}"][1]
-    own = files.join(told, "content_hash", "left").filter("not coalesce(bad, false)").select("content_hash", "content", F.coalesce("broken", F.lit(0).cast("bigint")).alias("broken"))
-    own = own.select("content_hash", "broken", text.text_of(F.col("content")).alias("text"))
-    rows = own.select("content_hash", "broken", F.posexplode(text.split_lines(F.col("text"))).alias("pos", "line"))
+    rows = text.ended_lines(_told(files, told), "broken")
     good = fenced(_cut(rows, [name]), "pos").filter(record.readable())
     broken = lambda k: F.col("broken").bitwiseAND(F.lit(1 << BITS[name, k]).cast("bigint")) != 0 if (name, k) in BITS else F.lit(False)
     columns = [clean.typed(x, f.dataType, broken(k)).alias(f.name) for k, (x, f) in enumerate(zip(record.values(), schema.fields[2:], strict=True))]
@@ -215,10 +244,10 @@ def parse_mcdata(files: DataFrame) -> Parsed:
 
     The files are written, as ten passes read them. The first finds what a file decides for all of its records, which
     is a row for each file of which there is something to tell; then each output reads the lines of its own kind.
-    No record is sent or sorted.
+    No record is sent or sorted but those that tell something.
     """
     own = written(files)
-    told = written(decided(records(text.lines(own, "ignore", ends=True))))
+    told = written(decided(records(text.ended_lines(own))))
     outputs = {f"mcdata.{output}": partial(record_output, own, told, name) for name, (output, _) in RECORDS.items()}
     return Parsed(Outputs(outputs), told.filter("bad").select("content_hash", F.lit("a record has too few or too many fields").alias("message")))
 
@@ -229,13 +258,20 @@ def parse_segments(files: DataFrame) -> Parsed:
     What fails a file is looked for in the array of its lines, before they become rows.
     """
     invalid = files.filter(~F.is_valid_utf8(F.col("content").cast("string"))).select("content_hash", F.lit("not UTF-8").alias("message"))
-    own = files.select("content_hash", text.text_of(F.col("content"), "strict").alias("text")).select("content_hash", F.transform(text.bare_lines(F.col("text")), lambda x: F.split(x, ",", 14)).alias("lines"))
     part = lambda t, k: F.when(F.size(t) > k + 1, _at(t, k))
-    wrong = lambda x: (F.coalesce(x, F.lit("")) != "") & clean.to_fine_time(x).isNull()
-    own = own.filter(F.size("lines") > 0).withColumns({"short": ~F.exists("lines", lambda t: F.size(t) >= 14), "bad": F.exists("lines", lambda t: wrong(part(t, 3)) | wrong(part(t, 4)))})
-    rows = own.filter("not short and not bad").select("content_hash", F.posexplode("lines").alias("pos", "t"))
-    t = F.col("t")
-    rows = rows.select("content_hash", (F.col("pos") + 1).alias("line_number"), part(t, 1).try_cast("int").alias("group"), clean.to_fine_time(part(t, 3)).alias("event_start"), clean.to_fine_time(part(t, 4)).alias("event_stop"), part(t, 12).alias("flight_status"))
+
+    def row(x: Column, size: Column) -> Column:
+        t = lambda k: part(x, k)
+        given = (F.coalesce(t(3), F.lit("")) != "").alias("a"), (F.coalesce(t(4), F.lit("")) != "").alias("b")
+        return F.struct((size >= 14).alias("whole"), *given, t(1).alias("group"), clean.to_fine_time(t(3)).alias("start"), clean.to_fine_time(t(4)).alias("stop"), t(12).alias("status"))
+
+    # each time is read once; the fence keeps predicates from reading them again
+    cut = files.select("content_hash", text.text_of(F.col("content"), "strict").alias("text")).select("content_hash", F.transform(text.bare_lines(F.col("text")), lambda x: F.split(x, ",", 14)).alias("cut"))
+    own = fenced(cut.select("content_hash", F.transform("cut", lambda x: row(x, F.size(x))).alias("lines")), "content_hash").filter(F.size("lines") > 0)
+    wrong = lambda r: (r["a"] & r["start"].isNull()) | (r["b"] & r["stop"].isNull())
+    own = fenced(own.withColumns({"short": ~F.exists("lines", lambda r: r["whole"]), "bad": F.exists("lines", wrong)}), "content_hash")
+    rows = own.filter("not short and not bad").select("content_hash", F.posexplode("lines").alias("pos", "r"))
+    rows = rows.select("content_hash", (F.col("pos") + 1).alias("line_number"), F.col("r.group").try_cast("int").alias("group"), F.col("r.start").alias("event_start"), F.col("r.stop").alias("event_stop"), F.col("r.status").alias("flight_status"))
     failed = own.filter("short or bad").select("content_hash", F.when(F.col("short"), "no row has all fields").otherwise("a time is malformed").alias("message"))
     return Parsed({"segments": conform(rows, LEAVES["segments"][1])}, failed.unionByName(invalid))
 

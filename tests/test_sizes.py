@@ -77,6 +77,28 @@ def sent_by(df):
     return [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in x]
 
 
+def test_files_are_joined_only_if_something_is_told(spark, monkeypatch):
+    line = "1,LCS_TEMP:,,04/06/2024 10:20:30,1.5, W ,10:20:29,,\n"
+    discrete = "1,MC_IN_DISCR:,,04/06/2024 10:20:30,a,1,F,c,7.5,2,3,4,5,6,s,T,F,T,F,u,T,F,T,F,v,T,F,T,F,T,F,T,t,,"
+    files = lambda *texts: spark.createDataFrame([(b"%d" % k, x.encode()) for k, x in enumerate(texts)], "content_hash binary, content binary")
+    assert "Join" not in plan_of(parsers.parse_mcdata(files(line, "", line)).outputs["mcdata.LcsTemp"])
+    for few in (0, 100):
+        monkeypatch.setattr(parsers, "FEW", few)
+        own = parsers.parse_mcdata(files(line, line + discrete, line + "1,PFC_DB:,x\n", discrete + "\r\n" + line.strip()))
+        # contents are never sorted
+        assert "SortMergeJoin" not in own.outputs["mcdata.LcsTemp"]._jdf.queryExecution().executedPlan().toString()
+        assert sorted((bytes(r[0]), r[1]) for r in own.outputs["mcdata.LcsTemp"].collect()) == [(b"0", 0), (b"1", 0), (b"3", 1)]
+        assert sorted((bytes(r[0]), r["External Temperature Sensor"], r["Dew Point"]) for r in own.outputs["mcdata.McInDiscr"].collect()) == [(b"1", None, 6), (b"3", None, 6)]
+
+
+def test_times_of_segments_are_read_once(spark):
+    text = "1,2,,1/2/2024 3:4:5:7,02/29/2024 03:04:05:125,x,y,z,,a,b,c,S,1,end\n"
+    own = parsers.parse_segments(spark.createDataFrame([(b"a", text.encode()), (b"b", text.replace("02/29", "02/30").encode())], "content_hash binary, content binary"))
+    assert plan_of(own.outputs["segments"]).count("RLIKE") <= 2
+    assert [(r.event_start.isoformat(), r.event_stop.isoformat()) for r in own.outputs["segments"].collect()] == [("2024-01-02T03:04:05.700000", "2024-02-29T03:04:05.125000")]
+    assert [(bytes(r[0]), r[1]) for r in own.failed.collect()] == [(b"b", "a time is malformed")]
+
+
 def test_hashes_are_dealt_out_by_the_size_of_the_table(spark):
     assert "RepartitionByExpression [content_hash" in plan_of(catalogue.QUERIES["replace_by_hash"](spark, DIR))
 
