@@ -1,5 +1,7 @@
 """Text to typed values, as in the log formats; what can't be read is null, and nothing raises."""
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,19 +104,18 @@ def carry_date(whole: Column, part: Column) -> Column:
 WORDS = {"HUM_B": (1.26, -175.0), "SEC_HI_PRE": (0.51, -12.5), "HI_TEMP": (0.67, 38.0), "D_PRES": (0.05, -2.5), "HUM_A": (1.26, -175.0), "MAN_PRE": (0.51, -12.5), "PRI_HI_PRE": (0.51, -12.5)}
 
 
+def word_bits(cells: Column, n: int) -> Column:
+    """The bits of ``n`` binary words, without blanks at their ends; null for other signs than 0 and 1."""
+    own = [F.get(cells, F.lit(k)) for k in range(n)]
+    bare = [F.when((s := strip(x)).rlike("^[01]{1,63}$"), s) for x in own]
+    # most records have plain words alone, which are told by one look
+    return F.when(F.concat_ws(",", *own).rlike(r"^(?:[01]{1,63}(?:,|\z)){%d}\z" % n), cells).otherwise(F.array(*bare))
+
+
 def word_value(name: Column, bits: Column) -> Column:
-    """The value of a binary word, to three digits; null for an unknown name or other signs than 0 and 1."""
-    n = F.when(bits.rlike("^[01]{1,63}$"), F.conv(bits, 2, 10).try_cast("double"))
-    out = None
-    for k, (scale, offset) in WORDS.items():
-        v = F.round(n * scale + offset, 3)
-        out = F.when(name == k, v) if out is None else out.when(name == k, v)
-    return out
-
-
-def known_word(name: Column, bits: Column) -> Column:
-    """Whether ``word_value`` has one."""
-    return F.coalesce(name.isin(list(WORDS)) & bits.rlike("^[01]{1,63}$"), F.lit(False))
+    """The value of a word from its ``word_bits``, to three digits; null for an unknown name."""
+    scale, offset = (reduce(lambda out, k: out.when(name == k, WORDS[k][which]), list(WORDS)[1:], F.when(name == next(iter(WORDS)), next(iter(WORDS.values()))[which])) for which in (0, 1))
+    return F.round(F.conv(bits, 2, 10).try_cast("bigint").cast("double") * scale + offset, 3)
 
 
 def pressure(x: Column) -> Column:

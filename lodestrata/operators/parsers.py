@@ -45,13 +45,15 @@ class Record:
     """How a record type is read: its fields, whether it can be, and whether they are as many as there must be.
 
     Of a line there are ``raw`` (what stands between commas), ``t`` (the same, stripped), ``some`` (of raw what
-    isn't empty), ``nav`` (the same of a navigation record) and ``p1`` to ``p3`` (places, from 1, of the marks of a
-    pressure record, 0 where there is none). A field is an expression of its own, so only those asked for are worked out.
+    isn't empty), ``nav`` (the same of a navigation record), ``words`` (the bits of the words of the pressure system) and
+    ``p1`` to ``p3`` (places, from 1, of the marks of a pressure record, 0 where there is none). A field is an expression
+    of its own, so only those asked for are worked out.
     """
 
     values: Callable[[], list[Column]]
     wide: Callable[[], Column]
     readable: Callable[[], Column] = lambda: F.lit(True)
+    ready: bool = False  # whether all fields but the first are of their columns' types already
 
 
 def _at(tokens: Column | str, k: int) -> Column:
@@ -94,19 +96,19 @@ def _rfc() -> list[Column]:
     return own
 
 
-def _word(k: int) -> tuple[Column, Column]:
-    """The name and the bits of a word of the pressure system."""
-    return _at("raw", k), clean.strip(_at(F.split(_at("raw", k + 1), " "), 2))
+def _name(k: int) -> Column:
+    """The name of one of the seven words of the pressure system."""
+    return _at("raw", 4 + 2 * k)
 
 
 def _rpcs() -> list[Column]:
-    return [_at("raw", 3), *[clean.word_value(*_word(k)).cast("string") for k in range(4, 17, 2)]]
+    return [_at("raw", 3), *[clean.word_value(_name(k), _at("words", k)) for k in range(7)]]
 
 
 def _words() -> Column:
     out = F.lit(True)
-    for k in range(4, 17, 2):
-        out &= clean.known_word(*_word(k))
+    for k in range(7):
+        out &= F.coalesce(_name(k).isin(list(clean.WORDS)) & _at("words", k).isNotNull(), F.lit(False))
     return out
 
 
@@ -121,7 +123,7 @@ def _discretes() -> list[Column]:
 
 RECORDS: dict[str, tuple[str, Record]] = {
     "NAV_DATA:": ("NavData", Record(_nav, lambda: F.size("nav") == 18, lambda: F.length(_at("nav", 15)) == 16)),
-    "RPCS:": ("Rpcs", Record(_rpcs, lambda: F.lit(True), _words)),
+    "RPCS:": ("Rpcs", Record(_rpcs, lambda: F.lit(True), _words, ready=True)),
     "RPCS_PRES:": ("RpcsPres", Record(_rpcs_pres, lambda: F.col("p3") > 0)),
     "RDR_STATE:": ("RadarState", Record(lambda: _pick("some", list(range(2, 25, 2))), lambda: F.lit(True), lambda: F.size("some") == 25)),
     "ROTOSCAN:": ("RotoScan", Record(lambda: [clean.strip(x) for x in _pick("some", list(range(2, 7)))], lambda: F.size("some") == 7)),
@@ -170,6 +172,9 @@ def _cut(lines: DataFrame, kinds: list[str]) -> DataFrame:
     raw, few = only(F.split("line", ","), "RPCS:", "MC_IN_DISCR:"), only(some(F.split("line", ",")), "RDR_STATE:", "ROTOSCAN:")
     nav = only(some(F.slice(F.split(F.substring("line", 3, 1 << 30), ","), 3, 1 << 20)), "NAV_DATA:")
     own = own.withColumns({"raw": raw, "t": only(t, "RPCS_PRES:", "PFC_DB:", "RFC_DB:", "LCS_TEMP:"), "some": few, "nav": nav})
+    if "RPCS:" in kinds:
+        own = own.withColumn("words", only(F.array(*[F.split_part(_at("raw", 5 + 2 * k), F.lit(" "), F.lit(3)) for k in range(7)]), "RPCS:"))
+        own = own.withColumn("words", only(clean.word_bits(F.col("words"), 7), "RPCS:"))
     if "RPCS_PRES:" not in kinds:
         return own
     own = own.withColumn("p1", F.when((F.col("kind") == "RPCS_PRES:") & (F.size("t") >= 5), _mark("PRI_HI", F.lit(5))).otherwise(0))
@@ -235,7 +240,7 @@ def record_output(files: DataFrame, told: DataFrame, name: str) -> DataFrame:
     rows = text.ended_lines(_told(files, told), "broken")
     good = fenced(_cut(rows, [name]), "pos").filter(record.readable())
     broken = lambda k: F.col("broken").bitwiseAND(F.lit(1 << BITS[name, k]).cast("bigint")) != 0 if (name, k) in BITS else F.lit(False)
-    columns = [clean.typed(x, f.dataType, broken(k)).alias(f.name) for k, (x, f) in enumerate(zip(record.values(), schema.fields[2:], strict=True))]
+    columns = [(x if record.ready and k else clean.typed(x, f.dataType, broken(k))).alias(f.name) for k, (x, f) in enumerate(zip(record.values(), schema.fields[2:], strict=True))]
     return conform(good.select("content_hash", F.col("pos").alias(schema.fields[1].name), *columns), schema)
 
 

@@ -8,6 +8,7 @@ from test_catalogue import DIR, TABLES, plain
 from lodestrata import specs
 from lodestrata.operators import parsers
 from lodestrata.plans import catalogue
+from lodestrata.sources import lines as text
 
 ITEMS = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
 
@@ -111,3 +112,30 @@ def test_leaf_rows_are_sent_by_hash_alone(spark):
 def test_a_scan_is_named_once(spark):
     own = catalogue.QUERIES["mark_absent"](spark, DIR)
     assert "regexp_extract" not in plan_of(own) and "Join" not in plan_of(own)
+
+
+def rpcs_line(words):
+    return "3,RPCS:,,04/06/2024 10:20:30," + ",".join(f"{k},{w}" for k, w in words) + ",,\n"
+
+
+def test_words_are_cut_and_read_once(spark):
+    names = ["HUM_B", "SEC_HI_PRE", "HI_TEMP", "D_PRES", "HUM_A", "MAN_PRE", "PRI_HI_PRE"]
+    odd = ["w x 101", "w x \t11\t", "w x 0", "w x 1 more", " x 111", "w x " + "1" * 63, "w x 0011"]
+    bad = [["w x 102"], ["w x"], ["w x "], ["w x " + "1" * 64], ["w  x 1"]]
+    text = rpcs_line([(k, "w x 10") for k in names]) + rpcs_line(zip(names, odd)) + "".join(rpcs_line(zip(names, [*b, *odd[1:]])) for b in bad) + rpcs_line([("OTHER", "w x 1"), *zip(names[1:], odd[1:])]) + "3,RPCS:,,x\n"
+    # the last word has its line's end beside it
+    text += rpcs_line([(k, "w x 10") for k in names]).rstrip(",\n") + "\n"
+    own = parsers.parse_mcdata(spark.createDataFrame([(b"a", text.encode())], "content_hash binary, content binary")).outputs["mcdata.Rpcs"]
+    want = [(0, [2] * 7), (1, [5, 3, 0, 1, 7, 2**63 - 1, 3]), (9, [2] * 7)]
+    values = [(pos, [round(n * a + b, 3) for n, (a, b) in zip(ns, ({"HUM": (1.26, -175), "HI_": (0.67, 38), "D_P": (0.05, -2.5)}.get(k[:3], (0.51, -12.5)) for k in names))]) for pos, ns in want]
+    assert [(r[1], list(r)[3:]) for r in own.orderBy("LineNumber").collect()] == values
+    # a number is made of each word once, and isn't made a text to be read again
+    values_of = plan_of(own).splitlines()[0]
+    assert values_of.count("conv(") == 7 and "as string" not in values_of
+
+
+def test_files_are_cut_once(spark, tmp_path):
+    spark.createDataFrame([(b"a", b"x\ny"), (b"b", b""), (b"c", None)], "content_hash binary, content binary").write.parquet(str(tmp_path / "f"))
+    own = text.ended_lines(spark.read.parquet(str(tmp_path / "f")))
+    assert plan_of(own).count("split(") == 1
+    assert sorted((bytes(r[0]), r[1], r[2]) for r in own.collect()) == [(b"a", 0, "x\n"), (b"a", 1, "y"), (b"b", 0, "")]
