@@ -33,11 +33,22 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
+#: Bytes of files that a task reads at most.
+READ = 16 << 20
+
+
+def _bytes(spark: SparkSession, size: str) -> int:
+    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 def compiled(spark: SparkSession) -> SparkSession:
     """``spark``, told to cut generated code into methods of at most 8000 bytes: the JVM never compiles a longer one,
     and interprets the steps that parse whole records in it some ten times slower. Tables that are dealt out by one of
-    several keys aren't sent again to be joined by all."""
+    several keys aren't sent again to be joined by all. A task reads at most 16 MB of files: to deal out rows to over 200
+    parts it holds all that it has read, which is many times what they take in files."""
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    if _bytes(spark, spark.conf.get("spark.sql.files.maxPartitionBytes")) > READ:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(READ))
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     return spark
 
@@ -50,10 +61,15 @@ def fenced(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.when(F.monotonically_increasing_id() >= 0, F.col(column)))
 
 
-def spread(df: DataFrame, *keys: str, of: DataFrame | None = None, each: int = 4 << 20) -> DataFrame:
-    """``df`` by keys in as many parts as its size (or that of the tables ``of``) asks for, so that no task grows with it."""
-    size = int(str((df if of is None else of)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(min(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // each)), 1 << 15), *keys)
+def spread(df: DataFrame, *keys: str, of: DataFrame | None = None, each: int = 4 << 20, rows: int | None = None) -> DataFrame:
+    """``df`` by keys in as many parts as its size (or that of the tables ``of``) asks for, so that no task grows with it.
+
+    With ``rows``, a part has no more of these on average: what a table takes in its files tells little of their number.
+    """
+    own = df if of is None else of
+    size = int(str(own._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    parts = max(-(-size // each), -(-own.count() // rows) if rows else 0)
+    return df.repartition(min(max(df.sparkSession.sparkContext.defaultParallelism, parts), 1 << 15), *keys)
 
 
 @contextmanager

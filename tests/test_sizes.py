@@ -8,6 +8,7 @@ from test_catalogue import DIR, TABLES, plain
 from lodestrata import specs
 from lodestrata.operators import parsers
 from lodestrata.plans import catalogue
+from lodestrata.shared import compiled, spread
 from lodestrata.sources import lines as text
 
 ITEMS = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
@@ -139,3 +140,21 @@ def test_files_are_cut_once(spark, tmp_path):
     own = text.ended_lines(spark.read.parquet(str(tmp_path / "f")))
     assert plan_of(own).count("split(") == 1
     assert sorted((bytes(r[0]), r[1], r[2]) for r in own.collect()) == [(b"a", 0, "x\n"), (b"a", 1, "y"), (b"b", 0, "")]
+
+
+def test_parts_hold_so_many_rows_whatever_they_take_in_files(spark, tmp_path):
+    spark.range(3000).selectExpr("id % 3 as k", "id").coalesce(1).write.parquet(str(tmp_path / "t"))
+    own = spark.read.parquet(str(tmp_path / "t"))
+    assert spread(own, "id", rows=100).rdd.getNumPartitions() == 30
+    assert spread(own, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_tasks_read_little_as_they_hold_what_they_send(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    try:
+        for given, want in (("128MB", str(16 << 20)), ("8m", "8m")):
+            spark.conf.set(name, given)
+            assert compiled(spark).conf.get(name) == want
+    finally:
+        spark.conf.set(name, before)
