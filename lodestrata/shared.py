@@ -61,15 +61,26 @@ def fenced(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.when(F.monotonically_increasing_id() >= 0, F.col(column)))
 
 
+def _passed_on(spark: SparkSession) -> int:
+    """Parts to which a task writes rows as it reads them; to deal out to more it holds all of them until it has read the last."""
+    return int(spark.sparkContext.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+
+
 def spread(df: DataFrame, *keys: str, of: DataFrame | None = None, each: int = 4 << 20, rows: int | None = None) -> DataFrame:
     """``df`` by keys in as many parts as its size (or that of the tables ``of``) asks for, so that no task grows with it.
 
-    With ``rows``, a part has no more of these on average: what a table takes in its files tells little of their number.
+    With ``rows`` their number counts instead, as what a table takes in its files tells little of it: a part has no more of
+    these on average, or up to eight times as many where there would be more parts than rows are passed on to. For what a
+    task holds otherwise is a whole group of rows of a file at least, whatever a task is told to read at most.
     """
-    own = df if of is None else of
-    size = int(str(own._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    parts = max(-(-size // each), -(-own.count() // rows) if rows else 0)
-    return df.repartition(min(max(df.sparkSession.sparkContext.defaultParallelism, parts), 1 << 15), *keys)
+    own, spark = df if of is None else of, df.sparkSession
+    if rows:
+        n = own.count()
+        parts = min(max(spark.sparkContext.defaultParallelism, -(-n // rows)), max(_passed_on(spark), -(-n // (8 * rows))))
+    else:
+        size = int(str(own._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        parts = max(spark.sparkContext.defaultParallelism, -(-size // each))
+    return df.repartition(min(parts, 1 << 15), *keys)
 
 
 @contextmanager

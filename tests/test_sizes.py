@@ -158,3 +158,25 @@ def test_tasks_read_little_as_they_hold_what_they_send(spark):
             assert compiled(spark).conf.get(name) == want
     finally:
         spark.conf.set(name, before)
+
+
+def most_held(spark, df, group):
+    """Bytes that tasks held to deal out rows, in each stage that did so, while ``df`` was worked out."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, "")
+    df.write.format("noop").mode("overwrite").save()
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    tracker = sc.statusTracker()
+    stages = [sc._jsc.sc().statusStore().lastStageAttempt(k) for k in {k for job in tracker.getJobIdsForGroup(group) for k in tracker.getJobInfo(job).stageIds}]
+    return [x.peakExecutionMemory() for x in stages if x.shuffleWriteRecords()]
+
+
+def test_tasks_pass_on_what_they_read_if_parts_of_rows_are_few_enough(spark, tmp_path):
+    spark.range(3000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    own = spark.read.parquet(str(tmp_path / "t"))
+    # 300 parts of ten rows would be held; parts of up to eighty are not, and only more rows take more parts
+    assert spread(own, "id", rows=10).rdd.getNumPartitions() == 200
+    assert spread(own, "id", rows=1).rdd.getNumPartitions() == 375
+    assert most_held(spark, spread(own, "id", rows=10), "few") == [0]
+    assert most_held(spark, spread(own, "id", rows=1), "many")[0] > 0
